@@ -128,7 +128,7 @@ def _find(terms: np.ndarray, ends: np.ndarray, key: np.ndarray, wins: np.ndarray
         close = gap <= slop
         win, start, exact = win[close], start[close], exact[close]
         if r == min(2, k - 1):
-            near = win[~exact], start[~exact]
+            near = win, start  # exact phrases among them are taken out later
             win, start, exact = win[exact], start[exact], exact[exact]
     return live[win], start, live[near[0]], np.maximum(near[1], 0)
 
