@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, licenses, mixing, pii, quality_rules, token_counts, url_filter
+from . import decontaminate, language_id, licenses, mixing, near_dup, pii, quality_rules, token_counts, url_filter
 from .oracles import ORACLES
 
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
@@ -26,6 +26,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components_of(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts,
         op3_pii,
+        op4_near_dup,
         op5_quality_rules,
         op6_mixing,
         op7_language_id,
