@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, licenses, mixing, near_dup, pii, quality_rules, token_counts, url_filter
+from . import decontaminate, language_id, licenses, lm_score, mixing, near_dup, pii, quality_rules, token_counts, url_filter
 from .oracles import ORACLES
 
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
@@ -22,6 +22,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), TOKEN_LIMIT)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts,
+        op2_lm_score,
         op3_pii,
         op4_near_dup,
         op5_quality_rules,
