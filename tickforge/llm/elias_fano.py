@@ -13,7 +13,6 @@ import numpy as np
 
 _U = np.uint64
 _ONE = _U(1)
-BLOCK = 8  # words of 64 bits to a directory entry
 
 
 def _pack(values: np.ndarray, bits: int) -> np.ndarray:
@@ -42,34 +41,33 @@ def _unpack(words: np.ndarray, bits: int, i: np.ndarray) -> np.ndarray:
     return (low | high) & _U((1 << bits) - 1)
 
 
+def _in_word(w: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the ``r``-th one (from 0) within each word: the byte by sums of bytes, the bit by a table."""
+    sums = w - ((w >> _ONE) & _U(0x5555555555555555))
+    sums = (sums & _U(0x3333333333333333)) + ((sums >> _U(2)) & _U(0x3333333333333333))
+    sums = ((sums + (sums >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _U(_EACH)
+    r = r.astype(_U)
+    byte = np.bitwise_count((((r * _U(_EACH)) | _U(0x8080808080808080)) - sums) & _U(0x8080808080808080)).astype(_U) << _U(3)
+    r -= ((sums << _U(8)) >> byte) & _U(255)
+    return byte.astype(np.int64) + _BIT[(r << _U(8)) | ((w >> byte) & _U(255))]
+
+
+def _table() -> np.ndarray:
+    out = np.zeros((8, 256), np.int64)
+    for v in range(256):
+        for r, place in enumerate(i for i in range(8) if v >> i & 1):
+            out[r, v] = place
+    return out.reshape(-1)
+
+
+_EACH, _BIT = 0x0101010101010101, _table()
+
+
 def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
-    """Place of the ``k``-th (from 0) one, or zero with ``flip``; ``before``: ones before each block."""
-    if flip:
-        before = np.arange(len(before), dtype=np.int64) * (64 * BLOCK) - before
-    block = np.searchsorted(before, k, "right") - 1
-    rest = k - before[block]
-    word = block * BLOCK
-    last = np.minimum(word + BLOCK, len(words)) - 1
-    todo = np.arange(len(k))
-    for _ in range(BLOCK):
-        w = words[word[todo]]
-        n = np.bitwise_count(~w if flip else w).astype(np.int64)
-        go = (rest[todo] >= n) & (word[todo] < last[todo])
-        todo, n = todo[go], n[go]
-        if not len(todo):
-            break
-        rest[todo] -= n
-        word[todo] += 1
+    """Place of the ``k``-th (from 0) one, or zero with ``flip``; ``before``: how many stand before each word."""
+    word = np.searchsorted(before, k.astype(before.dtype), "right") - 1
     w = words[word]
-    w = ~w if flip else w
-    place = np.zeros(len(k), np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count(w & _U((1 << half) - 1)).astype(np.int64)
-        up = rest >= low
-        rest -= np.where(up, low, 0)
-        place += np.where(up, half, 0)
-        w = np.where(up, w >> _U(half), w)
-    return word * 64 + place
+    return word * 64 + _in_word(~w if flip else w, k - before[word])
 
 
 @dataclass
@@ -78,7 +76,8 @@ class EliasFano:
     bits: int
     low: np.ndarray
     high: np.ndarray
-    before: np.ndarray
+    ones: np.ndarray  # before each word of `high`
+    zeros: np.ndarray
 
     @classmethod
     def build(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -88,23 +87,25 @@ class EliasFano:
         low = _pack(values & _U((1 << bits) - 1), bits)
         top = (values >> _U(bits)).astype(np.int64)
         size = n + (int(universe) >> bits) + 2
-        flags = np.zeros(-(-size // 512) * 512, np.uint8)
+        flags = np.zeros(-(-size // 64) * 64 + 64, np.uint8)
         flags[top + np.arange(n)] = 1
         high = np.packbits(flags, bitorder="little").view(_U)
-        ones = np.bitwise_count(high).astype(np.int64).reshape(-1, BLOCK).sum(axis=1)
-        return cls(n, bits, low, high, np.concatenate([[0], np.cumsum(ones)[:-1]]))
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))[:-1]])
+        zeros = np.arange(len(high)) * 64 - ones
+        kind = np.uint32 if len(flags) < 1 << 32 else np.int64
+        return cls(n, bits, low, high, ones.astype(kind), zeros.astype(kind))
 
     def arrays(self) -> list[np.ndarray]:
-        return [np.array([self.n, self.bits], np.int64), self.low, self.high, self.before]
+        return [np.array([self.n, self.bits], np.int64), self.low, self.high, self.ones, self.zeros]
 
     @classmethod
     def of(cls, arrays: list[np.ndarray]) -> EliasFano:
-        head, low, high, before = arrays
-        return cls(int(head[0]), int(head[1]), low, high, before)
+        head, low, high, ones, zeros = arrays
+        return cls(int(head[0]), int(head[1]), low, high, ones, zeros)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, np.int64)
-        top = _select(self.high, self.before, i, False) - i
+        top = _select(self.high, self.ones, i, False) - i
         return (top.astype(_U) << _U(self.bits)) | _unpack(self.low, self.bits, i)
 
     def next_geq(self, x: np.ndarray) -> np.ndarray:
@@ -116,9 +117,15 @@ class EliasFano:
         x = x.astype(_U)
         top = (x >> _U(self.bits)).astype(np.int64)
         want = x & _U((1 << self.bits) - 1)
-        # The bucket of a high part lies between two zeros.
-        lo = np.where(top > 0, _select(self.high, self.before, np.maximum(top - 1, 0), True) - top + 1, 0)
-        hi = _select(self.high, self.before, top, True) - top
+        # The bucket of a high part lies between two zeros: one is selected, the next mostly ends a run in the same word.
+        at = np.where(top > 0, _select(self.high, self.zeros, np.maximum(top - 1, 0), True) + 1, 0)
+        lo = at - top
+        gap = ~(self.high[at >> 6] >> (at & 63).astype(_U))  # zeros are shifted in above, and become ones
+        run = np.bitwise_count((gap - _ONE) & ~gap).astype(np.int64)
+        hi = lo + run
+        over = np.flatnonzero(run + (at & 63) >= 64)
+        if len(over):
+            hi[over] = _select(self.high, self.zeros, top[over], True) - top[over]
         end = hi.copy()
         live = np.flatnonzero(lo < hi)
         while len(live):
@@ -165,13 +172,13 @@ def load(path: str) -> list[np.ndarray]:
 
     where, name = fs.FileSystem.from_uri(path)
     if isinstance(where, fs.LocalFileSystem):
-        raw = np.memmap(name, np.uint8, "r")
+        raw = np.memmap(name, np.uint8, "r").view(np.ndarray)
     else:
         with tempfile.NamedTemporaryFile() as f, where.open_input_stream(name) as src:
             while part := src.read(1 << 22):
                 f.write(part)
             f.flush()
-            raw = np.memmap(f.name, np.uint8, "r")
+            raw = np.memmap(f.name, np.uint8, "r").view(np.ndarray)
     n = int(raw[:8].view(np.int64)[0])
     head = raw[: (n + 1) * 32].view(np.int64).reshape(-1, 4)
     return [raw[at : at + size * length].view(f"{chr(kind)}{size}") for kind, size, at, length in head[1:].tolist()]

@@ -106,7 +106,7 @@ class Model:
             return self.log_base(self.counts(1, ids))
         out = np.zeros(len(ids))
         for k, at in _by_shard(ids >> LOCAL):
-            out[at] = restore(_file(self.paths[level - 1][k])[13][ids[at] & ((1 << LOCAL) - 1)])
+            out[at] = restore(_file(self.paths[level - 1][k])[16][ids[at] & ((1 << LOCAL) - 1)])
         return out
 
     def successors(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,7 +116,7 @@ class Model:
             if k not in self.paths[level - 1]:
                 continue
             a = _file(self.paths[level - 1][k])
-            contexts, pointers, follow = EliasFano.of(a[0:4]), EliasFano.of(a[4:8]), EliasFano.of(a[8:12])
+            contexts, pointers, follow = EliasFano.of(a[0:5]), EliasFano.of(a[5:10]), EliasFano.of(a[10:15])
             own, inverse = np.unique(context[at], return_inverse=True)
             place, there = contexts.find(own.astype(np.uint64))
             place = place[there]
@@ -126,13 +126,13 @@ class Model:
             row = np.cumsum(there) - 1
             live = there[inverse]
             at, row = at[live], row[inverse[live]]
-            back[at] = restore(a[12][place[row]])
+            back[at] = restore(a[15][place[row]])
             target = word[at].astype(np.uint64) + shift[row]
             size = follow.get(np.array([follow.n - 1]))[0] if follow.n else np.uint64(0)
             found, equal = follow.find(np.minimum(target, size))
             hit = equal & (target <= size) & (found.astype(np.uint64) >= begin[row]) & (found.astype(np.uint64) < end[row])
             at, found = at[hit], found[hit]
-            ids[at], logs[at] = (k << LOCAL) + found, restore(a[13][found])
+            ids[at], logs[at] = (k << LOCAL) + found, restore(a[16][found])
         return ids, logs, back
 
 
@@ -167,14 +167,6 @@ class _Pairs:
                 self.parts, self.size = [columns], len(columns[0])
 
 
-def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(first place of each distinct pair, number of the pair of each row)``."""
-    small, x = np.unique(a, return_inverse=True)
-    big, y = np.unique(b, return_inverse=True)
-    _, at, inverse = np.unique(x.astype(np.int64) * max(len(big), 1) + y, return_index=True, return_inverse=True)
-    return at, inverse
-
-
 @dataclass
 class _Stream:
     """Texts as one sequence of word numbers: begin, words, end for each text."""
@@ -197,33 +189,45 @@ class _Stream:
         return cls(ids, counts, word, first)
 
 
-def _chain(s: _Stream, model: Model, levels: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each level from 2: ``(level, rows, context id, lower id, pair's id, log10 p and back-off per row)`` of the rows (places in the
-    sequence) whose context is kept."""
-    ids = s.known[s.word]
-    begin = np.zeros(len(ids), bool)
+@dataclass
+class _Level:
+    """The n-grams of one length in a sequence whose context is kept: ``rows`` are the places of their last words, ``of`` says which
+    distinct n-gram each is; the other arrays have one entry for each distinct n-gram."""
+
+    rows: np.ndarray
+    of: np.ndarray
+    context: np.ndarray
+    word: np.ndarray
+    lower: np.ndarray
+    found: np.ndarray
+    logs: np.ndarray
+    back: np.ndarray
+
+
+def _chain(s: _Stream, model: Model, levels: int) -> Iterator[_Level]:
+    """The levels from 2 up.  Distinct n-grams are numbered along the way, so that each level sorts once."""
+    size = len(s.known)
+    begin = np.zeros(len(s.word), bool)
     begin[s.first[:-1]] = True
-    lower = ids.copy()
-    context = np.full(len(ids), -1, np.int64)
-    context[1:] = ids[:-1]
-    context[begin] = -1
+    number, kept = s.word, s.known  # of the n-gram that ends at each place, and the id of each number
     for level in range(2, levels + 1):
+        context = np.full(len(s.word), -1, np.int64)
+        context[1:] = number[:-1]
+        context[begin] = -1
         rows = np.flatnonzero(context >= 0)
-        words = s.word[rows]
+        rows = rows[kept[context[rows]] >= 0]
+        key, at, of = np.unique(context[rows] * size + s.word[rows], return_index=True, return_inverse=True)
+        ids, words = kept[key // max(size, 1)], s.known[key % max(size, 1)]
+        below = number[rows[at]]
+        lower = np.where(below >= 0, kept[below], -1)
+        found, logs, back = np.full(len(at), -1), np.zeros(len(at)), np.zeros(len(at))
         if level <= len(model.paths):
-            at, inverse = _unique_pairs(context[rows], words)
-            known = ids[rows[at]]
-            got, logs, back = model.successors(level, context[rows[at]], np.maximum(known, 0))
-            got = np.where(known >= 0, got, -1)
-            found, logs, back = got[inverse], logs[inverse], back[inverse]
-        else:
-            found, logs, back = np.full(len(rows), -1), np.zeros(len(rows)), np.zeros(len(rows))
-        yield level, rows, context[rows], lower[rows], found, logs, back
-        lower = np.full(len(ids), -1, np.int64)
-        lower[rows] = found
-        context = np.full(len(ids), -1, np.int64)
-        context[1:] = lower[:-1]
-        context[begin] = -1
+            found, logs, back = model.successors(level, ids, np.maximum(words, 0))
+            found[words < 0] = -1
+        yield _Level(rows, of, ids, words, lower, found, logs, back)
+        number = np.full(len(s.word), -1, np.int64)
+        number[rows] = of
+        kept = found
 
 
 def _count_words(docs: DataFrame, bits: int) -> DataFrame:
@@ -251,14 +255,11 @@ def _count_level(docs: DataFrame, model: Model, level: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, size=SLICE):
                 s = _Stream.of(part.column("text"), model)
-                ids = np.where(s.counts >= MIN_COUNT, s.known, -1)
-                s.known = ids
-                for k, rows, context, lower, *_ in _chain(s, model, level):
-                    if k == level:
-                        keep = lower >= 0
-                        rows, context, lower = rows[keep], context[keep], lower[keep]
-                        at, inverse = _unique_pairs(context, s.word[rows])
-                        pairs.add(context[at], ids[s.word[rows[at]]], lower[at], np.bincount(inverse, minlength=len(at)))
+                s.known = np.where(s.counts >= MIN_COUNT, s.known, -1)
+                *_, last = _chain(s, model, level)
+                keep = last.lower >= 0
+                n = np.bincount(last.of, minlength=len(keep))
+                pairs.add(last.context[keep], last.word[keep], last.lower[keep], n[keep])
                 yield from pairs.flush(COMBINE)
         if pairs.parts:
             yield from pairs.flush()
@@ -377,8 +378,10 @@ def score(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFram
                 known = (s.counts > 0)[s.word].astype(np.int64)
                 base[s.first[:-1]], known[s.first[:-1]] = 0.0, 0  # a begin is no token
                 best = base.copy()
-                for _, at, _, _, found, logs, back in _chain(s, model, len(model.paths)):
-                    best[at] = np.where(found >= 0, logs, back + best[at])
+                for level in _chain(s, model, len(model.paths)):
+                    hit = level.found >= 0
+                    value = np.where(hit, level.logs, level.back)[level.of]
+                    best[level.rows] = np.where(hit[level.of], value, value + best[level.rows])
                 sums = [np.add.reduceat(x, s.first[:-1]) for x in (known, base, best)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(np.diff(s.first) - 1, pa.int64()), *map(pa.array, sums)], names=["id", "n_tokens", "n_known", "base_score", "score"]
