@@ -1,3 +1,67 @@
-STAGES = []
+"""A training corpus from raw documents, in five stages that each apply one operator to all that the stage before kept.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the columns of ``documents``.
+``run`` writes every stage as Parquet in the shared folder and reads it back for the next.
+
+1. ``language_id``: documents without a recognisable language go; a missing ``lang`` is filled in.
+2. ``near_dup``: of near duplicates (five-word shingles, similarity of at least 0.8) the one with the smallest id stays.
+3. ``decontamination``: documents that hold a passage of a benchmark item go.
+4. ``pii``: personal data is masked and ``n_chars`` follows the text.
+5. ``mixing``: sources are mixed to their target weights; the result is the plan of the mix, one row per document.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickforge.llm import decontaminate, language_id, mixing, near_dup, pii
+from tickforge.llm.scratch import materialize
+
+#: The stages have no SQL form: hyperdimensional profiles and MinHash aren't expressible.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+#: Rows of a list of ids (8 bytes each) that may be broadcast; a longer one is joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def stage_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    learned = language_id.prototypes(docs.filter(~language_id.held_out()).select("text", "lang"))
+    said = language_id.predict_language(docs, learned, "text", "_lang_pred", "_lang_score")
+    kept = said.filter(F.col("_lang_pred") != language_id.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", "_lang_pred")).select(*docs.columns)
+
+
+def stage_near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.keep_one(docs, width=5, percent=80)
+
+
+def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.search(decontaminate.build_index(docs), items)
+    hit = materialize(found.filter("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
+    few = hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(hit) if few else hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+
+
+def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs, length_col="n_chars")
+
+
+def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(docs)
+
+
+STAGES = [
+    ("language_id", stage_language_id),
+    ("near_dup", stage_near_dup),
+    ("decontamination", stage_decontamination),
+    ("pii", stage_pii),
+    ("mixing", stage_mixing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
