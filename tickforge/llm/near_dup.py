@@ -9,7 +9,7 @@ Copies and near copies come in large groups, so pairs of a group are never all f
 
 * documents with equal sets are one class from the start, whose representative alone takes part;
 * buckets give a graph of candidates with one edge for each member, to the bucket's smallest one; the members of a connected part of that graph
-  meet in one task, each set sent once, and every pair that could reach the threshold is compared there on bit sets; only the components
+  meet in one task, each set sent once, and every pair that could reach the threshold is compared there; only links
   leave the task;
 * a part with more than ``PART`` shingles is not gathered.  There every bucket first compares its members with its smallest one, and then members that
   are still in different components within tiles of bounded size, one pair of tiles in a task; only links leave a task.
@@ -37,7 +37,7 @@ from .wordstream import BLANK, distinct_per_doc, hash_words, mix, slices, window
 
 COORDINATES, ROWS = 180, 5
 #: Shingles of a part that one task may gather, and of a tile; rows of a table that may be broadcast (16 bytes each).
-PART, TILE, SMALL = 4 << 20, 1 << 20, 500_000
+PART, TILE, SMALL = 2 << 20, 1 << 20, 500_000
 _U = np.uint64
 
 
@@ -103,33 +103,43 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A forest of links: pairs of places in ``sets`` whose Jaccard similarity reaches ``percent``, enough to join all
-    that the links join."""
+    that the links join.
+
+    A set is compared with all others at once, by counting over the lists of the sets that hold its shingles.  Two sets that are
+    both in the largest component so far need no comparison, so a group of near copies costs little more than its exceptions.
+    Memory is in proportion to the sets.
+    """
     n = np.array([len(x) for x in sets], np.int64)
-    order = np.argsort(n, kind="stable")
-    values = np.concatenate([sets[i] for i in order])
-    owner = np.repeat(np.arange(len(order)), n[order])
-    _, code, df = np.unique(values, return_inverse=True, return_counts=True)
-    shared = df >= 2  # others are in no intersection
-    column = np.cumsum(shared) - 1
-    keep = shared[code]
-    code, owner, n = column[code[keep]], owner[keep], n[order]
-    words = max(1, -(-int(shared.sum()) // 64))
-    bits = np.zeros((len(order), words), np.uint64)
-    np.bitwise_or.at(bits, (owner, code >> 6), np.uint64(1) << (code & 63).astype(np.uint64))
-    label = np.arange(len(order))
-    links = []
-    for i in range(len(order) - 1):
-        end = int(np.searchsorted(n, n[i] * 100 // percent, "right"))  # larger sets are too large for this one
-        other = np.arange(i + 1, end)
-        other = other[label[other] != label[i]]
-        for a in range(0, len(other), 512):
-            part = other[a : a + 512]
-            both = np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64)
-            hit = part[100 * both >= percent * (n[part] + n[i] - both)]
-            for j in hit.tolist():
-                if label[j] != label[i]:
-                    links.append((int(order[i]), int(order[j])))
-                    label[label == label[j]] = label[i]
+    m = len(n)
+    _, code, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m, dtype=np.int32), n)
+    keep = df[code] >= 2  # others are in no intersection
+    code, owner = code[keep], owner[keep]
+    by_code = np.argsort(code, kind="stable")
+    listed = owner[by_code]
+    begin = np.concatenate([[0], np.cumsum(np.where(df >= 2, df, 0))])
+    first = np.searchsorted(owner, np.arange(m + 1))
+    label, size = np.arange(m), np.ones(m, np.int64)
+    links: list[tuple[int, int]] = []
+
+    def compare(i: int) -> None:
+        own = code[first[i] : first[i + 1]]
+        many = begin[own + 1] - begin[own]
+        at = np.repeat(begin[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        both = np.bincount(listed[at], minlength=m)
+        hit = np.flatnonzero(100 * both >= percent * (n + n[i] - both))
+        found, where = np.unique(label[hit], return_index=True)
+        for other, j in zip(found.tolist(), hit[where].tolist(), strict=True):
+            if other != label[i]:
+                links.append((i, j))
+                size[label[i]] += size[other]
+                size[other] = 0
+                label[label == other] = label[i]
+
+    compare(int(np.argmax(np.bincount(owner, weights=df[code], minlength=m))))
+    for i in range(m):
+        if label[i] != np.argmax(size) or size.max() == 1:
+            compare(i)
     return links
 
 
