@@ -1,8 +1,8 @@
 r"""Language-model scores of whole texts with an Elias-Fano n-gram trie.
 
 Training counts words, then longer n-grams level by level: an n-gram is counted only where its first and its last part were kept at the
-level below, which loses nothing, because one that occurs ``MIN_COUNT`` times has parts that do.  All counts are
-shuffled aggregations over the whole corpus, combined in the tasks first.
+level below, which loses nothing, because one that occurs ``MIN_COUNT`` times has parts that do.  All counts are over the whole
+corpus: tasks combine what they have seen, and a shuffle by the hash of the n-gram, even for hot contexts, adds them up.
 
 The model is a trie whose levels lie in files of the shared folder, a number of shards to a level:
 
@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 
 from .elias_fano import EliasFano, load, save
 from .scratch import arrow_batches, materialize, new_folder
-from .wordstream import BLANK, hash_words, slices
+from .wordstream import BLANK, hash_words, mix, slices
 
 ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.6
 BEGIN, END = np.uint64(1), np.uint64(2)
 #: Ids are shard << LOCAL | place; range of a stored logarithm; entries that a task combines before it passes them on.
-LOCAL, RANGE, COMBINE = 40, 24.0, 3 << 20
+LOCAL, RANGE, COMBINE = 40, 24.0, 3 << 19
 SLICE = 4 << 20
 _files: dict[str, list[np.ndarray]] = {}
 
@@ -139,8 +139,8 @@ class Model:
 class _Pairs:
     """Counts of keys that a task combines before it passes them on."""
 
-    def __init__(self, names: tuple[str, ...]):
-        self.names, self.parts, self.size = names, [], 0
+    def __init__(self):
+        self.parts, self.size = [], 0
 
     def add(self, *columns: np.ndarray) -> None:
         self.parts.append(columns)
@@ -156,15 +156,31 @@ class _Pairs:
         at = np.flatnonzero(edge)
         return (*(k[at] for k in keys), np.add.reduceat(n, at) if len(at) else n)
 
-    def flush(self, least: int = 0) -> Iterator[pa.RecordBatch]:
-        if self.size > least:
-            columns = self.combined()
-            if len(columns[0]) * 2 > least:
-                self.parts, self.size = [], 0
-                for a in range(0, len(columns[0]), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 200_000].astype(np.int64)) for c in columns], names=list(self.names))
-            else:
-                self.parts, self.size = [columns], len(columns[0])
+    def take(self, least: int = 0) -> tuple[np.ndarray, ...] | None:
+        """The combined counts, if they are more than combining could still bring down."""
+        if self.size <= least:
+            return None
+        columns = self.combined()
+        if len(columns[0]) * 2 > least:
+            self.parts, self.size = [], 0
+            return columns
+        self.parts, self.size = [columns], len(columns[0])
+        return None
+
+
+def _pack(columns: tuple[np.ndarray, ...]) -> bytes:
+    """Sorted columns of numbers as few bytes: the first as differences, all with bytes of equal weight side by side."""
+    first = np.diff(columns[0], prepend=0)
+    planes = [np.ascontiguousarray(c.astype(np.int64)).view(np.uint8).reshape(-1, 8).T for c in (first, *columns[1:])]
+    raw = np.concatenate(planes).tobytes()
+    return len(columns[0]).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, n_columns: int) -> list[np.ndarray]:
+    n = int.from_bytes(blob[:8], "little")
+    raw = np.frombuffer(pa.decompress(blob[8:], n * 8 * n_columns, "zstd"), np.uint8).reshape(n_columns, 8, n)
+    out = [np.ascontiguousarray(x.T).view(np.int64).reshape(-1) for x in raw]
+    return [np.cumsum(out[0]), *out[1:]]
 
 
 @dataclass
@@ -232,40 +248,72 @@ def _chain(s: _Stream, model: Model, levels: int) -> Iterator[_Level]:
 
 def _count_words(docs: DataFrame, bits: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, n_docs = _Pairs(("w", "n")), 0
+        pairs, n_docs = _Pairs(), 0
+        def out(least: int) -> Iterator[pa.RecordBatch]:
+            w, n = pairs.take(least) or ((), ())
+            for a in range(0, len(w), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(w[a : a + 200_000]), pa.array(n[a : a + 200_000])], names=["w", "n"])
+
         for batch in batches:
             for part in slices(batch, size=SLICE):
                 h, n = np.unique(hash_words(part.column("text"), BLANK).hashes, return_counts=True)
                 pairs.add(h.view(np.int64), n)
                 n_docs += part.num_rows
-                yield from pairs.flush(COMBINE)
+                yield from out(COMBINE)
         if n_docs:
             pairs.add(np.array([BEGIN, END]).view(np.int64), np.array([n_docs, n_docs]))
-            yield from pairs.flush()
+            yield from out(0)
 
     shard = F.shiftrightunsigned(F.shiftrightunsigned("w", 63 - bits), 1)
     return docs.select("text").mapInArrow(count, "w long, n long").withColumn("shard", shard)
 
 
-def _count_level(docs: DataFrame, model: Model, level: int) -> DataFrame:
-    """``c, w, low, n``: kept n-grams of ``level`` as context id, word id and the id of the n-gram without its first word."""
+def _count_level(docs: DataFrame, model: Model, level: int, parts: int) -> DataFrame:
+    """``c, w, low, n``: kept n-grams of ``level`` as context id, word id and the id of the n-gram without its first word.
+
+    Each task combines its n-grams, deals them by hash into ``parts`` parts, and passes each on as one packed value.
+    """
+    width = 3 if level == 2 else 4  # at level 2 the lower n-gram is the word itself
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs(("c", "w", "low", "n"))
+        pairs = _Pairs()
+
+        def out(least: int) -> Iterator[pa.RecordBatch]:
+            columns = pairs.take(least)
+            if columns is None:
+                return
+            part = (mix(columns[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + columns[1].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            for p, at in _by_shard(part):
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([_pack(tuple(c[at] for c in columns))], pa.binary())], names=["p", "packed"])
+
         for batch in batches:
             for part in slices(batch, size=SLICE):
                 s = _Stream.of(part.column("text"), model)
                 s.known = np.where(s.counts >= MIN_COUNT, s.known, -1)
                 *_, last = _chain(s, model, level)
                 keep = last.lower >= 0
-                n = np.bincount(last.of, minlength=len(keep))
-                pairs.add(last.context[keep], last.word[keep], last.lower[keep], n[keep])
-                yield from pairs.flush(COMBINE)
-        if pairs.parts:
-            yield from pairs.flush()
+                n = np.bincount(last.of, minlength=len(keep))[keep]
+                pairs.add(last.context[keep], last.word[keep], *([last.lower[keep]] if width == 4 else []), n)
+                yield from out(COMBINE)
+        yield from out(0)
 
-    found = docs.select("text").mapInArrow(count, "c long, w long, low long, n long")
-    return found.groupBy("c", "w").agg(F.first("low").alias("low"), F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for p, blob in zip(batch.column("p").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                packed.setdefault(p, []).append(blob)
+        for blobs in packed.values():
+            pairs = _Pairs()
+            for blob in blobs:
+                pairs.add(*_unpack(blob, width))
+            c, w, *low, n = pairs.combined()
+            keep = n >= MIN_COUNT
+            c, w, low, n = c[keep], w[keep], (low[0] if low else w)[keep], n[keep]
+            for a in range(0, len(c), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 200_000]) for x in (c, w, low, n)], names=["c", "w", "low", "n"])
+
+    dealt = docs.select("text").mapInArrow(count, "p int, packed binary").repartition(parts, "p")
+    return dealt.mapInArrow(add_up, "c long, w long, low long, n long")
 
 
 def _read_all(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> list[np.ndarray]:
@@ -357,7 +405,7 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
             files = _save_words(_count_words(docs, model.bits), model.bits, folder, parts).collect()
             model.types, model.tokens = sum(r["n"] for r in files), sum(r["total"] for r in files)
         else:
-            kept = materialize(_count_level(docs, model, level), "ngrams")
+            kept = materialize(_count_level(docs, model, level, parts), "ngrams")
             files = _save_level(kept, model, level, folder, parts).collect()
         model.paths.append({r["shard"]: r["path"] for r in files})
     return model
