@@ -33,11 +33,12 @@ def test_ordered_rules(spark, odd, empty):
     apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n http://www.apache.org/licenses/LICENSE-2.0"
     apache = apache.replace("License at\n http", "License at http")
     gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
-    texts = [(1, apache), (2, gpl), (3, "Licensed under CC BY-NC 4.0.\nReleased under the MIT License."), (4, "you may not use this file except in compliance with the License."), (5, None), (6, "")]
+    texts = [(1, apache), (2, gpl), (3, "Licensed under CC BY-NC 4.0.\nReleased under the MIT License."), (4, "you may not use this file except in compliance with the License."), (5, None), (6, ""), (7, "Released under the MIT License.\nReleased under the MIT License.")]
     rows = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert rows[1]["licenses"] == "Apache-2.0" and rows[1]["unclaimed"] == ""
     assert rows[2]["licenses"] == "GPL-3.0" and rows[2]["license_class"] == "copyleft"
     assert rows[3]["licenses"] == "CC-BY-NC-4.0,MIT" and rows[3]["license_class"] == "restricted"
     assert rows[4]["licenses"] == "" and rows[4]["unclaimed"] == "Apache2Comply"
+    assert rows[7]["sentence_ids"] == "MitShort,MitShort" and rows[7]["unclaimed"] == ""
     assert rows[5]["n_sentences"] == rows[6]["n_sentences"] == 0 and rows[5]["license_class"] is None
     assert licenses.scan_licenses(odd).count() == odd.count() and licenses.scan_licenses(empty).count() == 0

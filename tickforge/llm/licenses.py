@@ -91,15 +91,15 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The lists are joined with commas, licences in the order of the rules; the class is the strictest of the licences, null without one.
     """
     rows = docs.select(F.col(id_col).alias("_id"), sentence_ids(F.coalesce(F.col(text_col), F.lit(""))).alias("_ids"))
-    line = F.concat(F.lit("|"), F.array_join(F.transform("_ids", lambda i: F.concat(i, F.lit("|"))), ""))
+    line = F.array_join(F.transform("_ids", lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "")
     # The ordered rules are folded over the line of identifiers; a claimed sequence leaves a gap behind.
-    table = F.array(*(F.struct(F.lit("|" + "|".join(ids) + "|").alias("ids"), F.lit(name).alias("name")) for ids, name, _ in rules))
+    table = F.array(*(F.struct(F.lit("".join(f"|{i}|" for i in ids)).alias("ids"), F.lit(name).alias("name")) for ids, name, _ in rules))
     folded = F.aggregate(
         table,
         F.struct(line.alias("line"), F.array().cast("array<string>").alias("names")),
         lambda acc, r: F.when(
             acc["line"].contains(r["ids"]),
-            F.struct(F.replace(acc["line"], r["ids"], F.lit("||")).alias("line"), F.array_append(acc["names"], r["name"]).alias("names")),
+            F.struct(F.replace(acc["line"], r["ids"], F.lit("#")).alias("line"), F.array_append(acc["names"], r["name"]).alias("names")),
         ).otherwise(acc),
     )
     none = F.struct(F.lit("").alias("line"), F.array().cast("array<string>").alias("names"))
@@ -113,6 +113,6 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.size("_ids").cast("long").alias("n_sentences"),
         F.array_join("_ids", ",").alias("sentence_ids"),
         F.array_join("_names", ",").alias("licenses"),
-        F.array_join(F.filter(F.split("_found.line", r"\|"), lambda i: i != ""), ",").alias("unclaimed"),
+        F.array_join(F.filter(F.split("_found.line", r"[|#]"), lambda i: i != ""), ",").alias("unclaimed"),
         strict.alias("license_class"),
     )

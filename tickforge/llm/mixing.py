@@ -27,8 +27,9 @@ from .scratch import materialize
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
-#: Slices of each source's hash range; the relative change of a source's weight over training, by its place in the list.
-SLICES = 4096
+#: Hexadecimal digits that name a slice of the hash range (4096 slices); the relative change of a source's weight over
+#: training, by its place in the list.
+SLICE_DIGITS = 3
 RAMPS = (-0.5, 0.5, 0.0)
 
 
@@ -75,11 +76,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``taken`` is how many of its words the mix reads, repeats counted.  ``position`` is the training time at which it is
     first read, null if never; ``last_position`` that of its last reading.
     """
-    slice_of = F.pmod(F.shiftright(F.col("order"), 40), F.lit(SLICES))
     rows = (
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-        .withColumn("order", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))))
-        .withColumn("slice", slice_of)
+        .withColumn("order", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))))
+        .withColumn("slice", F.substring("order", 1, SLICE_DIGITS))
     )
     rows = materialize(rows.withColumn("source", F.col("source").cast("string")), "mixing")
     per_slice = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))

@@ -1,2 +1,141 @@
-"""DuckDB SQL for the operators that SQL can express."""
-ORACLES: dict[str, str] = {}
+"""DuckDB SQL for the operators that SQL can express: the plain definition of each, over the same tables."""
+
+from __future__ import annotations
+
+from . import licenses, mixing, quality_rules
+from .url_filter import RULES as URL_RULES
+
+UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD = r"[^\x20\x09-\x0D]+"
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _low(column: str) -> str:
+    return f"translate(coalesce({column}, ''), '{UPPER}', '{SMALL}')"
+
+
+NEAR_DUP = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_low('text')}, '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r(id, other) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.id, e.y FROM r JOIN e ON r.other = e.x),
+m AS (SELECT id, min(other) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, coalesce(m.component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.id = d.doc_id"""
+
+_shares = {
+    "symbol_share": "n_symbols / greatest(word_chars, 1)",
+    "dup_line_share": "n_dup_lines / greatest(n_words / 8.0, n_dup_lines, 1)",
+    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+    "word_length": "word_chars / greatest(n_words, 1)",
+}
+_tall = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS measure, CAST({x} AS DOUBLE) AS v, CAST({quality_rules.MEASURES[m]} AS DOUBLE) AS least_fence FROM x" for m, x in _shares.items())
+
+
+def _fence(groups: str) -> str:
+    return f"""SELECT {groups}, measure, max(size) AS size, greatest(q75 + {quality_rules.FENCE} * (q75 - q50), any_value(least_fence)) AS fence FROM (
+    SELECT {groups}, measure, size, least_fence, pow({quality_rules.GAMMA}, min(CASE WHEN upto >= size * 0.5 THEN bucket END) OVER g) AS q50, pow({quality_rules.GAMMA}, min(CASE WHEN upto >= size * 0.75 THEN bucket END) OVER g) AS q75
+    FROM (SELECT {groups}, measure, least_fence, bucket, sum(count(*)) OVER (PARTITION BY {groups}, measure ORDER BY bucket) AS upto, sum(count(*)) OVER (PARTITION BY {groups}, measure) AS size
+      FROM k GROUP BY {groups}, measure, least_fence, bucket)
+    WINDOW g AS (PARTITION BY {groups}, measure)) GROUP BY {groups}, measure, q50, q75"""
+
+
+QUALITY = rf"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '{WORD}')) AS lines FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+a AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM a, range(8) t(j) GROUP BY doc_id),
+x AS (SELECT d.doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda s: length(s))), 0) AS BIGINT) AS word_chars,
+    length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r USING (doc_id)),
+t AS ({_tall}),
+k AS (SELECT *, CAST(ceil(ln(greatest(v, 1e-4)) / ln({quality_rules.GAMMA})) AS INTEGER) AS bucket FROM t),
+fs AS ({_fence('lang, source')}), fl AS ({_fence('lang')}),
+bad AS (SELECT DISTINCT k.doc_id FROM k LEFT JOIN fs ON k.lang IS NOT DISTINCT FROM fs.lang AND k.source IS NOT DISTINCT FROM fs.source AND k.measure = fs.measure AND fs.size >= {quality_rules.MIN_GROUP}
+    LEFT JOIN fl ON k.lang IS NOT DISTINCT FROM fl.lang AND k.measure = fl.measure WHERE k.v > coalesce(fs.fence, fl.fence))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM x"""
+
+_weights = ", ".join(f"{w}.0" for w in mixing.WEIGHTS)
+_ramps = ", ".join(map(str, mixing.RAMPS))
+_use = "CASE WHEN ramp = 0 THEN u ELSE 2 * u / (1 - ramp + sqrt(greatest((1 - ramp) * (1 - ramp) + 4 * ramp * u, 0))) END"
+MIXING = rf"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS ord FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+s1 AS (SELECT *, CAST([{_weights}][place % {len(mixing.WEIGHTS)} + 1] AS DOUBLE) AS weight, source_size * CAST({mixing.MOST} AS DOUBLE) AS cap, CAST([{_ramps}][place % {len(mixing.RAMPS)} + 1] AS DOUBLE) AS ramp FROM s0),
+s2 AS (SELECT *, cap / weight AS level, (sum(source_size) OVER () * CAST({mixing.SHARE} AS DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS water FROM s1),
+s3 AS (SELECT *, (SELECT first(water ORDER BY level, place) FROM s2 WHERE water < level) AS final FROM s2),
+s AS (SELECT source, source_size, ramp, coalesce(least(cap, final * weight), cap) AS target FROM s3),
+p AS (SELECT d.doc_id, size, source_size, target, ramp, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY ord, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    CAST(floor(target + 0.5) AS BIGINT) AS want FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+q AS (SELECT *, CASE WHEN source_size > 0 THEN want // source_size ELSE 0 END AS passes FROM p),
+x AS (SELECT *, greatest(0, least(size, want - passes * source_size - before)) AS extra FROM q),
+y AS (SELECT *, CAST(passes * size + extra AS BIGINT) AS taken, CASE WHEN extra > 0 THEN passes ELSE passes - 1 END AS last_pass FROM x)
+SELECT doc_id, size, source_size, target, taken,
+  CASE WHEN taken > 0 THEN (SELECT {_use} FROM (SELECT least(CAST(before AS DOUBLE) / greatest(target, 1), 1) AS u)) END AS position,
+  CASE WHEN taken > 0 THEN (SELECT {_use} FROM (SELECT least(CAST(last_pass * source_size + before AS DOUBLE) / greatest(target, 1), 1) AS u)) END AS last_position
+FROM y"""
+
+DECONTAMINATION = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({_low('text')}, '{ALNUM}') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_low('text')}, '{ALNUM}') AS w FROM benchmark),
+i AS (SELECT DISTINCT item, k, array_to_string(w[a:a + k - 1], ' ') AS g FROM (SELECT item, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS a FROM b WHERE len(w) > 0)),
+z AS (SELECT DISTINCT k FROM i),
+v AS (SELECT doc_id, k, a, array_to_string(w[a:a + k - 1], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS a FROM d JOIN z ON len(w) >= k)),
+m AS (SELECT v.doc_id, v.k, v.a, i.item FROM v JOIN i ON v.k = i.k AND v.g = i.g),
+h AS (SELECT doc_id, count(DISTINCT a + o) AS n FROM m, range(10) t(o) WHERE o < k GROUP BY doc_id),
+n AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(len(items), 0) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+_fit = {h + p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))" for h, p, _ in URL_RULES}
+_longest = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+_rule = "CASE " + " ".join(f"WHEN {_fit[h + p]} THEN '{h + p}'" for h, p, _ in _longest) + " END"
+_said = "CASE rule " + " ".join(f"WHEN '{h + p}' THEN '{v}'" for h, p, v in _longest) + " END"
+_parts = rf"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{SMALL}') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path"
+URLS = rf"""WITH RECURSIVE h AS (
+  SELECT regexp_replace(url, '(?s)#.*$', '') AS u, regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0) AS tag,
+    regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0) AS meta FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+l AS (
+  SELECT u, regexp_replace(v, '(?s)#.*$', '') AS v FROM (
+    SELECT u, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS v FROM h UNION ALL SELECT u, regexp_extract(meta, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM h) WHERE contains(v, '://')),
+e AS (SELECT u AS x, v AS y FROM l WHERE u <> v UNION SELECT v, u FROM l WHERE u <> v),
+r(id, other) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.id, e.y FROM r JOIN e ON r.other = e.x),
+o AS (SELECT *, {_said} AS said FROM (SELECT *, {_rule} AS rule FROM (SELECT id, other AS url, {_parts.replace("coalesce(url, '')", 'other')} FROM r))),
+alias AS (SELECT id FROM o GROUP BY id HAVING count(*) FILTER (said = 'block') > 0 AND count(*) FILTER (said = 'allow') = 0),
+p AS (SELECT *, {_rule} AS rule FROM (SELECT page_id, regexp_replace(url, '(?s)#.*$', '') AS node, {_parts} FROM pages))
+SELECT page_id, host, path, rule, coalesce({_said}, CASE WHEN node IN (SELECT id FROM alias) THEN 'block' ELSE 'allow' END) AS verdict FROM p"""
+
+
+def _licenses() -> str:
+    known = ", ".join(f"({_text(k)}, {_text(v)})" for k, v in licenses.SENTENCES.items())
+    steps, last = [], "l0"
+    for k, (ids, name, _) in enumerate(licenses.RULES, 1):
+        one = _text("".join(f"|{i}|" for i in ids))
+        steps.append(f"l{k} AS (SELECT doc_id, ids, replace(line, {one}, '#') AS line, CASE WHEN contains(line, {one}) THEN list_append(names, '{name}') ELSE names END AS names FROM {last})")
+        last = f"l{k}"
+    once = "list_filter(names, lambda x, i: list_position(names, x) = i)"
+    kinds = {name: kind for _, name, kind in licenses.RULES}
+    strict = " ".join(f"WHEN list_has_any(names, [{', '.join(_text(n) for n, k in kinds.items() if k == c)}]) THEN '{c}'" for c in licenses.CLASSES)
+    return rf"""WITH known(sentence, id) AS (VALUES {known}),
+t AS (SELECT doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '\n|[.!?;]([\x20\x09-\x0D]|$)', chr(10), 'g'), chr(10))) AS s, unnest(range(length(coalesce(text, '')) + 1)) AS i FROM documents),
+m AS (SELECT doc_id, i, id FROM (SELECT doc_id, i, trim(regexp_replace({_low('s')}, '[^a-z0-9]+', ' ', 'g')) AS s FROM t WHERE s IS NOT NULL) JOIN known ON s = sentence),
+g AS (SELECT doc_id, list(id ORDER BY i) AS ids FROM m GROUP BY doc_id),
+l0 AS (SELECT d.doc_id, coalesce(ids, []) AS ids, array_to_string(list_transform(coalesce(ids, []), lambda x: '|' || x || '|'), '') AS line, CAST([] AS VARCHAR[]) AS names FROM documents d LEFT JOIN g USING (doc_id)),
+{', '.join(steps)}
+SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ',') AS sentence_ids, array_to_string({once}, ',') AS licenses,
+  array_to_string(list_filter(string_split_regex(line, '[|#]'), lambda x: x <> ''), ',') AS unclaimed, CASE {strict} END AS license_class FROM {last}"""
+
+
+ORACLES: dict[str, str] = {
+    "op4_near_dup": NEAR_DUP,
+    "op5_quality_rules": QUALITY,
+    "op6_mixing": MIXING,
+    "op8_decontamination": DECONTAMINATION,
+    "op9_url_filters": URLS,
+    "op10_license_scans": _licenses(),
+}
