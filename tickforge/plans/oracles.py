@@ -128,7 +128,7 @@ widening AS (
   SELECT app_id, market_hash_name, 'spread_widening' AS anomaly_type, least((bps - m) / s / 10, 1.0) AS severity, (bps - m) / s AS score, observed_at, bps AS spread_bps, m AS ewm_mean
   FROM zw WHERE s > 0 AND (bps - m) / s >= 3)"""
 CROSSED = f"""crossed AS (
-  SELECT app_id, market_hash_name, 'crossed_book' AS anomaly_type, coalesce(least(abs({BPS}) / 1000, 1.0), 0.5) AS severity, {BPS} AS score, observed_at
+  SELECT app_id, market_hash_name, 'crossed_book' AS anomaly_type, CASE WHEN {BPS} IS NULL THEN 0.5 ELSE least(abs({BPS}) / 1000, 1.0) END AS severity, {BPS} AS score, observed_at
   FROM obs WHERE source_endpoint = 'orderbook' AND highest_buy > lowest_sell)"""
 COMMON = "app_id, market_hash_name, anomaly_type, severity, score, observed_at"
 MART = f"""{OBS}, {_bars()}, {_zscore()}, {_spike('bars')}, {WIDENING}, {CROSSED},
