@@ -23,7 +23,7 @@ MIN_WORDS, REPEAT_PERCENT = 20, 30
 GAMMA = 1.02
 FENCE = 6.0
 #: Measures, and the least value that may be refused: below it text is ordinary whatever the group looks like.
-MEASURES = {"symbol_share": 0.10, "dup_line_share": 0.30, "repeat_share": 0.15, "word_length": 12.0}
+MEASURES = {"symbol_share": 0.06, "dup_line_share": 0.30, "repeat_share": 0.29, "word_length": 12.0}
 MIN_GROUP = 50
 
 
