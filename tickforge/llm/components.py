@@ -19,11 +19,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = both.unionByName(edges.select(F.col("v").alias("n"), F.col("u").alias("o")))
     if not large:
         both = both.filter("o < n")
-    low = both.groupBy("n").agg(F.min("o").alias("m")).select("n", F.least("n", "m").alias("m"))
+    low = both.groupBy("n").agg(F.min("o").alias("m")).select("n", F.least("n", "m").alias("m"), F.xxhash64("n").alias("h"))
+    # The second key makes the join deal both sides anew, as plain exchanges: only those are split where a hub is skewed.
+    both = both.withColumn("h", F.xxhash64("n"))
     if large:
-        out = both.filter("o > n").join(low, "n").select(F.col("o").alias("u"), F.col("m").alias("v"))
+        out = both.filter("o > n").join(low, ["n", "h"]).select(F.col("o").alias("u"), F.col("m").alias("v"))
     else:
-        out = both.join(low, "n").select(F.col("o").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("n").alias("u"), F.col("m").alias("v")))
+        out = both.join(low, ["n", "h"]).select(F.col("o").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("n").alias("u"), F.col("m").alias("v")))
     return out.filter("u <> v").distinct()
 
 

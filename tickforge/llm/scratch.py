@@ -54,7 +54,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_batches(spark: SparkSession, rows: int = 4000) -> None:
+def arrow_batches(spark: SparkSession, rows: int = 4000, size: int = 8 << 20) -> None:
     """Bound the Arrow batches sent to Python workers: documents can be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
