@@ -25,28 +25,26 @@ FENCE = 6.0
 #: Measures, and the least value that may be refused: below it text is ordinary whatever the group looks like.
 MEASURES = {"symbol_share": 0.06, "dup_line_share": 0.30, "repeat_share": 0.29, "word_length": 12.0}
 MIN_GROUP = 50
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _repeats(hashes: Column) -> Column:
-    """Words covered by windows whose hash occurs twice or more, from the hashes of all windows."""
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    same = lambda p, i, d: F.coalesce(F.get(p, i + d)["h"] == F.get(p, i)["h"], F.lit(False))
-    # `_pairs` is bound to a column first: lambdas look it up by place.
-    p = F.col("_pairs")
-    at = F.array_sort(
-        F.transform(
-            F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: ((i > 0) & same(p, i, -1)) | same(p, i, 1)),
-            lambda i: F.get(p, i)["i"],
-        )
-    )
-    covered = F.aggregate(
+def _sorted_windows(hashes: Column) -> Column:
+    """``(hash, place)`` of all windows, equal hashes side by side."""
+    return F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+
+
+def _covered(p: Column) -> Column:
+    """How many words the windows cover that occur twice or more, from sorted windows."""
+    same = lambda i, d: F.coalesce(F.get(p, i + d)["h"] == F.get(p, i)["h"], F.lit(False))
+    again = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: ((i > 0) & same(i, -1)) | same(i, 1))
+    at = F.array_sort(F.transform(again, lambda i: F.get(p, i)["i"]))
+    return F.aggregate(
         at,
         F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda acc, i: F.struct(
             (i + WINDOW).alias("end"), (acc["n"] + (i + WINDOW - F.greatest(acc["end"], i)).cast("long")).alias("n")
         ),
     )["n"]
-    return pairs, covered
 
 
 def measures(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
@@ -73,14 +71,11 @@ def measures(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("
             ).otherwise(F.array().cast("array<bigint>")),
         )
     )
-    pairs, covered = _repeats(F.col("_hashes"))
+    # Most texts repeat nothing, which one pass over the hashes shows.
     again = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    rows = rows.withColumn("_pairs", F.when(again, pairs)).withColumn(
-        "n_repeat_words", F.when(F.col("_pairs").isNotNull(), covered).otherwise(F.lit(0).cast("long"))
-    )
-    return rows.select(
-        *(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.size("_words").alias("_n")
-    ).drop("_n")
+    rows = rows.withColumn("_pairs", F.when(again, _sorted_windows(F.col("_hashes"))))
+    rows = rows.withColumn("n_repeat_words", F.when(F.col("_pairs").isNotNull(), _covered(F.col("_pairs"))).otherwise(F.lit(0).cast("long")))
+    return rows.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), *COUNTS)
 
 
 def _shares(rows: DataFrame) -> DataFrame:
@@ -124,8 +119,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     The cutoff of a language and source with fewer than ``MIN_GROUP`` documents is the one of its language.
     """
-    rows = materialize(measures(docs, text_col, (id_col, lang_col, source_col)).toDF("_id", "_lang", "_source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), "quality")
-    rows = _shares(rows)
+    counted = measures(docs, text_col, (id_col, lang_col, source_col)).toDF("_id", "_lang", "_source", *COUNTS)
+    rows = _shares(materialize(counted, "quality"))
     fine = sketches(rows, ("_lang", "_source"))
     per_source = fences(fine, ("_lang", "_source")).filter(F.col("size") >= MIN_GROUP)
     per_lang = fences(fine.groupBy("_lang", "measure", "bucket").agg(F.sum("n").alias("n")), ("_lang",))
@@ -141,5 +136,5 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     for m in MEASURES:
         good &= F.col(m) <= F.coalesce(F.col(f"s_{m}"), F.col(f"l_{m}"))
     return joined.select(
-        F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & good).alias("kept")
+        F.col("_id").alias(id_col), *COUNTS, failed.alias("base_failed"), (~failed & good).alias("kept")
     )
