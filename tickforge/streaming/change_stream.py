@@ -47,8 +47,8 @@ def detect_changes_stream(obs: DataFrame, late: str = "keep", strict_domain: boo
             domain = r.money_domain
             newest = r.observed_at if newest is None else max(newest, r.observed_at)
         state.update((*(known[f] for f in WATCHED), newest, domain))
-        names = [c.split()[0] for c in CHANGE.split(", ")]
-        yield pd.DataFrame(out, columns=names)
+        if out:
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in CHANGE.split(", ")])
 
     columns = ["app_id", "market_hash_name", "observed_at", *WATCHED, "source_endpoint", "money_domain"]
     nullable = obs.select(*columns)
