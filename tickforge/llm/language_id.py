@@ -27,6 +27,8 @@ from .scratch import arrow_batches
 from .wordstream import slices
 
 GRAM, DIMENSIONS = 3, 1024
+#: Texts, and distinct n-grams, that are bundled at once; they bound a task's dense matrices.
+ROWS, COLUMNS = 512, 2048
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -100,11 +102,11 @@ def bundle(texts: list[str | None], groups: np.ndarray | None = None, n_groups:
     size = len(texts) if groups is None else n_groups
     out = np.zeros((size, DIMENSIONS), np.float64)
     used, col = np.unique(gram, return_inverse=True)
-    for a in range(0, len(used), 4096):  # bounds the dense matrices, whatever the alphabet
-        part = (col >= a) & (col < a + 4096)
-        counts = np.zeros((size, min(4096, len(used) - a)), np.float32)
+    for a in range(0, len(used), COLUMNS):
+        part = (col >= a) & (col < a + COLUMNS)
+        counts = np.zeros((size, min(COLUMNS, len(used) - a)), np.float32)
         np.add.at(counts, (rows[part], col[part] - a), n[part].astype(np.float32))
-        out += counts @ gram_vectors(used[a : a + 4096], chars).astype(np.float32)
+        out += counts @ gram_vectors(used[a : a + COLUMNS], chars).astype(np.float32)
     return out
 
 
@@ -115,7 +117,7 @@ def prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch, size=1 << 20):
+            for part in slices(batch, size=1 << 20, rows=ROWS):
                 names, groups = np.unique(np.array(part.column("lang").to_pylist(), dtype=object).astype(str), return_inverse=True)
                 for name, v in zip(names, bundle(part.column("text").to_pylist(), groups, len(names)), strict=True):
                     total[str(name)] = total.get(str(name), 0) + v
@@ -148,7 +150,7 @@ def predict_language(docs: DataFrame, learned: dict[str, np.ndarray], text_col:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = _letter_map() != 32
         for batch in batches:
-            for part in slices(batch, text_col, size=1 << 20):
+            for part in slices(batch, text_col, size=1 << 20, rows=ROWS):
                 texts = part.column(text_col).to_pylist()
                 v = bundle(texts)
                 v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)

@@ -112,12 +112,12 @@ def hash_words(texts: pa.Array, word: np.ndarray = BLANK, fold: np.ndarray = LOW
     return Words(h, np.searchsorted(start, off), start, end, data)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``size`` bytes of text; a longer document stands alone."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = 2 << 20, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes of text and at most ``rows`` rows; a longer document stands alone."""
     raw = text_bytes(batch.column(column))[1]
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(raw, raw[at] + size, "right")) - 1)
+        to = min(at + rows, max(at + 1, int(np.searchsorted(raw, raw[at] + size, "right")) - 1))
         yield batch.slice(at, to - at)
         at = to
 
