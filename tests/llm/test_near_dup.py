@@ -77,6 +77,22 @@ def test_parts_too_large_for_a_task(spark, groups, monkeypatch):
     assert got(near_dup.components_of(spark.createDataFrame(groups, "doc_id long, text string"), 3, 85)) == brute(groups, 3, 85)
 
 
+def test_links_of_shuffled_chains():
+    """Revisions that drift: only neighbours in a chain reach the threshold, and every order of the sets finds all links."""
+    import numpy as np
+
+    rng = random.Random(5)
+    for _ in range(300):
+        chains = [[np.arange(c * 1000 + k, c * 1000 + k + 20) for k in range(rng.randrange(2, 12))] for c in range(rng.randrange(1, 4))]
+        sets = [s for chain in chains for s in chain]
+        rng.shuffle(sets)
+        label = list(range(len(sets)))
+        for i, j in near_dup._linked(sets, 85):
+            assert abs(int(sets[i][0]) - int(sets[j][0])) == 1
+            label = [label[i] if x == label[j] else x for x in label]
+        assert len(set(label)) == len(chains)
+
+
 def test_odd(odd, empty):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert got(near_dup.components_of(odd, 3, 85)) == brute(rows, 3, 85)

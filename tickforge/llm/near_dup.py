@@ -105,9 +105,10 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A forest of links: pairs of places in ``sets`` whose Jaccard similarity reaches ``percent``, enough to join all
     that the links join.
 
-    A set is compared with all others at once, by counting over the lists of the sets that hold its shingles.  Two sets that are
-    both in the largest component so far need no comparison, so a group of near copies costs little more than its exceptions.
-    Memory is in proportion to the sets.
+    A set is compared with all others at once, by counting over the lists of the sets that hold its shingles.  A set that is in
+    the largest component so far is passed over, so a group of near copies costs little more than its exceptions.  As another
+    component may become the largest later, sets passed over are compared in the end until all that never were lie in one
+    component: a link between two of those joins nothing.  Memory is in proportion to the sets.
     """
     n = np.array([len(x) for x in sets], np.int64)
     m = len(n)
@@ -119,10 +120,11 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     listed = owner[by_code]
     begin = np.concatenate([[0], np.cumsum(np.where(df >= 2, df, 0))])
     first = np.searchsorted(owner, np.arange(m + 1))
-    label, size = np.arange(m), np.ones(m, np.int64)
+    label, size, compared = np.arange(m), np.ones(m, np.int64), np.zeros(m, bool)
     links: list[tuple[int, int]] = []
 
     def compare(i: int) -> None:
+        compared[i] = True
         own = code[first[i] : first[i + 1]]
         many = begin[own + 1] - begin[own]
         at = np.repeat(begin[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
@@ -140,6 +142,12 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     for i in range(m):
         if label[i] != np.argmax(size) or size.max() == 1:
             compare(i)
+    rest = np.flatnonzero(~compared)
+    if len(rest):
+        stay = rest[np.argmax(np.bincount(label[rest])[label[rest]])]
+        for i in rest.tolist():
+            if label[i] != label[stay]:
+                compare(i)
     return links
 
 
