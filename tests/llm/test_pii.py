@@ -72,6 +72,16 @@ def test_added_kinds(spark):
     assert "secret:0:34" in got[5]
 
 
+def test_secrets_without_digits_and_long_ones(spark):
+    long = "Ab-" * 4000
+    texts = [(1, 'password = "CorrectHorseBatteryStaple" is set'), (2, f"token: '{long}'."), (3, 'password = "TooShort"'), (4, 'password = "CorrectHorseBatteryStaple')]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.pii_digest(df).collect()}
+    assert got == {1: "secret:0:38", 2: f"secret:0:{9 + len(long)}", 3: "", 4: ""}
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert masked == {1: "<SECRET> is set", 2: "<SECRET>.", 3: texts[2][1], 4: texts[3][1]}
+
+
 def test_redact(spark, odd):
     df = spark.createDataFrame([(1, "x a@b.cc y 1.2.3.4", 18), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.redact(df, length_col="n_chars").collect()}
