@@ -42,3 +42,58 @@ def test_ordered_rules(spark, odd, empty):
     assert rows[7]["sentence_ids"] == "MitShort,MitShort" and rows[7]["unclaimed"] == ""
     assert rows[5]["n_sentences"] == rows[6]["n_sentences"] == 0 and rows[5]["license_class"] is None
     assert licenses.scan_licenses(odd).count() == odd.count() and licenses.scan_licenses(empty).count() == 0
+
+
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+BSD = """Redistribution and use in source and binary forms are permitted provided that:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+ENDORSE = """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+MIT = """The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+
+
+def test_wrapped_licences(spark):
+    want = {
+        APACHE: ("Apache2Grant,Apache2Comply,Apache2Copy", "Apache-2.0"),
+        GPL.format(":"): ("Gpl3Grant,GplHope", "GPL-3.0"),
+        GPL.format(";"): ("GplFree,Gpl3Terms,GplHope", "GPL-3.0"),
+        BSD: ("BsdSource,BsdBinary", "BSD-2-Clause"),
+        BSD + ENDORSE: ("BsdSource,BsdBinary,BsdEndorse", "BSD-3-Clause"),
+        MIT: ("MitCondition", "MIT"),
+        MIT.replace("copies", "\ncopies"): ("", ""),  # an empty line ends a sentence
+        "a licence line\nReleased under the MIT License\nmore text": ("MitShort", "MIT"),
+    }
+    texts, found = [], []
+    for text, ids in want.items():
+        for first, mark in (("", ""), ("", "# "), ("", "// "), ("/*\n", " * ")):
+            texts.append((len(texts), (first + "\n".join((mark + line).rstrip() for line in text.split("\n"))).replace("\n", "\r\n" if len(texts) % 2 else "\n")))
+            found.append(ids)
+    rows = sorted(licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect())
+    assert [(r["sentence_ids"], r["licenses"]) for r in rows] == found

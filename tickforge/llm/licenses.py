@@ -1,13 +1,15 @@
 r"""License scans by sentence recognition.
 
-A text's sentences are normalised (A-Z lower-cased, everything but letters and digits one blank) and looked up in a small
+A text is normalised (A-Z lower-cased, everything but letters, digits and the ends of sentences and lines one blank) and searched for a small
 table of known licence sentences, which gives each document a sequence of sentence identifiers.  Ordered rules then match
 sequences of identifiers: the first rule that fits claims its sentences, which later rules don't see again.  Identifiers that
 no rule claims are reported too.
 
 The tables are fixed and small, so they are literals of the plan; nothing is shuffled.
 
-Sentences end at a line break or at ``.``, ``!``, ``?`` or ``;`` before white space or the end.  Defined results: null and empty texts have no sentence
+Sentences begin and end at a line break or at ``.``, ``!``, ``?`` or ``;`` before white space or the end.  A known sentence may go on over single
+line breaks, with or without comment markers, as licence texts are wrapped, but not over an empty line, unless that stands between ``at`` and
+a url; of sentences that begin at the same place the longest counts.  Defined results: null and empty texts have no sentence
 (empty strings, 0); a licence that occurs again counts once; other columns are ignored; an empty table gives an empty result.
 """
 
@@ -68,20 +70,30 @@ RULES = (
 CLASSES = ("restricted", "copyleft", "permissive")
 #: No text without one of these words holds a known sentence.
 HINT = r"(?i)licen[sc]|redistribut|free\x20software|copyright\x20|rights\x20reserved|without\x20any|except\x20in"
-BREAK = r"\n|[.!?;](?=[\x20\x09-\x0D]|$)"
+#: Steps of normalising a lower-cased text.  S stands for the end of a sentence, N for a line break, neither with blanks around it.
+STEPS = (
+    (r"[.!?;](?=[\x20\x09-\x0D]|$)", "S"),
+    (r"\n", "N"),
+    (r"[^a-z0-9SN]+", " "),
+    (r"\x20?([SN])\x20?", "$1"),
+    (r"(?<![a-z0-9])atN+(?=http)", "atN"),
+    (r"[SN]*S[SN]*|NN+", "S"),
+)
 
 
-def normalise(sentence: Column) -> Column:
-    low = F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
+def normalise(text: Column) -> Column:
+    out = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for pattern, new in STEPS:
+        out = F.regexp_replace(out, pattern, new)
+    return F.trim(out)
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     """Identifiers of the known sentences of a text, in their order."""
     known = F.create_map(*(F.lit(x) for pair in sentences.items() for x in pair))
-    longest = 2 * max(map(len, sentences))
-    parts = F.filter(F.split(text, BREAK, -1), lambda s: F.length(s).between(5, longest))
-    ids = F.filter(F.transform(parts, lambda s: F.try_element_at(known, normalise(s))), lambda i: i.isNotNull())
+    longest_first = "|".join(s.replace(" ", "[\\x20N]") for s in sorted(sentences, key=len, reverse=True))
+    found = F.regexp_extract_all(normalise(text), F.lit(rf"(?:^|(?<=[SN]))(?:{longest_first})(?=[SN]|$)"), F.lit(0))
+    ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, "N", " ")))
     return F.when(text.rlike(HINT), ids).otherwise(F.array().cast("array<string>"))
 
 
