@@ -94,6 +94,26 @@ def test_odd(spark, odd, empty):
     assert rows and all(r["base_score"] == 0 and r["n_known"] == 0 and r["train_tokens"] == 0 for r in rows)
 
 
+def test_ngrams_that_occur_once_count(spark):
+    """A held-out copy of a single training document scores far above its own words in another order."""
+    out = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2]
+    new = next(i for i in range(100) if i not in out)
+    words = [f"w{j}" for j in range(200)]
+    rows = [(new, " ".join(words)), (out[0], " ".join(words)), (out[1], " ".join(words[::-1]))]
+    got = {r["doc_id"]: r for r in lm_score.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    copy, turned = got[out[0]], got[out[1]]
+    assert copy["held_out"] and turned["held_out"] and copy["base_score"] == pytest.approx(turned["base_score"])
+    assert copy["score"] > turned["score"] + 200
+
+
+def test_successors_of_many_contexts_stay_in_range():
+    """Numbers of successors, summed over 2**30 contexts of a shard, stay below 2**63 for 2**32 words in 64 shards."""
+    model = lm_score.Model(bits=6)
+    words = (np.array([0, 0, 5, 63, 63]) << lm_score.LOCAL) + np.array([0, 1, 2, 0, (1 << 26) - 1])
+    dense = model.dense(words)
+    assert len(set(dense.tolist())) == len(words) and int(dense.max()) < 1 << 32
+
+
 def test_probabilities_sum_to_one(spark):
     texts = ["a b a b c", "a b c", "b a", "a b a c c", "c"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")

@@ -1,13 +1,14 @@
 r"""Language-model scores of whole texts with an Elias-Fano n-gram trie.
 
-Training counts words, then longer n-grams level by level: an n-gram is counted only where its first and its last part were kept at the
-level below, which loses nothing, because one that occurs ``MIN_COUNT`` times has parts that do.  All counts are over the whole
-corpus: tasks combine what they have seen, and a shuffle by the hash of the n-gram, even for hot contexts, adds them up.
+Training counts words, then longer n-grams level by level, and keeps every n-gram (``MIN_COUNT`` is 1; a model that is pruned on
+purpose would keep those of more occurrences, whose parts occur as often).  All counts are over the whole
+corpus: tasks combine what they have seen, and one shuffle of a level, packed and by the shard of the context, adds them up where the
+shard is built.
 
 The model is a trie whose levels lie in files of the shared folder, a number of shards to a level:
 
 * level 1: the sorted 64-bit hashes of the words in an Elias-Fano sequence, and their exact counts;
-* level n: the contexts that have successors, monotone pointers to the range of each, and the successors' ids, shifted by the
+* level n: the contexts that have successors, monotone pointers to the range of each, and the successors' dense numbers, shifted by the
   last value of the range before so that the whole shard is one monotone sequence; all three are Elias-Fano sequences.  Beside them
   16-bit logarithms of the smoothed probability of each successor and of the back-off weight of each context.
 
@@ -33,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .elias_fano import EliasFano, load, save
-from .scratch import arrow_batches, materialize, new_folder
+from .scratch import arrow_batches, new_folder
 from .wordstream import BLANK, hash_words, mix, slices
 
-ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.6
+ORDER, MIN_COUNT, DISCOUNT = 3, 1, 0.6
 BEGIN, END = np.uint64(1), np.uint64(2)
 #: Ids are shard << LOCAL | place; range of a stored logarithm; entries that a task combines before it passes them on.
 LOCAL, RANGE, COMBINE = 40, 24.0, 3 << 19
@@ -109,6 +110,10 @@ class Model:
             out[at] = restore(_file(self.paths[level - 1][k])[16][ids[at] & ((1 << LOCAL) - 1)])
         return out
 
+    def dense(self, words: np.ndarray) -> np.ndarray:
+        """Word ids as numbers without gaps between the shards, so that sums over many contexts stay below 2**63."""
+        return ((words & ((1 << LOCAL) - 1)) << self.bits) | (words >> LOCAL)
+
     def successors(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(id, log10 p, log10 back-off)`` of pairs of a context of ``level - 1`` and a word; id -1 if not kept."""
         ids, logs, back = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.zeros(len(context))
@@ -127,7 +132,7 @@ class Model:
             live = there[inverse]
             at, row = at[live], row[inverse[live]]
             back[at] = restore(a[15][place[row]])
-            target = word[at].astype(np.uint64) + shift[row]
+            target = self.dense(word[at]).astype(np.uint64) + shift[row]
             size = follow.get(np.array([follow.n - 1]))[0] if follow.n else np.uint64(0)
             found, equal = follow.find(np.minimum(target, size))
             hit = equal & (target <= size) & (found.astype(np.uint64) >= begin[row]) & (found.astype(np.uint64) < end[row])
@@ -268,12 +273,17 @@ def _count_words(docs: DataFrame, bits: int) -> DataFrame:
     return docs.select("text").mapInArrow(count, "w long, n long").withColumn("shard", shard)
 
 
+def _width(level: int) -> int:
+    """Packed columns of an n-gram: context, last word, the n-gram without its first word (at level 2 the word itself), count."""
+    return 3 if level == 2 else 4
+
+
 def _count_level(docs: DataFrame, model: Model, level: int, parts: int) -> DataFrame:
-    """``c, w, low, n``: kept n-grams of ``level`` as context id, word id and the id of the n-gram without its first word.
+    """``k, packed``: counted n-grams of ``level`` as context id, word id and the id of the n-gram without its first word.
 
-    Each task combines its n-grams, deals them by hash into ``parts`` parts, and passes each on as one packed value.
+    Each task combines its n-grams, deals them to the shards of their contexts, and passes each on as one packed value.
     """
-    width = 3 if level == 2 else 4  # at level 2 the lower n-gram is the word itself
+    width, mask = _width(level), (1 << model.bits) - 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Pairs()
@@ -282,9 +292,8 @@ def _count_level(docs: DataFrame, model: Model, level: int, parts: int) -> DataF
             columns = pairs.take(least)
             if columns is None:
                 return
-            part = (mix(columns[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + columns[1].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-            for p, at in _by_shard(part):
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([_pack(tuple(c[at] for c in columns))], pa.binary())], names=["p", "packed"])
+            for k, at in _by_shard(columns[0] & mask):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_pack(tuple(c[at] for c in columns))], pa.binary())], names=["k", "packed"])
 
         for batch in batches:
             for part in slices(batch, size=SLICE):
@@ -297,23 +306,7 @@ def _count_level(docs: DataFrame, model: Model, level: int, parts: int) -> DataF
                 yield from out(COMBINE)
         yield from out(0)
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for p, blob in zip(batch.column("p").to_pylist(), batch.column("packed").to_pylist(), strict=True):
-                packed.setdefault(p, []).append(blob)
-        for blobs in packed.values():
-            pairs = _Pairs()
-            for blob in blobs:
-                pairs.add(*_unpack(blob, width))
-            c, w, *low, n = pairs.combined()
-            keep = n >= MIN_COUNT
-            c, w, low, n = c[keep], w[keep], (low[0] if low else w)[keep], n[keep]
-            for a in range(0, len(c), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 200_000]) for x in (c, w, low, n)], names=["c", "w", "low", "n"])
-
-    dealt = docs.select("text").mapInArrow(count, "p int, packed binary").repartition(parts, "p")
-    return dealt.mapInArrow(add_up, "c long, w long, low long, n long")
+    return docs.select("text").mapInArrow(count, "k int, packed binary").repartition(parts, "k")
 
 
 def _read_all(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> list[np.ndarray]:
@@ -355,42 +348,55 @@ def _save_words(counts: DataFrame, bits: int, folder: str, parts: int) -> DataFr
     return counts.repartition(parts, "shard").mapInArrow(build, _SAVED)
 
 
-def _save_level(kept: DataFrame, model: Model, level: int, folder: str, parts: int) -> DataFrame:
-    mask = (1 << model.bits) - 1
+def _save_level(dealt: DataFrame, model: Model, level: int, folder: str) -> DataFrame:
+    width = _width(level)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        c, w, low, n = _read_all(batches, ("c", "w", "low", "n"))
+        packed: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for k, blob in zip(batch.column("k").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                packed.setdefault(k, []).append(blob)
         out = []
-        for k, at in _by_shard(c & mask):
+        while packed:
+            k, blobs = packed.popitem()
+            pairs = _Pairs()
+            for blob in blobs:
+                pairs.add(*_unpack(blob, width))
+            c, w, *low, n = pairs.combined()
+            low, w = low[0] if low else w, model.dense(w)
+            at = np.flatnonzero(n >= MIN_COUNT)
             at = at[np.lexsort((w[at], c[at]))]
-            context, begin = np.unique(c[at], return_index=True)
-            size = np.diff(np.append(begin, len(at)))
+            c, w, low, n = c[at], w[at], low[at], n[at]
+            if not len(c):
+                continue
+            context, begin = np.unique(c, return_index=True)
+            size = np.diff(np.append(begin, len(c)))
             total = model.counts(level - 1, context).astype(float)
-            gained = (n[at] - DISCOUNT) / np.repeat(total, size)
+            gained = (n - DISCOUNT) / np.repeat(total, size)
             back = np.clip(1 - np.add.reduceat(gained, begin), 1e-20, 1)
-            p = gained + np.repeat(back, size) * 10.0 ** model.stored(level - 1, low[at])
-            last = w[at][begin + size - 1].astype(np.uint64)
+            p = gained + np.repeat(back, size) * 10.0 ** model.stored(level - 1, low)
+            last = w[begin + size - 1].astype(np.uint64)
             shift = np.concatenate([[np.uint64(0)], np.cumsum(last)[:-1]]).astype(np.uint64)
-            follow = w[at].astype(np.uint64) + np.repeat(shift, size)
+            follow = w.astype(np.uint64) + np.repeat(shift, size)
             path = f"{folder}/level{level}-{k}-{uuid.uuid4().hex}"
-            pointers = np.append(begin, len(at))
+            pointers = np.append(begin, len(c))
             save(
                 path,
                 [
                     *EliasFano.build(context, int(context[-1]) + 1).arrays(),
-                    *EliasFano.build(pointers, len(at) + 1).arrays(),
+                    *EliasFano.build(pointers, len(c) + 1).arrays(),
                     *EliasFano.build(follow, int(follow[-1]) + 1).arrays(),
                     quantise(np.log10(back)),
                     quantise(np.log10(p)),
-                    _narrow(n[at]),
+                    _narrow(n),
                 ],
             )
-            out.append((k, path, len(at), int(n[at].sum())))
+            out.append((k, path, len(c), int(n.sum())))
         yield _saved(out)
 
-    return kept.repartition(parts, F.col("c").bitwiseAND(F.lit(mask))).mapInArrow(build, _SAVED)
+    return dealt.mapInArrow(build, _SAVED)
 
 
 def train(docs: DataFrame, order: int = ORDER) -> Model:
@@ -405,8 +411,7 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
             files = _save_words(_count_words(docs, model.bits), model.bits, folder, parts).collect()
             model.types, model.tokens = sum(r["n"] for r in files), sum(r["total"] for r in files)
         else:
-            kept = materialize(_count_level(docs, model, level, parts), "ngrams")
-            files = _save_level(kept, model, level, folder, parts).collect()
+            files = _save_level(_count_level(docs, model, level, parts), model, level, folder).collect()
         model.paths.append({r["shard"]: r["path"] for r in files})
     return model
 
