@@ -1,13 +1,15 @@
 """Words of Arrow string batches as arrays of 64-bit hashes.
 
-``hash_words`` lower-cases A-Z, splits the UTF-8 bytes at separator bytes and hashes each word,
-for a whole batch at once.  The hash is a random table value per byte, weighted by its place in the
-word and finished with an avalanche mix, modulo 2**64: equal words always agree, and two different words
-agree with a chance of about 2**-60, which the operators built on it accept.
+``hash_words`` lower-cases A-Z, splits the UTF-8 bytes at separator bytes and hashes each word, for a whole batch at once.  A word's
+length and its first eight bytes are mixed by a bijection of 64 bits, then each further eight bytes are taken in and mixed again; words of over
+``LONG`` bytes get a BLAKE2b digest instead.  Equal words always agree.  Two words of one length up to eight bytes never do; other pairs agree with a chance of
+2**-64, whatever their structure (there is no sum or power that shifted or repeated parts could cancel in), unless somebody makes them on purpose.
+So among ``n`` distinct words ``n * n / 2**65`` pairs are expected to agree: 3e-8 for a million, 0.03 for a billion.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,8 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so powers have an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Words of more bytes are hashed one by one.
+LONG = 256
 
 
 def _separators(*spans: tuple[int, int]) -> np.ndarray:
@@ -35,17 +37,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 KEEP = np.arange(256, dtype=np.uint8)
 
-_TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _upto(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(max(n, 1 << 16), base, dtype=np.uint64)
-            p[0] = 1
-            _powers[i] = np.cumprod(p, dtype=np.uint64)
-    return _powers
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -88,6 +80,24 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words ``data[start:end]``."""
+    size = end - start
+    raw = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", raw, strides=(1,))  # the eight bytes that begin at each place
+    h = mix(size.astype(_U) * _U(0x9E3779B97F4A7C15) + (eight[start] & _MASK[np.minimum(size, 8)]))
+    more = np.flatnonzero(size > 8)
+    for at in range(8, LONG, 8):
+        if not len(more):
+            break
+        h[more] = mix(h[more] ^ (eight[start[more] + at] & _MASK[np.minimum(size[more] - at, 8)]))
+        more = more[size[more] > at + 8]
+    for i in np.flatnonzero(size > LONG).tolist():
+        digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
 def hash_words(texts: pa.Array, word: np.ndarray = BLANK, fold: np.ndarray = LOWER) -> Words:
     raw, off = text_bytes(texts)
     data = fold[raw]
@@ -103,12 +113,7 @@ def hash_words(texts: pa.Array, word: np.ndarray = BLANK, fold: np.ndarray = LOW
     stops = stops[stops >= 0]
     edge[stops] = inside[stops]
     end = np.flatnonzero(edge) + 1
-    if len(start):
-        power, inverse = _upto(len(data))
-        table = np.where(word, _TABLE, _U(0))
-        h = mix(np.add.reduceat(table[data] * power[: len(data)], start) * inverse[start])
-    else:
-        h = np.zeros(0, np.uint64)
+    h = _hash(data, start, end) if len(start) else np.zeros(0, np.uint64)
     return Words(h, np.searchsorted(start, off), start, end, data)
 
 
@@ -122,37 +127,45 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = 2 << 20, row
         at = to
 
 
+def _step(acc: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return (acc ^ (acc >> _U(29))) * _U(0xC2B2AE3D27D4EB4F) + h
+
+
 def windows(h: np.ndarray, first: np.ndarray, k: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``k`` words, and the offsets of each document's runs.  With ``short`` a document of
     fewer words, but not none, has one run: all its words."""
     n = np.diff(first)
-    odd = _U(0xC2B2AE3D27D4EB4F)
-    if len(h) >= k:
-        acc = h[: len(h) - k + 1].copy()
-        for i in range(1, k):
-            acc = acc * odd + h[i : len(h) - k + 1 + i]
-        acc = mix(acc)
-    else:
-        acc = np.zeros(0, np.uint64)
     runs = np.maximum(n - k + 1, 0)
-    if short:
-        runs = np.where((n > 0) & (n < k), 1, runs)
+    few = np.flatnonzero((n > 0) & (n < k)) if short else np.zeros(0, np.int64)
+    runs[few] = 1
     out_first = np.concatenate([[0], np.cumsum(runs)]).astype(np.int64)
     out = np.empty(out_first[-1], np.uint64)
-    full = n >= k
-    where = np.repeat(first[:-1] - out_first[:-1], runs) + np.arange(out_first[-1])
-    is_full = np.repeat(full, runs)
-    out[is_full] = acc[where[is_full]]
-    for d in np.flatnonzero((n > 0) & ~full) if short else ():
-        v = h[first[d]]
-        for i in range(first[d] + 1, first[d + 1]):
-            v = v * odd + h[i]
-        out[out_first[d]] = mix(np.array([v ^ _U(int(n[d]))], dtype=np.uint64))[0]
+    if len(h) >= k:
+        acc = h[: len(h) - k + 1].copy()
+        for i in range(1, k):
+            acc = _step(acc, h[i : len(h) - k + 1 + i])
+        whole = np.repeat(n >= k, runs)
+        at = np.repeat(first[:-1] - out_first[:-1], runs) + np.arange(len(out))
+        out[whole] = mix(acc)[at[whole]]
+    if len(few):
+        acc = h[first[few]]
+        for i in range(1, k - 1):
+            live = np.flatnonzero(n[few] > i)
+            acc[live] = _step(acc[live], h[first[few[live]] + i])
+        out[out_first[few]] = mix(acc ^ n[few].astype(_U))
     return out, out_first
 
 
 def distinct_per_doc(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of each document, and their offsets."""
-    parts = [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-    counts = np.array([len(p) for p in parts], dtype=np.int64)
-    return (np.concatenate(parts) if parts else values[:0]), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    out = np.empty_like(values)
+    size = 0
+    counts = np.zeros(len(first), np.int64)
+    for d, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True), 1):
+        v = np.sort(values[a:b])
+        if len(v) > 1:
+            v = v[np.concatenate([[True], v[1:] != v[:-1]])]
+        out[size : size + len(v)] = v
+        size += len(v)
+        counts[d] = size
+    return out[:size].copy(), counts
