@@ -18,15 +18,17 @@ _ONE = _U(1)
 def _pack(values: np.ndarray, bits: int) -> np.ndarray:
     """Numbers of ``bits`` bits, one after another, as 64-bit words and one spare word."""
     out = np.zeros(len(values) * bits // 64 + 2, _U)
-    if bits:
-        step = 1 << 16  # a multiple of 64 numbers fills whole words
-        for a in range(0, len(values), step):
-            part = values[a : a + step]
-            flat = ((part[:, None] >> np.arange(bits, dtype=_U)) & _ONE).astype(np.uint8).reshape(-1)
-            packed = np.packbits(flat, bitorder="little")
-            packed = np.append(packed, np.zeros(-len(packed) % 8, np.uint8)).view(_U)
-            at = a * bits // 64
-            out[at : at + len(packed)] = packed
+    step = 1 << 18  # a multiple of 64 numbers fills whole words
+    for a in range(0, len(values) if bits else 0, step):
+        v = values[a : a + step]
+        at = np.arange(len(v)) * bits
+        off = (at & 63).astype(_U)
+        # Every word holds the first bit of some number; bits of different numbers never meet, so that sums join them.
+        first = -(-np.arange(0, int(at[-1]) + 1, 64) // bits)
+        base = a * bits // 64
+        out[base : base + len(first)] |= np.add.reduceat(v << off, first)
+        over = np.flatnonzero(off + _U(bits) > 64)
+        out[base + (at[over] >> 6) + 1] |= v[over] >> (_U(64) - off[over])
     return out
 
 

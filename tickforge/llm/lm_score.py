@@ -1,22 +1,24 @@
 r"""Language-model scores of whole texts with an Elias-Fano n-gram trie.
 
-Training counts words, then longer n-grams level by level, and keeps every n-gram (``MIN_COUNT`` is 1; a model that is pruned on
-purpose would keep those of more occurrences, whose parts occur as often).  All counts are over the whole
-corpus: tasks combine what they have seen, and one shuffle of a level, packed and by the shard of the context, adds them up where the
-shard is built.
+Training counts words, then longer n-grams level by level, and keeps every n-gram.  All counts are over the whole corpus: tasks combine
+what they have seen, and one shuffle of a level, packed and dealt by context, adds them up where the files are built.  How many files a level has
+follows from the counted tokens (``SHARD`` of them to a file), not from the session.
 
 The model is a trie whose levels lie in files of the shared folder, a number of shards to a level:
 
-* level 1: the sorted 64-bit hashes of the words in an Elias-Fano sequence, and their exact counts;
-* level n: the contexts that have successors, monotone pointers to the range of each, and the successors' dense numbers, shifted by the
-  last value of the range before so that the whole shard is one monotone sequence; all three are Elias-Fano sequences.  Beside them
-  16-bit logarithms of the smoothed probability of each successor and of the back-off weight of each context.
+* level 1: the sorted 64-bit hashes of the words in an Elias-Fano sequence, their exact counts, and their numbers, which are small for
+  frequent words;
+* level n: the contexts that have successors, monotone pointers to the range of each, and the successors' numbers, each range raised
+  above the range before so that the whole shard is one monotone sequence; all three are Elias-Fano sequences.  Beside them 16-bit
+  logarithms of the discounted probability of each successor and of the back-off weight of each context.
 
-Tasks map the files into memory, so a worker holds only the pages that it touches, and look n-grams up by successor search in the
-range of their context, many at once.
+The number of an n-gram is ``place * shards + shard``, without gaps, so that raised numbers stay below ``words * contexts of a shard``.  Tasks map the
+files into memory, so a worker holds only the pages that it touches, and look n-grams up by successor search in the range of their
+context, many at once.  A context of over ``HOT`` occurrences is dealt to several shards by its successor, so no file grows with one context; the
+driver, which gets those few contexts, joins what the files say about them.
 
 Probabilities are interpolated absolute discounting, ``p(w|h) = (c(hw) - D) / c(h) + b(h) p(w|h')``, where ``b(h)`` is what
-the kept successors leave; the last resort is ``(c + 1) / (N + V + 1)``, which is also the base score.  A text is its words
+the successors leave; the last resort is ``(c + 1) / (N + V + 1)``, which is also the base score.  A text is its words
 (A-Z lower-cased, ``[^\x20\x09-\x0D]+``) and one end.
 
 Defined results: null text is empty, only an end; a null id is never held out; rows that repeat count each; without training rows every
@@ -25,6 +27,7 @@ token has probability 1 / (0 + 1); other columns are ignored; an empty table giv
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,14 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .elias_fano import EliasFano, load, save
-from .scratch import arrow_batches, new_folder
+from .scratch import arrow_batches, materialize, new_folder
 from .wordstream import BLANK, hash_words, mix, slices
 
-ORDER, MIN_COUNT, DISCOUNT = 3, 1, 0.6
+ORDER, DISCOUNT = 3, 0.6
 BEGIN, END = np.uint64(1), np.uint64(2)
-#: Ids are shard << LOCAL | place; range of a stored logarithm; entries that a task combines before it passes them on.
-LOCAL, RANGE, COMBINE = 40, 24.0, 3 << 19
-SLICE = 4 << 20
+#: Tokens (level 1: four for a word) to a file of the trie, about; occurrences of a context that is dealt to one file; tokens that a task combines
+#: before it passes them on; range of a stored logarithm; bytes of text that are worked on at once.
+SHARD, HOT, COMBINE, RANGE, SLICE = 4 << 20, 1 << 20, 4 << 20, 24.0, 4 << 20
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_VALUES = 10.0 ** (np.arange(1 << 16) * (-RANGE / 65535))
 _files: dict[str, list[np.ndarray]] = {}
 
 
@@ -57,140 +62,163 @@ def quantise(log10: np.ndarray) -> np.ndarray:
     return np.rint(np.clip(-log10, 0, RANGE) * (65535 / RANGE)).astype(np.uint16)
 
 
-def restore(stored: np.ndarray) -> np.ndarray:
-    return stored * (-RANGE / 65535)
+def _edges(x: np.ndarray) -> np.ndarray:
+    """Places where a new value begins."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
 
 
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``(shard, places)``, places in ascending order."""
     if not len(shard):
         return
+    if int(shard.max()) < 1 << 16:
+        shard = shard.astype(np.uint16)
     order = np.argsort(shard, kind="stable")
     s = shard[order]
-    edges = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    for a, b in zip(edges, [*edges[1:], len(s)], strict=True):
+    begin = _edges(s)
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(s)], strict=True):
         yield int(s[a]), order[a:b]
 
 
+@dataclass
+class Hot:
+    """Contexts that are dealt to several shards: sorted numbers, number of parts, occurrences, back-off weights."""
+
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    parts: np.ndarray = field(default_factory=lambda: np.ones(0, np.int64))
+    total: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    back: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    @classmethod
+    def of(cls, ids: np.ndarray, total: np.ndarray, most: int) -> Hot:
+        order = np.argsort(ids)
+        return cls(ids[order], -(-total[order] // most), total[order], np.zeros(len(ids)))
+
+    def find(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``context`` of hot ones, and which they are."""
+        if not len(self.ids):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.ids, context), len(self.ids) - 1)
+        hit = np.flatnonzero(self.ids[at] == context)
+        return hit, at[hit]
+
+
 @dataclass
 class Model:
-    """Where the levels lie; ``paths[level][shard]``."""
+    """Where the levels lie (``paths[level - 1][shard]``), how many shards each has, and the hot contexts of each."""
 
-    bits: int
     tokens: int = 0
     types: int = 0
+    shards: list[int] = field(default_factory=list)
     paths: list[dict[int, str]] = field(default_factory=list)
+    hot: list[Hot] = field(default_factory=list)
 
     def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(id, count)`` of word hashes; -1 and 0 for unknown ones."""
+        """``(number, count)`` of word hashes; -1 and 0 for unknown ones."""
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        shard = (hashes >> np.uint64(63 - self.bits) >> np.uint64(1)).astype(np.int64)
-        for k, at in _by_shard(shard):
+        for k, at in _by_shard(word_shard(hashes, self.shards[0])):
             if k in self.paths[0]:
-                *seq, n = _file(self.paths[0][k])
-                place, there = EliasFano.of(seq).find(hashes[at] & np.uint64((1 << (64 - self.bits)) - 1))
+                *seq, rank, n = _file(self.paths[0][k])
+                place, there = EliasFano.of(seq).find(hashes[at])
                 at, place = at[there], place[there]
-                ids[at], counts[at] = (k << LOCAL) + place, n[place]
+                ids[at], counts[at] = rank[place].astype(np.int64) * self.shards[0] + k, n[place]
         return ids, counts
 
-    def counts(self, level: int, ids: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(ids), np.int64)
-        for k, at in _by_shard(ids >> LOCAL):
-            out[at] = _file(self.paths[level - 1][k])[-1][ids[at] & ((1 << LOCAL) - 1)]
-        return out
+    def base(self, counts: np.ndarray) -> np.ndarray:
+        return (counts + 1) / (self.tokens + self.types + 1)
 
-    def log_base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 1) / (self.tokens + self.types + 1))
-
-    def stored(self, level: int, ids: np.ndarray) -> np.ndarray:
-        """log10 probability of the last word of kept n-grams."""
-        if level == 1:
-            return self.log_base(self.counts(1, ids))
-        out = np.zeros(len(ids))
-        for k, at in _by_shard(ids >> LOCAL):
-            out[at] = restore(_file(self.paths[level - 1][k])[16][ids[at] & ((1 << LOCAL) - 1)])
-        return out
-
-    def dense(self, words: np.ndarray) -> np.ndarray:
-        """Word ids as numbers without gaps between the shards, so that sums over many contexts stay below 2**63."""
-        return ((words & ((1 << LOCAL) - 1)) << self.bits) | (words >> LOCAL)
+    def deal(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The shard of ``level`` that holds each pair of a context and a word."""
+        key = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        hit, which = self.hot[level - 2].find(context)
+        if len(hit):
+            key[hit] += mix(word[hit].astype(np.uint64)) % self.hot[level - 2].parts[which].astype(np.uint64)
+        return (mix(key) % np.uint64(self.shards[level - 1])).astype(np.int64)
 
     def successors(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(id, log10 p, log10 back-off)`` of pairs of a context of ``level - 1`` and a word; id -1 if not kept."""
-        ids, logs, back = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.zeros(len(context))
-        for k, at in _by_shard(context & ((1 << self.bits) - 1)):
+        """``(number, discounted probability, back-off weight)`` of pairs of a context of ``level - 1`` and a word, equal contexts side
+        by side; an n-gram that never occurred has number -1 and probability 0, an unknown word is -1."""
+        ids, gained, back = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.ones(len(context))
+        for k, at in _by_shard(self.deal(level, context, word)):
             if k not in self.paths[level - 1]:
                 continue
             a = _file(self.paths[level - 1][k])
             contexts, pointers, follow = EliasFano.of(a[0:5]), EliasFano.of(a[5:10]), EliasFano.of(a[10:15])
-            own, inverse = np.unique(context[at], return_inverse=True)
-            place, there = contexts.find(own.astype(np.uint64))
-            place = place[there]
-            begin, end = pointers.get(place), pointers.get(place + 1)
-            shift = np.zeros(len(place), np.uint64)
-            shift[begin > 0] = follow.get(begin[begin > 0].astype(np.int64) - 1)
-            row = np.cumsum(there) - 1
-            live = there[inverse]
-            at, row = at[live], row[inverse[live]]
-            back[at] = restore(a[15][place[row]])
-            target = self.dense(word[at]).astype(np.uint64) + shift[row]
-            size = follow.get(np.array([follow.n - 1]))[0] if follow.n else np.uint64(0)
-            found, equal = follow.find(np.minimum(target, size))
-            hit = equal & (target <= size) & (found.astype(np.uint64) >= begin[row]) & (found.astype(np.uint64) < end[row])
+            c = context[at]
+            begin = _edges(c)
+            run = np.diff(begin, append=len(c))
+            place, there = contexts.find(c[begin].astype(np.uint64))
+            at, run, place = at[np.repeat(there, run)], run[there], place[there]
+            lo, hi = pointers.get(place).astype(np.int64), pointers.get(place + 1).astype(np.int64)
+            raised = np.zeros(len(place), np.uint64)
+            later = lo > 0
+            raised[later] = follow.get(lo[later] - 1) + np.uint64(1)
+            back[at] = np.repeat(_VALUES[a[15][place]], run)
+            known = word[at] >= 0
+            row = np.repeat(np.arange(len(place)), run)[known]
+            at = at[known]
+            if not len(at):
+                continue
+            target = word[at].astype(np.uint64) + raised[row]
+            most = follow.get(np.array([follow.n - 1]))[0]
+            found, equal = follow.find(np.minimum(target, most))
+            hit = equal & (target <= most) & (found >= lo[row]) & (found < hi[row])
             at, found = at[hit], found[hit]
-            ids[at], logs[at] = (k << LOCAL) + found, restore(a[16][found])
-        return ids, logs, back
-
-
-class _Pairs:
-    """Counts of keys that a task combines before it passes them on."""
-
-    def __init__(self):
-        self.parts, self.size = [], 0
-
-    def add(self, *columns: np.ndarray) -> None:
-        self.parts.append(columns)
-        self.size += len(columns[0])
-
-    def combined(self) -> tuple[np.ndarray, ...]:
-        keys = [np.concatenate(c) for c in zip(*self.parts, strict=True)]
-        n = keys.pop()
-        order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[1::-1])
-        keys, n = [k[order] for k in keys], n[order]
-        edge = np.ones(len(n), bool)
-        edge[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys[:2]])
-        at = np.flatnonzero(edge)
-        return (*(k[at] for k in keys), np.add.reduceat(n, at) if len(at) else n)
-
-    def take(self, least: int = 0) -> tuple[np.ndarray, ...] | None:
-        """The combined counts, if they are more than combining could still bring down."""
-        if self.size <= least:
-            return None
-        columns = self.combined()
-        if len(columns[0]) * 2 > least:
-            self.parts, self.size = [], 0
-            return columns
-        self.parts, self.size = [columns], len(columns[0])
-        return None
-
-
-def _pack(columns: tuple[np.ndarray, ...]) -> bytes:
-    """Sorted columns of numbers as few bytes: the first as differences, all with bytes of equal weight side by side."""
-    first = np.diff(columns[0], prepend=0)
-    planes = [np.ascontiguousarray(c.astype(np.int64)).view(np.uint8).reshape(-1, 8).T for c in (first, *columns[1:])]
-    raw = np.concatenate(planes).tobytes()
-    return len(columns[0]).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
-
-
-def _unpack(blob: bytes, n_columns: int) -> list[np.ndarray]:
-    n = int.from_bytes(blob[:8], "little")
-    raw = np.frombuffer(pa.decompress(blob[8:], n * 8 * n_columns, "zstd"), np.uint8).reshape(n_columns, 8, n)
-    out = [np.ascontiguousarray(x.T).view(np.int64).reshape(-1) for x in raw]
+            ids[at], gained[at] = found * self.shards[level - 1] + k, _VALUES[a[16][found]]
+        hit, which = self.hot[level - 2].find(context)
+        back[hit] = self.hot[level - 2].back[which]
+        return ids, gained, back
+
+
+def word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+
+
+def _combined(context: np.ndarray, word: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct pairs and how often each occurs (``n`` times where it stands)."""
+    own, bits = None, int(word.max()).bit_length() if len(word) else 0
+    if len(context) and int(context.max()).bit_length() + bits > 63:
+        own, context = np.unique(context, return_inverse=True)
+    key = (context << bits) | word
+    if n is None:
+        key.sort()
+        at = _edges(key)
+        n = np.diff(at, append=len(key))
+    else:
+        order = np.argsort(key)
+        key = key[order]
+        at = _edges(key)
+        n = np.add.reduceat(n[order], at) if len(at) else n
+    key = key[at]
+    context = key >> bits
+    return context if own is None else own[context], key & ((1 << bits) - 1), n
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Numbers of sorted pairs as few bytes: the first as differences, all with bytes of equal weight side by side, without leading zeros."""
+    head, planes = [len(columns[0])], []
+    for c in (np.diff(columns[0], prepend=0), *columns[1:]):
+        head.append(max(1, -(-int(c.max()).bit_length() // 8)))
+        planes.append(np.ascontiguousarray(c.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : head[-1]].T).reshape(-1))
+    return np.array(head, "<i8").tobytes() + pa.compress(np.concatenate(planes), "zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, columns: int) -> list[np.ndarray]:
+    n, *width = np.frombuffer(blob[: 8 * columns + 8], "<i8").tolist()
+    raw = np.frombuffer(pa.decompress(blob[8 * columns + 8 :], n * sum(width), "zstd"), np.uint8)
+    out, at = [], 0
+    for w in width:
+        full = np.zeros((n, 8), np.uint8)
+        full[:, :w] = raw[at : at + n * w].reshape(w, n).T
+        out.append(full.view("<i8").reshape(-1))
+        at += n * w
     return [np.cumsum(out[0]), *out[1:]]
 
 
 @dataclass
 class _Stream:
-    """Texts as one sequence of word numbers: begin, words, end for each text."""
+    """Texts as one sequence of word numbers of this slice: begin, words, end for each text.  The slice numbers its words in the order of
+    their numbers in the model (``known``), and all unknown words are one word, the first, with -1."""
 
     known: np.ndarray
     counts: np.ndarray
@@ -200,160 +228,184 @@ class _Stream:
     @classmethod
     def of(cls, texts: pa.Array, model: Model) -> _Stream:
         w = hash_words(texts, BLANK)
-        hashes = np.empty(len(w.hashes) + 2 * len(texts), np.uint64)
-        doc = w.docs()
-        hashes[np.arange(len(w.hashes)) + 2 * doc + 1] = w.hashes
+        distinct, at = np.unique(w.hashes, return_inverse=True)
+        ids, n = model.words(np.concatenate([distinct, [BEGIN, END]]))
+        known, place, number = np.unique(ids, return_index=True, return_inverse=True)
+        word = np.empty(len(w.hashes) + 2 * len(texts), np.int64)
         first = w.first + 2 * np.arange(len(w.first))
-        hashes[first[:-1]], hashes[first[1:] - 1] = BEGIN, END
-        distinct, word = np.unique(hashes, return_inverse=True)
-        ids, counts = model.words(distinct)
-        return cls(ids, counts, word, first)
+        word[np.arange(len(w.hashes)) + 2 * w.docs() + 1] = number[at]
+        word[first[:-1]], word[first[1:] - 1] = number[-2], number[-1]
+        return cls(known, n[place], word, first)
 
 
 @dataclass
 class _Level:
-    """The n-grams of one length in a sequence whose context is kept: ``rows`` are the places of their last words, ``of`` says which
+    """The n-grams of one length in a sequence whose context is known: ``rows`` are the places of their last words, ``of`` says which
     distinct n-gram each is; the other arrays have one entry for each distinct n-gram."""
 
     rows: np.ndarray
     of: np.ndarray
-    context: np.ndarray
-    word: np.ndarray
-    lower: np.ndarray
     found: np.ndarray
-    logs: np.ndarray
+    gained: np.ndarray
     back: np.ndarray
 
 
 def _chain(s: _Stream, model: Model, levels: int) -> Iterator[_Level]:
     """The levels from 2 up.  Distinct n-grams are numbered along the way, so that each level sorts once."""
-    size = len(s.known)
     begin = np.zeros(len(s.word), bool)
     begin[s.first[:-1]] = True
-    number, kept = s.word, s.known  # of the n-gram that ends at each place, and the id of each number
+    number, known = s.word, s.known  # of the n-gram that ends at each place, and the model's number of each
     for level in range(2, levels + 1):
         context = np.full(len(s.word), -1, np.int64)
         context[1:] = number[:-1]
-        context[begin] = -1
-        rows = np.flatnonzero(context >= 0)
-        rows = rows[kept[context[rows]] >= 0]
-        key, at, of = np.unique(context[rows] * size + s.word[rows], return_index=True, return_inverse=True)
-        ids, words = kept[key // max(size, 1)], s.known[key % max(size, 1)]
-        below = number[rows[at]]
-        lower = np.where(below >= 0, kept[below], -1)
-        found, logs, back = np.full(len(at), -1), np.zeros(len(at)), np.zeros(len(at))
-        if level <= len(model.paths):
-            found, logs, back = model.successors(level, ids, np.maximum(words, 0))
-            found[words < 0] = -1
-        yield _Level(rows, of, ids, words, lower, found, logs, back)
+        rows = np.flatnonzero((context >= 0) & ~begin)
+        rows = rows[known[context[rows]] >= 0]
+        key = context[rows] * len(s.known) + s.word[rows]
+        order = np.argsort(key)
+        key = key[order]
+        at = _edges(key)
+        of = np.empty(len(key), np.int64)
+        of[order] = np.repeat(np.arange(len(at)), np.diff(at, append=len(key)))
+        left, right = np.divmod(key[at], len(s.known))
+        found, gained, back = model.successors(level, known[left], s.known[right])
+        yield _Level(rows, of, found, gained, back)
         number = np.full(len(s.word), -1, np.int64)
         number[rows] = of
-        kept = found
+        known = found
+
 
+def _count_words(docs: DataFrame) -> DataFrame:
+    """``w, n``: words by their hashes and how often each occurs, begins and ends among them."""
 
-def _count_words(docs: DataFrame, bits: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, n_docs = _Pairs(), 0
-        def out(least: int) -> Iterator[pa.RecordBatch]:
-            w, n = pairs.take(least) or ((), ())
-            for a in range(0, len(w), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(w[a : a + 200_000]), pa.array(n[a : a + 200_000])], names=["w", "n"])
+        hashes, size = [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            h = np.sort(np.concatenate(hashes))
+            at = _edges(h)
+            w, n = h[at].view(np.int64), np.diff(at, append=len(h))
+            for a in range(0, len(w), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(w[a : a + 100_000]), pa.array(n[a : a + 100_000])], names=["w", "n"])
 
         for batch in batches:
             for part in slices(batch, size=SLICE):
-                h, n = np.unique(hash_words(part.column("text"), BLANK).hashes, return_counts=True)
-                pairs.add(h.view(np.int64), n)
-                n_docs += part.num_rows
-                yield from out(COMBINE)
-        if n_docs:
-            pairs.add(np.array([BEGIN, END]).view(np.int64), np.array([n_docs, n_docs]))
-            yield from out(0)
+                hashes += [hash_words(part.column("text"), BLANK).hashes, np.repeat(np.array([BEGIN, END]), part.num_rows)]
+                size += len(hashes[-2]) + len(hashes[-1])
+                if size > COMBINE:
+                    yield from out()
+                    hashes, size = [], 0
+        if size:
+            yield from out()
 
-    shard = F.shiftrightunsigned(F.shiftrightunsigned("w", 63 - bits), 1)
-    return docs.select("text").mapInArrow(count, "w long, n long").withColumn("shard", shard)
+    return docs.select("text").mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
-def _width(level: int) -> int:
-    """Packed columns of an n-gram: context, last word, the n-gram without its first word (at level 2 the word itself), count."""
-    return 3 if level == 2 else 4
+def _count_level(docs: DataFrame, model: Model, level: int) -> DataFrame:
+    """``k, packed``: counted n-grams of ``level`` as numbers of context and word, dealt to shards.
 
-
-def _count_level(docs: DataFrame, model: Model, level: int, parts: int) -> DataFrame:
-    """``k, packed``: counted n-grams of ``level`` as context id, word id and the id of the n-gram without its first word.
-
-    Each task combines its n-grams, deals them to the shards of their contexts, and passes each on as one packed value.
+    Each task combines its n-grams and passes those of a shard on as one packed value.
     """
-    width, mask = _width(level), (1 << model.bits) - 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs()
+        contexts, words, size = [], [], 0
 
-        def out(least: int) -> Iterator[pa.RecordBatch]:
-            columns = pairs.take(least)
-            if columns is None:
-                return
-            for k, at in _by_shard(columns[0] & mask):
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_pack(tuple(c[at] for c in columns))], pa.binary())], names=["k", "packed"])
+        def out() -> Iterator[pa.RecordBatch]:
+            c, w, n = _combined(np.concatenate(contexts), np.concatenate(words))
+            shards, blobs = [], []
+            for k, at in _by_shard(model.deal(level, c, w)):
+                shards.append(k)
+                blobs.append(_pack(c[at], w[at], n[at] - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(blobs, pa.binary())], names=["k", "packed"])
 
         for batch in batches:
             for part in slices(batch, size=SLICE):
                 s = _Stream.of(part.column("text"), model)
-                s.known = np.where(s.counts >= MIN_COUNT, s.known, -1)
-                *_, last = _chain(s, model, level)
-                keep = last.lower >= 0
-                n = np.bincount(last.of, minlength=len(keep))[keep]
-                pairs.add(last.context[keep], last.word[keep], *([last.lower[keep]] if width == 4 else []), n)
-                yield from out(COMBINE)
-        yield from out(0)
-
-    return docs.select("text").mapInArrow(count, "k int, packed binary").repartition(parts, "k")
-
-
-def _read_all(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> list[np.ndarray]:
-    columns: list[list] = [[] for _ in names]
-    for b in batches:
-        for to, name in zip(columns, names, strict=True):
-            to.append(b.column(name).to_numpy())
-    return [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns]
-
-
-_SAVED = "shard long, path string, n long, total long"
+                number, known = s.word, s.known
+                for lower in _chain(s, model, level - 1):
+                    number = np.full(len(s.word), -1, np.int64)
+                    number[lower.rows] = lower.of
+                    known = lower.found
+                last = np.zeros(len(s.word), bool)
+                last[s.first[1:] - 1] = True
+                at = np.flatnonzero((number >= 0) & ~last)  # in training all words and contexts are known
+                contexts.append(known[number[at]])
+                words.append(s.known[s.word[at + 1]])
+                size += len(at)
+                if size > COMBINE:
+                    yield from out()
+                    contexts, words, size = [], [], 0
+        if size:
+            yield from out()
+
+    return docs.select("text").mapInArrow(count, "k int, packed binary").repartition(model.shards[level - 1], "k")
+
+
+#: A file: its shard, path; n-grams that will be hot contexts, with their counts; hot contexts in it, with how many successors each has in it.
+_SAVED = "shard long, path string, ids array<long>, counts array<long>, contexts array<long>, spread array<long>"
 
 
 def _saved(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["shard", "path", "n", "total"])
+    kinds = [pa.int64(), pa.string(), *[pa.list_(pa.int64())] * 4]
+    columns = list(zip(*rows, strict=True)) or [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["shard", "path", "ids", "counts", "contexts", "spread"])
 
 
 def _narrow(n: np.ndarray) -> np.ndarray:
     return n.astype(np.uint32 if not len(n) or n.max() < 1 << 32 else np.uint64)
 
 
-def _save_words(counts: DataFrame, bits: int, folder: str, parts: int) -> DataFrame:
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
+def _save_words(vocabulary: DataFrame, shards: int, hot: int, folder: str) -> DataFrame:
+    """A word's number is its rank among the words of its shard by frequency, times the shards, plus the shard."""
 
-        w, n, shard = _read_all(batches, ("w", "n", "shard"))
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)  # about SHARD words
+        if not batches:
+            return
+        h = np.concatenate([b.column("w").to_numpy() for b in batches]).view(np.uint64)
+        n = np.concatenate([b.column("n").to_numpy() for b in batches])
         out = []
-        for k, at in _by_shard(shard):
-            h, inverse = np.unique(w[at].view(np.uint64), return_inverse=True)
-            total = np.bincount(inverse, weights=n[at], minlength=len(h)).astype(np.int64)  # exact below 2**53
+        for k, at in _by_shard(word_shard(h, shards)):
+            at = at[np.argsort(h[at])]
+            own, count = h[at], n[at]
+            rank = np.empty(len(at), np.int64)
+            rank[np.lexsort((own, -count))] = np.arange(len(at))
             path = f"{folder}/words-{k}-{uuid.uuid4().hex}"
-            local = h & np.uint64((1 << (64 - bits)) - 1)
-            save(path, [*EliasFano.build(local, 1 << (64 - bits)).arrays(), _narrow(total)])
-            real = h != BEGIN
-            out.append((k, path, int(real.sum()), int(total[real].sum())))
+            save(path, [*EliasFano.build(own, (1 << 64) - 1).arrays(), _narrow(rank), _narrow(count)])
+            many = np.flatnonzero(count > hot)
+            out.append((k, path, (rank[many] * shards + k).tolist(), count[many].tolist(), [], []))
         yield _saved(out)
 
-    return counts.repartition(parts, "shard").mapInArrow(build, _SAVED)
-
+    dealt = vocabulary.repartition(shards, F.shiftrightunsigned("w", 32) % shards)  # as ``word_shard``: words of a shard meet
+    return dealt.mapInArrow(build, _SAVED)
 
-def _save_level(dealt: DataFrame, model: Model, level: int, folder: str) -> DataFrame:
-    width = _width(level)
 
+def write_level(folder: str, k: int, c: np.ndarray, w: np.ndarray, n: np.ndarray, model: Model, level: int, hot: int = HOT) -> tuple:
+    """Write shard ``k`` of a level from sorted distinct pairs of a context and a word and their counts; a row of ``_SAVED``."""
+    begin = _edges(c)
+    context, size = c[begin], np.diff(begin, append=len(c))
+    total = np.add.reduceat(n, begin)
+    split, which = model.hot[level - 2].find(context)
+    total[split] = model.hot[level - 2].total[which]
+    last = w[begin + size - 1]
+    raised = np.cumsum(last + 1) - last - 1
+    follow = w + np.repeat(raised, size)
+    path = f"{folder}/level{level}-{k}-{uuid.uuid4().hex}"
+    save(
+        path,
+        [
+            *EliasFano.build(context, int(context[-1]) + 1).arrays(),
+            *EliasFano.build(np.append(begin, len(c)), len(c) + 1).arrays(),
+            *EliasFano.build(follow, int(follow[-1]) + 1).arrays(),
+            quantise(np.log10(DISCOUNT * size / total)),
+            quantise(np.log10((n - DISCOUNT) / np.repeat(total, size))),
+        ],
+    )
+    many = np.flatnonzero(n > hot)
+    return k, path, (many * model.shards[level - 1] + k).tolist(), n[many].tolist(), context[split].tolist(), size[split].tolist()
+
+
+def _save_level(dealt: DataFrame, model: Model, level: int, hot: int, folder: str) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         packed: dict[int, list[bytes]] = {}
         for batch in batches:
             for k, blob in zip(batch.column("k").to_pylist(), batch.column("packed").to_pylist(), strict=True):
@@ -361,58 +413,41 @@ def _save_level(dealt: DataFrame, model: Model, level: int, folder: str) -> Data
         out = []
         while packed:
             k, blobs = packed.popitem()
-            pairs = _Pairs()
-            for blob in blobs:
-                pairs.add(*_unpack(blob, width))
-            c, w, *low, n = pairs.combined()
-            low, w = low[0] if low else w, model.dense(w)
-            at = np.flatnonzero(n >= MIN_COUNT)
-            at = at[np.lexsort((w[at], c[at]))]
-            c, w, low, n = c[at], w[at], low[at], n[at]
-            if not len(c):
-                continue
-            context, begin = np.unique(c, return_index=True)
-            size = np.diff(np.append(begin, len(c)))
-            total = model.counts(level - 1, context).astype(float)
-            gained = (n - DISCOUNT) / np.repeat(total, size)
-            back = np.clip(1 - np.add.reduceat(gained, begin), 1e-20, 1)
-            p = gained + np.repeat(back, size) * 10.0 ** model.stored(level - 1, low)
-            last = w[begin + size - 1].astype(np.uint64)
-            shift = np.concatenate([[np.uint64(0)], np.cumsum(last)[:-1]]).astype(np.uint64)
-            follow = w.astype(np.uint64) + np.repeat(shift, size)
-            path = f"{folder}/level{level}-{k}-{uuid.uuid4().hex}"
-            pointers = np.append(begin, len(c))
-            save(
-                path,
-                [
-                    *EliasFano.build(context, int(context[-1]) + 1).arrays(),
-                    *EliasFano.build(pointers, len(c) + 1).arrays(),
-                    *EliasFano.build(follow, int(follow[-1]) + 1).arrays(),
-                    quantise(np.log10(back)),
-                    quantise(np.log10(p)),
-                    _narrow(n),
-                ],
-            )
-            out.append((k, path, len(c), int(n.sum())))
+            c, w, n = (np.concatenate(x) for x in zip(*(_unpack(b, 3) for b in blobs), strict=True))
+            out.append(write_level(folder, k, *_combined(c, w, n + 1), model, level, hot))
         yield _saved(out)
 
     return dealt.mapInArrow(build, _SAVED)
 
 
-def train(docs: DataFrame, order: int = ORDER) -> Model:
+def train(docs: DataFrame, order: int = ORDER, shard: int = SHARD, hot: int = HOT) -> Model:
     """The model of the column ``text`` of ``docs``.  The driver gets one row for each file."""
     spark = docs.sparkSession
     arrow_batches(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    model = Model(bits=max(1, (parts - 1).bit_length()))
-    folder = new_folder(spark, "trie")
-    for level in range(1, order + 1):
-        if level == 1:
-            files = _save_words(_count_words(docs, model.bits), model.bits, folder, parts).collect()
-            model.types, model.tokens = sum(r["n"] for r in files), sum(r["total"] for r in files)
-        else:
-            files = _save_level(_count_level(docs, model, level, parts), model, level, folder).collect()
-        model.paths.append({r["shard"]: r["path"] for r in files})
+    folder, model = new_folder(spark, "trie"), Model()
+    kept = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")  # a level's shuffle files go once its files are built
+    try:
+        for level in range(1, order + 1):
+            if level == 1:
+                vocabulary = materialize(_count_words(docs), "words")
+                real = F.col("w") != int(BEGIN)
+                sizes = vocabulary.filter(real).agg(F.count(F.lit(1)).alias("types"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+                model.types, model.tokens = sizes["types"], sizes["tokens"]
+                model.shards.append(max(1, -(-4 * model.types // shard)))
+                files = _save_words(vocabulary, model.shards[0], hot, folder).collect()
+            else:
+                model.shards.append(max(1, -(-model.tokens // shard)))
+                files = _save_level(_count_level(docs, model, level), model, level, hot, folder).collect()
+                split = model.hot[-1]
+                for f in files:
+                    at = np.searchsorted(split.ids, np.array(f["contexts"], np.int64))
+                    split.back[at] += DISCOUNT * np.array(f["spread"]) / split.total[at]
+            model.paths.append({f["shard"]: f["path"] for f in files})
+            ids, counts = (np.array([x for f in files for x in f[c]], np.int64) for c in ("ids", "counts"))
+            model.hot.append(Hot.of(ids, counts, hot))
+    finally:
+        spark.conf.unset(_CLEAN) if kept is None else spark.conf.set(_CLEAN, kept)
     return model
 
 
@@ -427,15 +462,12 @@ def score(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFram
         for batch in batches:
             for part in slices(batch, size=SLICE):
                 s = _Stream.of(part.column("text"), model)
-                base = model.log_base(s.counts)[s.word]
-                known = (s.counts > 0)[s.word].astype(np.int64)
-                base[s.first[:-1]], known[s.first[:-1]] = 0.0, 0  # a begin is no token
-                best = base.copy()
+                p = model.base(s.counts)
+                base, p, known = np.log10(p)[s.word], p[s.word], (s.counts > 0)[s.word].astype(np.int64)
                 for level in _chain(s, model, len(model.paths)):
-                    hit = level.found >= 0
-                    value = np.where(hit, level.logs, level.back)[level.of]
-                    best[level.rows] = np.where(hit[level.of], value, value + best[level.rows])
-                sums = [np.add.reduceat(x, s.first[:-1]) for x in (known, base, best)]
+                    p[level.rows] = level.gained[level.of] + level.back[level.of] * p[level.rows]
+                p[s.first[:-1]], base[s.first[:-1]], known[s.first[:-1]] = 1.0, 0.0, 0  # a begin is no token
+                sums = [np.add.reduceat(x, s.first[:-1]) for x in (known, base, np.log10(p))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(np.diff(s.first) - 1, pa.int64()), *map(pa.array, sums)], names=["id", "n_tokens", "n_known", "base_score", "score"]
                 )
