@@ -41,3 +41,21 @@ def test_thresholds_adapt(spark):
     rows += [(5000, "# " * 90 + words(100, 5000), "en", "books"), (5001, words(100, 5001) + " #" * 6, "en", "code")]
     kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert not kept[5000] and kept[5001] and all(kept[i] for i in range(200))
+
+
+def test_fences_come_from_the_sketches(spark):
+    """In most groups of documents a fence whose quartiles lie apart refuses something, and groups of one language have fences of their own."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    groups = ("lang", "source")
+    rows = quality_rules._shares(quality_rules.measures(docs)).cache()
+    found = [r.asDict() for r in quality_rules.fences(quality_rules.sketches(rows, groups), groups).collect()]
+    free = {(r["lang"], r["source"]): r for r in found if r["measure"] == "word_length" and r["size"] >= quality_rules.MIN_GROUP}
+    width = {k: (r["high"] - r["low"]) / (1 + 2 * quality_rules.FENCE) for k, r in free.items()}
+    free = {k: r for k, r in free.items() if width[k] > quality_rules.MEASURES["word_length"]}
+    assert len(free) > 40 and len({round(r["high"], 9) for r in free.values()}) > 10
+    out = {(r["lang"], r["source"]) for r in rows.filter("n_words >= 20").collect() if (r["lang"], r["source"]) in free and not free[r["lang"], r["source"]]["low"] <= r["word_length"] <= free[r["lang"], r["source"]]["high"]}
+    assert len(out) > len(free) / 2
+    rows.unpersist()
+    judged = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    wrong = sum(r["quality"] == 1 and not judged[r["doc_id"]]["kept"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect())
+    assert wrong < 0.08 * len(judged)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, quality_rules
+from . import licenses, mixing
 from .url_filter import RULES as URL_RULES
 
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,15 +35,15 @@ _shares = {
     "repeat_share": "n_repeat_words / greatest(n_words, 1)",
     "word_length": "word_chars / greatest(n_words, 1)",
 }
-_tall = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS measure, CAST({x} AS DOUBLE) AS v, CAST({quality_rules.MEASURES[m]} AS DOUBLE) AS least_fence FROM x" for m, x in _shares.items())
+#: Fixed values of the contract: width of buckets, reach of fences, least distances of quartiles, least group.
+_gamma, _reach, _least, _group = 1.01, 3.0, {"symbol_share": 0.01, "dup_line_share": 0.05, "repeat_share": 0.05, "word_length": 0.1}, 20
+_tall = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS measure, CAST({x} AS DOUBLE) AS v, CAST({_least[m]} AS DOUBLE) AS least FROM x" for m, x in _shares.items())
 
 
 def _fence(groups: str) -> str:
-    return f"""SELECT {groups}, measure, max(size) AS size, greatest(q75 + {quality_rules.FENCE} * (q75 - q50), any_value(least_fence)) AS fence FROM (
-    SELECT {groups}, measure, size, least_fence, pow({quality_rules.GAMMA}, min(CASE WHEN upto >= size * 0.5 THEN bucket END) OVER g) AS q50, pow({quality_rules.GAMMA}, min(CASE WHEN upto >= size * 0.75 THEN bucket END) OVER g) AS q75
-    FROM (SELECT {groups}, measure, least_fence, bucket, sum(count(*)) OVER (PARTITION BY {groups}, measure ORDER BY bucket) AS upto, sum(count(*)) OVER (PARTITION BY {groups}, measure) AS size
-      FROM k GROUP BY {groups}, measure, least_fence, bucket)
-    WINDOW g AS (PARTITION BY {groups}, measure)) GROUP BY {groups}, measure, q50, q75"""
+    return f"""SELECT {groups}, measure, size, q25 - {_reach} * greatest(q75 - q25, least) AS low, q75 + {_reach} * greatest(q75 - q25, least) AS high FROM (
+    SELECT {groups}, measure, any_value(least) AS least, count(*) AS size, pow({_gamma}, list_sort(list(bucket))[CAST(ceil(count(*) * 0.25) AS INTEGER)]) AS q25,
+      pow({_gamma}, list_sort(list(bucket))[CAST(ceil(count(*) * 0.75) AS INTEGER)]) AS q75 FROM k GROUP BY {groups}, measure)"""
 
 
 QUALITY = rf"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
@@ -54,10 +54,10 @@ r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM a, range(8) t(j) GROUP BY d
 x AS (SELECT d.doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda s: length(s))), 0) AS BIGINT) AS word_chars,
     length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r USING (doc_id)),
 t AS ({_tall}),
-k AS (SELECT *, CAST(ceil(ln(greatest(v, 1e-4)) / ln({quality_rules.GAMMA})) AS INTEGER) AS bucket FROM t),
+k AS (SELECT *, CAST(ceil(ln(greatest(v, 1e-4)) / ln({_gamma})) AS INTEGER) AS bucket FROM t),
 fs AS ({_fence('lang, source')}), fl AS ({_fence('lang')}),
-bad AS (SELECT DISTINCT k.doc_id FROM k LEFT JOIN fs ON k.lang IS NOT DISTINCT FROM fs.lang AND k.source IS NOT DISTINCT FROM fs.source AND k.measure = fs.measure AND fs.size >= {quality_rules.MIN_GROUP}
-    LEFT JOIN fl ON k.lang IS NOT DISTINCT FROM fl.lang AND k.measure = fl.measure WHERE k.v > coalesce(fs.fence, fl.fence))
+bad AS (SELECT DISTINCT k.doc_id FROM k LEFT JOIN fs ON k.lang IS NOT DISTINCT FROM fs.lang AND k.source IS NOT DISTINCT FROM fs.source AND k.measure = fs.measure AND fs.size >= {_group}
+    LEFT JOIN fl ON k.lang IS NOT DISTINCT FROM fl.lang AND k.measure = fl.measure WHERE NOT k.v BETWEEN coalesce(fs.low, fl.low) AND coalesce(fs.high, fl.high))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM x"""
 

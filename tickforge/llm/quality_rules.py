@@ -2,8 +2,10 @@ r"""Quality rules with thresholds that adapt to each language and source, with b
 
 Every document gets a few measures of its whole text.  Each measure feeds a mergeable quantile sketch per language and
 source: counts of logarithmic buckets (relative error ``GAMMA - 1``), which are partial sums on the map side, merge by
-addition in any order and so give the same thresholds on every run.  Cutoffs are fences read from the sketches (a multiple
-of the spread above the upper quartile), and a join brings them back to the documents of that language and source.
+addition in any order and so give the same thresholds on every run.  Cutoffs are fences read from the sketches (``FENCE`` times the
+distance of the quartiles below the lower and above the upper one, the usual fence for far outliers), and a join brings them back to the
+documents of that language and source.  No measure has a fixed cutoff: ``MEASURES`` only keeps quartiles that coincide from refusing
+every other value.
 
 Words are ``[^\x20\x09-\x0D]+``.  Defined results: null text has no words, no lines and fails the base rule; null language
 or source is a group of its own; repeated rows count each; empty input gives an empty result.
@@ -19,12 +21,14 @@ from .scratch import materialize
 
 WINDOW = 8
 MIN_WORDS, REPEAT_PERCENT = 20, 30
-#: Width of a sketch bucket; spreads above the upper quartile; a fence never lies below this.
-GAMMA = 1.02
-FENCE = 6.0
-#: Measures, and the least value that may be refused: below it text is ordinary whatever the group looks like.
-MEASURES = {"symbol_share": 0.06, "dup_line_share": 0.30, "repeat_share": 0.29, "word_length": 12.0}
-MIN_GROUP = 50
+#: Width of a sketch bucket; fences lie so many distances of the quartiles outside them.
+GAMMA = 1.01
+FENCE = 3.0
+#: Measures, and what the distance of their quartiles counts as at least: one symbol in a hundred characters, one line or word in twenty, a
+#: tenth of a character.
+MEASURES = {"symbol_share": 0.01, "dup_line_share": 0.05, "repeat_share": 0.05, "word_length": 0.1}
+#: Documents of a language and source that make quartiles of their own.
+MIN_GROUP = 20
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -47,6 +51,11 @@ def _covered(p: Column) -> Column:
     )["n"]
 
 
+def _joined(hashes: Column, d: int) -> Column:
+    """Each hash with the one that stands ``d`` places on."""
+    return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + d)))
+
+
 def measures(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
     """The columns ``keep`` and ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of each text."""
     blank = " \t\n\x0b\f\r"
@@ -60,17 +69,12 @@ def measures(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("
         .withColumn("n_words", F.size("_words").cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .drop("_text", "_lines")
-        .withColumn(
-            "_hashes",
-            F.when(
-                F.size("_words") >= WINDOW,
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.size("_words") - (WINDOW - 1), F.lit(1))),
-                    lambda i: F.xxhash64(F.slice(F.col("_words"), i, WINDOW)),
-                ),
-            ).otherwise(F.array().cast("array<bigint>")),
-        )
+        .withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+        .drop("_words")
     )
+    for d in (1, 2, 4):  # hashes of two, four and eight words from those of half as many
+        rows = rows.withColumn("_hashes", _joined(F.col("_hashes"), d))
+    rows = rows.withColumn("_hashes", F.slice("_hashes", 1, F.greatest(F.size("_hashes") - (WINDOW - 1), F.lit(0))))
     # Most texts repeat nothing, which one pass over the hashes shows.
     again = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
     rows = rows.withColumn("_pairs", F.when(again, _sorted_windows(F.col("_hashes"))))
@@ -101,17 +105,15 @@ def sketches(rows: DataFrame, groups: tuple[str, ...]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """Upper cutoffs ``groups, measure, size, fence`` read from sketches."""
+    """Cutoffs ``groups, measure, size, low, high`` read from sketches."""
     order = W.Window.partitionBy(*groups, "measure").orderBy("bucket")
     whole = W.Window.partitionBy(*groups, "measure")
     ranked = sketch.withColumn("_upto", F.sum("n").over(order)).withColumn("size", F.sum("n").over(whole))
     quantile = lambda q: F.min(F.when(F.col("_upto") >= F.col("size") * q, F.pow(F.lit(GAMMA), F.col("bucket"))))
-    floor = F.create_map(*(x for m, v in MEASURES.items() for x in (F.lit(m), F.lit(v))))
-    return (
-        ranked.groupBy(*groups, "measure")
-        .agg(F.max("size").alias("size"), quantile(0.5).alias("q50"), quantile(0.75).alias("q75"))
-        .withColumn("fence", F.greatest(F.col("q75") + F.lit(FENCE) * (F.col("q75") - F.col("q50")), F.element_at(floor, F.col("measure"))))
-    )
+    least = F.create_map(*(x for m, v in MEASURES.items() for x in (F.lit(m), F.lit(v))))
+    reach = F.lit(FENCE) * F.greatest(F.col("q75") - F.col("q25"), F.element_at(least, F.col("measure")))
+    quartiles = ranked.groupBy(*groups, "measure").agg(F.max("size").alias("size"), quantile(0.25).alias("q25"), quantile(0.75).alias("q75"))
+    return quartiles.select(*groups, "measure", "size", (F.col("q25") - reach).alias("low"), (F.col("q75") + reach).alias("high"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -125,7 +127,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     per_source = fences(fine, ("_lang", "_source")).filter(F.col("size") >= MIN_GROUP)
     per_lang = fences(fine.groupBy("_lang", "measure", "bucket").agg(F.sum("n").alias("n")), ("_lang",))
     wide = lambda df, groups, tag: df.groupBy(*(F.col(g).alias(f"{tag}{g}") for g in groups)).agg(
-        *(F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"{tag}_{m}") for m in MEASURES)
+        *(F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"{tag}_{m}_{end}") for m in MEASURES for end in ("low", "high"))
     )
     a, b = wide(per_source, ("_lang", "_source"), "s"), wide(per_lang, ("_lang",), "l")
     joined = rows.join(a, F.col("_lang").eqNullSafe(F.col("s_lang")) & F.col("_source").eqNullSafe(F.col("s_source")), "left").join(
@@ -134,7 +136,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     good = F.lit(True)
     for m in MEASURES:
-        good &= F.col(m) <= F.coalesce(F.col(f"s_{m}"), F.col(f"l_{m}"))
+        low, high = (F.coalesce(F.col(f"s_{m}_{end}"), F.col(f"l_{m}_{end}")) for end in ("low", "high"))
+        good &= F.col(m).between(low, high)
     return joined.select(
         F.col("_id").alias(id_col), *COUNTS, failed.alias("base_failed"), (~failed & good).alias("kept")
     )
