@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing
+from . import mixing
+from .license_oracle import license_sql
 from .url_filter import RULES as URL_RULES
 
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -10,10 +11,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
-
-
 def _low(column: str) -> str:
     return f"translate(coalesce({column}, ''), '{UPPER}', '{SMALL}')"
 
@@ -111,31 +108,11 @@ p AS (SELECT *, {_rule} AS rule FROM (SELECT page_id, regexp_replace(url, '(?s)#
 SELECT page_id, host, path, rule, coalesce({_said}, CASE WHEN node IN (SELECT id FROM alias) THEN 'block' ELSE 'allow' END) AS verdict FROM p"""
 
 
-def _licenses() -> str:
-    known = ", ".join(f"({_text(k)}, {_text(v)})" for k, v in licenses.SENTENCES.items())
-    steps, last = [], "l0"
-    for k, (ids, name, _) in enumerate(licenses.RULES, 1):
-        one = _text("".join(f"|{i}|" for i in ids))
-        steps.append(f"l{k} AS (SELECT doc_id, ids, replace(line, {one}, '#') AS line, CASE WHEN contains(line, {one}) THEN list_append(names, '{name}') ELSE names END AS names FROM {last})")
-        last = f"l{k}"
-    once = "list_filter(names, lambda x, i: list_position(names, x) = i)"
-    kinds = {name: kind for _, name, kind in licenses.RULES}
-    strict = " ".join(f"WHEN list_has_any(names, [{', '.join(_text(n) for n, k in kinds.items() if k == c)}]) THEN '{c}'" for c in licenses.CLASSES)
-    return rf"""WITH known(sentence, id) AS (VALUES {known}),
-t AS (SELECT doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '\n|[.!?;]([\x20\x09-\x0D]|$)', chr(10), 'g'), chr(10))) AS s, unnest(range(length(coalesce(text, '')) + 1)) AS i FROM documents),
-m AS (SELECT doc_id, i, id FROM (SELECT doc_id, i, trim(regexp_replace({_low('s')}, '[^a-z0-9]+', ' ', 'g')) AS s FROM t WHERE s IS NOT NULL) JOIN known ON s = sentence),
-g AS (SELECT doc_id, list(id ORDER BY i) AS ids FROM m GROUP BY doc_id),
-l0 AS (SELECT d.doc_id, coalesce(ids, []) AS ids, array_to_string(list_transform(coalesce(ids, []), lambda x: '|' || x || '|'), '') AS line, CAST([] AS VARCHAR[]) AS names FROM documents d LEFT JOIN g USING (doc_id)),
-{', '.join(steps)}
-SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ',') AS sentence_ids, array_to_string({once}, ',') AS licenses,
-  array_to_string(list_filter(string_split_regex(line, '[|#]'), lambda x: x <> ''), ',') AS unclaimed, CASE {strict} END AS license_class FROM {last}"""
-
-
 ORACLES: dict[str, str] = {
     "op4_near_dup": NEAR_DUP,
     "op5_quality_rules": QUALITY,
     "op6_mixing": MIXING,
     "op8_decontamination": DECONTAMINATION,
     "op9_url_filters": URLS,
-    "op10_license_scans": _licenses(),
+    "op10_license_scans": license_sql(),
 }
