@@ -1,7 +1,7 @@
 """Shared scratch space: tables and files that every executor and the driver can reach.
 
 The folder is the one the cluster names in ``spark.checkpoint.dir``.  Where that is unset
-(tests, a laptop in local mode) a temporary folder is made once and used for the session.
+and Spark runs in local mode (tests, a laptop) a temporary folder is made once and used for the session; a cluster without it is an error.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     """URI of the shared folder; also makes ``DataFrame.checkpoint`` usable."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _local:
             _local.append("file://" + tempfile.mkdtemp(prefix="tickforge-"))
         named = _local[0]
@@ -46,6 +48,15 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there,
     so a lost executor costs a re-read and not a recomputation."""
