@@ -51,3 +51,35 @@ def test_components(spark):
             parent[max(a, b)] = min(a, b)
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_planted_links_over_a_whole_table(spark, tmp_path):
+    """Canonical links and refreshes between the pages of a table, in many spellings, against the SQL."""
+    import duckdb
+
+    from tests.compare import differences
+    from tickforge.llm.oracles import ORACLES
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()
+    rows = []
+    for i, p in enumerate(pages):
+        to = pages[(i * 7 + 3) % len(pages)]["url"]
+        host, _, path = to.partition("://")[2].partition("/")
+        href = [to, f"HTTP://{host.upper()}:80/{path}", f"https://{host}:443/{path}?a=1&amp;b=2#x", f"//{host}/{path}", f"/{path}", "./next?x", "?q=1", "#top", "mailto:a@b.cc", ""][i % 10]
+        tag = f'<LINK href="{href}" rel=canonical>' if i % 3 else f'<meta http-equiv="refresh" content="0; url={href}">'
+        rows.append((p["page_id"], None if i % 50 == 0 else p["url"] + "#frag" * (i % 2), None if i % 40 == 0 else (p["html"] or "") + (tag if i % 4 else "")))
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    planted = spark.read.parquet(f"{tmp_path}/pages.parquet")
+    assert url_filter.link_edges(planted).count() > 80
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = url_filter.filter_urls(planted)
+    assert differences(got, db, ORACLES["op9_url_filters"]) == ""
+    assert got.filter("rule is null and verdict = 'block'").count() > 5
+
+
+def test_spellings_of_a_blocked_url(spark):
+    rows = [(i, f"http://p{i}.com/", f'<link rel="canonical" href="{h}">') for i, h in enumerate(["http://BAD.NET:80/x?a=1&amp;b=2", "http://bad.net/x?a=1&b=2#y", "https://bad.net/x", "//p1.com", "/in", "javascript:0"])]
+    rows += [(10, "http://p4.com/in", None), (11, "HTTP://P0.COM", None)]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [k for k, v in got.items() if v == "allow"] == [4, 5, 10]

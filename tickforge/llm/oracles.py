@@ -94,17 +94,29 @@ _longest = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
 _rule = "CASE " + " ".join(f"WHEN {_fit[h + p]} THEN '{h + p}'" for h, p, _ in _longest) + " END"
 _said = "CASE rule " + " ".join(f"WHEN '{h + p}' THEN '{v}'" for h, p, v in _longest) + " END"
 _parts = rf"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{SMALL}') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path"
+
+
+def _node(url: str) -> str:
+    part = lambda i: rf"regexp_extract({url}, '(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^#]*)', {i})"
+    host = f"translate({part(2)}, '{UPPER}', '{SMALL}')"
+    host = f"CASE lower({part(1)}) WHEN 'http' THEN regexp_replace({host}, ':(80)?$', '') WHEN 'https' THEN regexp_replace({host}, ':(443)?$', '') ELSE {host} END"
+    return rf"CASE WHEN {part(1)} = '' THEN regexp_replace({url}, '(?s)#.*$', '') ELSE lower({part(1)}) || '://' || {host} || CASE WHEN starts_with({part(3)}, '/') THEN '' ELSE '/' END || {part(3)} END"
+
+
 URLS = rf"""WITH RECURSIVE h AS (
-  SELECT regexp_replace(url, '(?s)#.*$', '') AS u, regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0) AS tag,
+  SELECT url AS u, regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0) AS tag,
     regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0) AS meta FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
-l AS (
-  SELECT u, regexp_replace(v, '(?s)#.*$', '') AS v FROM (
-    SELECT u, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS v FROM h UNION ALL SELECT u, regexp_extract(meta, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM h) WHERE contains(v, '://')),
-e AS (SELECT u AS x, v AS y FROM l WHERE u <> v UNION SELECT v, u FROM l WHERE u <> v),
+t AS (SELECT u, replace(replace(replace(v, '&#38;', '&'), '&#x26;', '&'), '&amp;', '&') AS v, regexp_extract(u, '(?s)^([^:/?#]+://[^/?#]*)([^?#]*)', 1) AS site, regexp_extract(u, '(?s)^([^:/?#]+://[^/?#]*)([^?#]*)', 2) AS path FROM (
+  SELECT u, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS v FROM h UNION ALL SELECT u, regexp_extract(meta, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM h)),
+l AS (SELECT u, CASE WHEN regexp_matches(v, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN v WHEN regexp_matches(v, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with(v, '//') THEN regexp_extract(site, '^[^:]+:') || v WHEN starts_with(v, '/') THEN site || v WHEN starts_with(v, '?') THEN site || path || v WHEN starts_with(v, '#') THEN u
+    ELSE site || coalesce(nullif(regexp_extract(path, '(?s)^.*/'), ''), '/') || regexp_replace(v, '^([.]/)+', '') END AS v FROM t WHERE v <> '' AND site <> ''),
+n AS (SELECT {_node('u')} AS u, {_node('v')} AS v FROM l WHERE v IS NOT NULL),
+e AS (SELECT u AS x, v AS y FROM n WHERE u <> v UNION SELECT v, u FROM n WHERE u <> v),
 r(id, other) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.id, e.y FROM r JOIN e ON r.other = e.x),
 o AS (SELECT *, {_said} AS said FROM (SELECT *, {_rule} AS rule FROM (SELECT id, other AS url, {_parts.replace("coalesce(url, '')", 'other')} FROM r))),
 alias AS (SELECT id FROM o GROUP BY id HAVING count(*) FILTER (said = 'block') > 0 AND count(*) FILTER (said = 'allow') = 0),
-p AS (SELECT *, {_rule} AS rule FROM (SELECT page_id, regexp_replace(url, '(?s)#.*$', '') AS node, {_parts} FROM pages))
+p AS (SELECT *, {_rule} AS rule FROM (SELECT page_id, {_node('url')} AS node, {_parts} FROM pages))
 SELECT page_id, host, path, rule, coalesce({_said}, CASE WHEN node IN (SELECT id FROM alias) THEN 'block' ELSE 'allow' END) AS verdict FROM p"""
 
 

@@ -5,10 +5,12 @@ a rule takes the method's verdict: pages and their redirect or canonical targets
 alias of a blocked url is blocked, unless its component also holds an explicitly allowed url.  Whatever nothing blocks is allowed.
 
 Edges come from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` of each page, and from a table of redirects
-if there is one.  Urls are nodes as they stand, without fragment.  Only edges and the urls that they touch are shuffled.
+if there is one.  Targets are unescaped and resolved against their page; a node is a url without fragment and default port, with scheme and host in small
+letters and at least ``/`` for a path.  Only edges and the urls that they touch are shuffled.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and fits no rule; null html has no edges; pages with
-the same url share a verdict; relative targets are ignored; other columns are ignored; an empty table gives an empty result.
+the same url share a verdict; targets of pages without ``://`` and targets with another scheme than ``x://`` (mail, scripts) are ignored; dots in
+relative targets stay but for a leading ``./``; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,19 +46,45 @@ def rule_for(host: Column, path: Column, rules: tuple = RULES) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """The form in which equivalent urls are equal; others without ``://`` stay as they are."""
+    part = lambda i: F.regexp_extract(url, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^#]*)", i)
+    scheme, host = F.translate(part(1), UPPER, SMALL), F.translate(part(2), UPPER, SMALL)
+    host = F.when(scheme == "http", F.regexp_replace(host, ":(?:80)?$", "")).when(scheme == "https", F.regexp_replace(host, ":(?:443)?$", "")).otherwise(host)
+    rest = F.when(part(3).startswith("/"), part(3)).otherwise(F.concat(F.lit("/"), part(3)))
+    return F.when(part(1) == "", F.regexp_replace(url, r"(?s)#.*$", "")).otherwise(F.concat(scheme, F.lit("://"), host, rest))
+
+
+def resolve(base: Column, target: Column) -> Column:
+    """A target as an absolute url; null if it names no page."""
+    for entity, char in (("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")):
+        target = F.replace(target, F.lit(entity), F.lit(char))
+    scheme = F.regexp_extract(base, r"(?s)^([^:/?#]+:)//", 1)
+    site = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^/?#]*)", 1)
+    page = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^?#]*)", 1)
+    folder = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^?#]*/)[^/?#]*", 1)
+    folder = F.when(F.length(folder) > F.length(site), folder).otherwise(F.concat(site, F.lit("/")))
+    return (
+        F.when((target == "") | (site == ""), None)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(target.startswith("//"), F.concat(scheme, target))
+        .when(target.startswith("/"), F.concat(site, target))
+        .when(target.startswith("?"), F.concat(page, target))
+        .when(target.startswith("#"), base)
+        .otherwise(F.concat(folder, F.regexp_replace(target, r"^(?:\./)+", "")))
+    )
 
 
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``u, v`` for each page that names another absolute url as its canonical form or redirects to it."""
+    """``u, v`` for each page that names another url as its canonical form or redirects to it."""
     html = F.col(html_col)
     tag = F.regexp_extract(html, r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*>", 0)
     canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     meta = F.regexp_extract(html, r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>", 0)
     refresh = F.regexp_extract(meta, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
     rows = pages.filter(F.col(url_col).isNotNull() & html.rlike("(?i)canonical|http-equiv"))
-    rows = rows.select(node_of(F.col(url_col)).alias("u"), F.explode(F.array(canonical, refresh)).alias("to"))
-    return rows.filter(F.col("to").contains("://")).select("u", node_of(F.col("to")).alias("v"))
+    rows = rows.select(F.col(url_col).alias("u"), F.explode(F.array(canonical, refresh)).alias("to"))
+    return rows.select(node_of(F.col("u")).alias("u"), node_of(resolve(F.col("u"), F.col("to"))).alias("v")).filter("v is not null")
 
 
 def filter_urls(pages: DataFrame, redirects: DataFrame | None = None, rules: tuple = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
