@@ -68,3 +68,52 @@ def test_proximity(spark):
     assert (rows[1]["n_items"], rows[1]["n_near_items"]) == (1, 0)
     assert (rows[2]["n_items"], rows[2]["n_near_items"]) == (0, 1)
     assert (rows[3]["n_items"], rows[3]["n_near_items"]) == (0, 0)
+
+
+def brute_near(docs, items, slop=10):
+    out = {}
+    for d, t in docs:
+        at: dict = {}
+        for p, w in enumerate(words(t)):
+            at.setdefault(w, []).append(p)
+        for i, text in items:
+            w = words(text)
+            k = min(10, len(w))
+            for a in range(len(w) - k + 1) if k else ():
+                win = w[a : a + k]
+                for s in {p - j for j, x in enumerate(win) for p in at.get(x, ())}:
+                    if sum(any(abs(p - s - j) <= slop for p in at.get(x, ())) for j, x in enumerate(win)) >= -(-k * 8 // 10):
+                        out.setdefault(d, set()).add(str(i))
+    exact = {d: {i for i, t in items if any(" ".join(words(t)[a : a + min(10, len(words(t)))]) in " ".join(words(x)) for a in range(max(1, len(words(t)) - 9)))} for d, x in docs}
+    return {d: len(v - {str(i) for i in exact[d]}) for d, v in out.items()}
+
+
+def test_proximity_by_brute_force(spark, monkeypatch):
+    """Altered copies, whatever else stands in the shard; terms of another document never count."""
+    import random
+
+    rng = random.Random(3)
+    items = [(i, " ".join(f"v{rng.randrange(300)}" for _ in range(n))) for i, n in enumerate((10, 10, 14, 25, 7, 3, 12))]
+    items.append((99, items[0][1]))
+    docs = []
+    for d in range(40):
+        w = [f"v{rng.randrange(300)}" for _ in range(rng.choice((0, 5, 40, 90)))]
+        for _ in range(2):
+            part = items[rng.randrange(7)][1].split()
+            for _ in range(rng.randrange(4)):
+                part[rng.randrange(len(part))] = f"n{rng.randrange(9)}"
+            if rng.random() < 0.3:
+                part = part[: len(part) // 2] + [f"x{rng.randrange(9)}"] * rng.choice((1, 4, 12)) + part[len(part) // 2 :]
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = part[: rng.randrange(3, len(part) + 1)]
+        docs.append((d, " ".join(w)))
+    halves = items[1][1].split()
+    docs += [(100, " ".join(halves[:5])), (101, " ".join(halves[5:]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_near(docs, items)
+    assert sum(v > 0 for v in want.values()) > 10
+    for shard in (decontaminate.SHARD, 1):
+        monkeypatch.setattr(decontaminate, "SHARD", shard)
+        found = {r["doc_id"]: r["n_near_items"] for r in decontaminate.contamination(frame, bench).collect()}
+        assert found == {d: want.get(d, 0) for d, _ in docs} and found[100] == found[101] == 0

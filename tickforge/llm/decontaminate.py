@@ -4,9 +4,11 @@ The training documents are indexed once: each task turns its documents into shar
 its distinct terms with the ascending positions at which each stands, and the documents' borders.  The index is a table in the
 shared folder.  Test items are searched in blocks of bounded size against all shards: for each window of an item the lists of its terms are intersected
 after each is shifted by the term's place in the window, beginning with the two rarest terms of that shard.  What remains is an exact
-phrase.  Lists that meet within ``SLOP`` words of each other, but not exactly, are proximity matches.
+phrase.  A window of which at least ``NEAR`` percent of the terms stand within ``SLOP`` words of their place, all in one document, is a proximity match: an
+altered copy.  As so many terms must be there, one of the rarest few is, and their lists give the places to try.
 
-A pass over the index shuffles nothing; only when the test items need several passes are a document's matches grouped.  Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z; a
+A pass over the index shuffles nothing; only when the test items need several passes are a document's matches grouped.  Items of equal words are
+searched once; a block of whole items, ``BLOCK`` words in all on average, goes to the tasks at once.  Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z; a
 window is ``WINDOW`` words, or all words of a shorter item.
 
 Defined results: null or empty texts have no words; an item without words has no window; items with the same id count once; rows with
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from .scratch import arrow_batches, materialize
 from .wordstream import ALNUM, hash_words, slices
 
-WINDOW, SHARD, SLOP = 10, 1 << 19, 10
+WINDOW, SHARD, SLOP, NEAR = 10, 1 << 19, 10, 80
 #: Words of test items that go to the tasks at once, about; more items are searched in more passes.
 BLOCK = 1 << 18
 _U = np.uint64
@@ -94,46 +96,77 @@ def item_windows(rows: list, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(np.concatenate(m), np.concatenate(at)) for m, at in by.values()]
 
 
-def _find(terms: np.ndarray, ends: np.ndarray, key: np.ndarray, wins: np.ndarray, slop: int) -> tuple[np.ndarray, ...]:
-    """``(window, start)`` of exact phrases, then of proximity matches, in one shard.
-
-    ``key`` is ascending: a term's place in ``terms`` times 2**32, plus a position.
-    """
-    none = np.zeros(0, np.int64)
-    k = wins.shape[1]
-    if not len(terms):
-        return none, none, none, none
+def _places(terms: np.ndarray, ends: np.ndarray, wins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each term of each window: is it in the shard, its place in ``terms``, where its list begins, how long that is."""
     at = np.minimum(np.searchsorted(terms, wins), len(terms) - 1)
-    live = np.flatnonzero((terms[at] == wins).all(axis=1))
-    at = at[live]
+    there = terms[at] == wins
     begin = np.where(at > 0, ends[at - 1], 0)
-    rank = np.argsort(ends[at] - begin, axis=1, kind="stable")
-    row, rare = np.arange(len(live)), rank[:, 0]
-    n = (ends[at] - begin)[row, rare]
+    return there, at, begin, np.where(there, ends[at] - begin, 0)
+
+
+def _starts(key: np.ndarray, begin: np.ndarray, size: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(window, start)`` for each posting of one term (its number in the window) of each window."""
+    row = np.arange(len(term))
+    n = size[row, term]
     win = np.repeat(row, n)
     inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    start = (key[begin[row, rare][win] + inner] & 0xFFFFFFFF) - rare[win]
-    exact = np.ones(len(win), bool)
-    near = (none, none)
-    for r in range(1, k):
+    return win, (key[begin[row, term][win] + inner] & 0xFFFFFFFF) - term[win]
+
+
+def _find(terms: np.ndarray, ends: np.ndarray, key: np.ndarray, wins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(window, start)`` of exact phrases in one shard.
+
+    ``key`` is ascending: a term's place in ``terms`` times 2**32, plus a position.
+    """
+    if not len(terms):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    there, at, begin, size = _places(terms, ends, wins)
+    live = np.flatnonzero(there.all(axis=1))
+    at, begin, size = at[live], begin[live], size[live]
+    rank = np.argsort(size, axis=1, kind="stable")
+    win, start = _starts(key, begin, size, rank[:, 0])
+    for r in range(1, wins.shape[1]):
         j = rank[win, r]
         want = (at[win, j].astype(np.int64) << 32) + start + j
-        i = np.searchsorted(key, want)
-        up = key[np.minimum(i, len(key) - 1)]
-        exact &= up == want
-        if r > 2:
-            win, start, exact = win[exact], start[exact], exact[exact]
-            continue
-        gap = np.minimum(np.abs(up - want), np.abs(want - key[np.maximum(i - 1, 0)]))  # other terms are 2**32 away
-        close = gap <= slop
-        win, start, exact = win[close], start[close], exact[close]
-        if r == min(2, k - 1):
-            near = win, start  # exact phrases among them are taken out later
-            win, start, exact = win[exact], start[exact], exact[exact]
-    return live[win], start, live[near[0]], np.maximum(near[1], 0)
-
-
-def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], slop: int) -> Iterator[pa.RecordBatch]:
+        same = key[np.minimum(np.searchsorted(key, want), len(key) - 1)] == want
+        win, start = win[same], start[same]
+    return live[win], start
+
+
+def _find_near(terms: np.ndarray, ends: np.ndarray, key: np.ndarray, first: np.ndarray, wins: np.ndarray, slop: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(window, document)`` of proximity matches, exact ones among them."""
+    k = wins.shape[1]
+    misses = k - -(-k * percent // 100)
+    if not len(terms):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    there, at, begin, size = _places(terms, ends, wins)
+    live = np.flatnonzero((~there).sum(axis=1) <= misses)
+    there, at, begin, size = there[live], at[live], begin[live], size[live]
+    rank = np.argsort(size, axis=1, kind="stable")
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for anchor in range(misses + 1):
+        term = rank[:, anchor]
+        win, start = _starts(key, begin, size, term)
+        doc = np.searchsorted(first, start + term[win], "right") - 1
+        missed = np.zeros(len(win), np.int64)
+        for r in range(k):
+            j = rank[win, r]
+            low, high = first[doc], first[doc + 1]
+            place = np.clip(start + j, low, high)
+            base = at[win, j].astype(np.int64) << 32
+            i = np.searchsorted(key, base + place)
+            up = key[np.minimum(i, len(key) - 1)] - base
+            down = key[np.maximum(i - 1, 0)] - base
+            # Other terms are 2**32 away.
+            close = (up >= place) & (up < high) & (up - start - j <= slop) | (down < place) & (down >= low) & (start + j - down <= slop)
+            missed += ~(close & there[win, j])
+            keep = missed <= misses
+            win, start, doc, missed = win[keep], start[keep], doc[keep], missed[keep]
+        found.append((live[win], doc))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], slop: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in range(batch.num_rows):
             ids, first, terms, ends, positions = (batch.column(c)[r].values for c in range(5))
@@ -145,14 +178,15 @@ def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], s
             found, near = set(), set()
             for wins, items in groups:
                 k = wins.shape[1]
-                w, s, nw, ns = _find(terms, ends, key, wins, slop)
+                w, s = _find(terms, ends, key, wins)
                 d = np.searchsorted(first, s, "right") - 1
                 inside = (s >= 0) & (s + k <= first[np.minimum(d + 1, len(first) - 1)])  # a phrase never spans two documents
                 w, s, d = w[inside], s[inside], d[inside]
                 np.add.at(hit, s, 1)
                 np.add.at(hit, s + k, -1)
                 found.update(zip(d.tolist(), items[w].tolist(), strict=True))
-                near.update(zip((np.searchsorted(first, ns, "right") - 1).tolist(), items[nw].tolist(), strict=True))
+                w, d = _find_near(terms, ends, key, first, wins, slop, percent)
+                near.update(zip(d.tolist(), items[w].tolist(), strict=True))
             covered = np.concatenate([[False], np.cumsum(hit[:-1]) > 0, [False]])
             # A run that reaches the end of a document stops there.
             begins = np.flatnonzero(covered[1:-1] & (~covered[:-2] | np.isin(np.arange(len(covered) - 2), first)))
@@ -164,7 +198,7 @@ def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], s
             lists: tuple[list, list] = ([set() for _ in runs], [set() for _ in runs])
             for to, pairs in zip(lists, (found, near - found), strict=True):
                 for d, i in pairs:
-                    to[d].add(names[i])
+                    to[d].update(names[i])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.repeat(batch.column("shard")[r], len(runs)),
@@ -178,23 +212,26 @@ def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], s
             )
 
 
-def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_col: str = "text", width: int = WINDOW, slop: int = SLOP, id_col: str = "doc_id") -> DataFrame:
+def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_col: str = "text", width: int = WINDOW, slop: int = SLOP, percent: int = NEAR, id_col: str = "doc_id") -> DataFrame:
     """``id_col, n_words, n_hit, items array<string>, near_items array<string>`` of every indexed document.
 
     Items are searched in blocks of about ``BLOCK`` words, one pass over the index for each.
     """
     spark = index.sparkSession
     kind = index.schema["ids"].dataType.elementType.simpleString()
-    sized = item_words(items, item_col, text_col)
-    n_blocks = max(1, -(-(sized.agg(F.sum("n")).first()[0] or 0) // BLOCK))
+    sized = item_words(items, item_col, text_col).groupBy("words", "n").agg(F.array_sort(F.collect_set(F.coalesce("item", F.lit("")))).alias("names"))
+    sized = materialize(sized, "items")
+    # Items of different words are dealt to blocks by hash; names count as words.
+    total = sized.agg(F.coalesce(F.sum(F.col("n") + F.size("names")), F.lit(0))).first()[0]
+    n_blocks = max(1, -(-total // BLOCK))
     schema = f"shard long, place int, id {kind}, n_words long, runs array<struct<a:int,b:int>>, items array<string>, near_items array<string>"
     found = None
     for b in range(n_blocks):
-        rows = sized.filter(F.pmod(F.xxhash64("item", "words"), F.lit(n_blocks)) == b).collect()  # about BLOCK words
-        block = spark.sparkContext.broadcast((item_windows(rows, width), [r["item"] or "" for r in rows]))
+        rows = sized.filter(F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == b).collect()  # about BLOCK words
+        block = spark.sparkContext.broadcast((item_windows(rows, width), [r["names"] for r in rows]))
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            return _search(batches, *block.value, slop)
+            return _search(batches, *block.value, slop, percent)
 
         one = index.mapInArrow(run, schema)
         found = one if found is None else found.unionByName(one)

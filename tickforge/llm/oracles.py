@@ -85,9 +85,22 @@ z AS (SELECT DISTINCT k FROM i),
 v AS (SELECT doc_id, k, a, array_to_string(w[a:a + k - 1], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS a FROM d JOIN z ON len(w) >= k)),
 m AS (SELECT v.doc_id, v.k, v.a, i.item FROM v JOIN i ON v.k = i.k AND v.g = i.g),
 h AS (SELECT doc_id, count(DISTINCT a + o) AS n FROM m, range(10) t(o) WHERE o < k GROUP BY doc_id),
-n AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM m GROUP BY doc_id)
-SELECT d.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(len(items), 0) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)"""
+n AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM m GROUP BY doc_id),
+-- Near matches: at least 8 of 10 terms within 10 words of their place. A window has its terms with how often the documents hold each.
+t AS (SELECT doc_id, w[i] AS term, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+y AS (SELECT DISTINCT item, k, w[a:a + k - 1] AS g FROM (SELECT item, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS a FROM b WHERE len(w) > 0)),
+y1 AS (SELECT row_number() OVER () AS win, k, g, list(DISTINCT item) AS items FROM y GROUP BY k, g),
+y2 AS (SELECT win, k, g[j] AS term, j, row_number() OVER (PARTITION BY win ORDER BY coalesce(df, 0), j) AS rare FROM (SELECT *, unnest(range(1, k + 1)) AS j FROM y1) x LEFT JOIN f ON f.term = x.g[x.j]),
+c AS (SELECT DISTINCT doc_id, win, k, i - j AS s FROM y2 JOIN t USING (term) WHERE rare <= k - (k * 8 + 9) // 10 + 1),
+q AS (SELECT doc_id, term, list(i) AS places FROM t WHERE term IN (SELECT term FROM y2) GROUP BY doc_id, term),
+c1 AS (SELECT c.doc_id, c.win, c.k, c.s FROM c JOIN y2 USING (win) JOIN q ON q.doc_id = c.doc_id AND q.term = y2.term AND len(list_filter(places, lambda x: abs(x - s - j) <= 10)) > 0
+  WHERE rare <= least(c.k, 2 * (c.k - (c.k * 8 + 9) // 10 + 1)) GROUP BY ALL HAVING count(*) >= least(c.k, 2 * (c.k - (c.k * 8 + 9) // 10 + 1)) - (c.k - (c.k * 8 + 9) // 10)),
+c2 AS (SELECT c1.doc_id, c1.win, c1.k, c1.s FROM c1 JOIN y2 USING (win) JOIN q ON q.doc_id = c1.doc_id AND q.term = y2.term AND len(list_filter(places, lambda x: abs(x - s - j) <= 10)) > 0
+  GROUP BY ALL HAVING count(*) >= (c1.k * 8 + 9) // 10),
+e AS (SELECT doc_id, count(DISTINCT item) AS n FROM (SELECT doc_id, unnest(items) AS item FROM (SELECT DISTINCT doc_id, win FROM c2) JOIN y1 USING (win)) x ANTI JOIN (SELECT DISTINCT doc_id, item FROM m) USING (doc_id, item) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(len(items), 0) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated, coalesce(e.n, 0) AS n_near_items
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN e USING (doc_id)"""
 
 _fit = {h + p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))" for h, p, _ in URL_RULES}
 _longest = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
