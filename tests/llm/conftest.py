@@ -22,8 +22,9 @@ ROWS = [
 @pytest.fixture(scope="session")
 def odd(spark):
     """Documents with nulls, repeated rows, empty and very long texts and a column that clashes with inner names."""
-    rows = [(i, t, lang, s, None if t is None else len(t), "clash", 7) for i, t, lang, s in ROWS]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, n int")
+    rows = [(i, t, lang, s, None if t is None else len(t), "clash", 7, *"abcdef") for i, t, lang, s in ROWS]
+    inner = ", ".join(f"{c} string" for c in ("_hit", "_gone", "_lang_pred", "_lang_score", "_whole", "_spans"))
+    return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, id string, n int, {inner}")
 
 
 @pytest.fixture(scope="session")

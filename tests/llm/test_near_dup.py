@@ -109,3 +109,11 @@ def test_minhash_estimates_similarity():
     b = np.concatenate([a[:400], rng.integers(0, 1 << 63, 200, dtype=np.uint64)])
     s = near_dup.circulant_minhash(np.concatenate([np.sort(a), np.sort(b)]), np.array([0, 600, 1200]), 1024)
     assert abs((s[0] == s[1]).mean() - 400 / 800) < 0.06
+
+
+def test_ids_of_other_types(spark):
+    texts = ["one two three four", "one two three four", "a b c", "one two three four five", None]
+    docs = spark.createDataFrame([(f"x{i}", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_dup.components_of(docs, 1, 80).collect()}
+    assert got == {"x0": ("x0", True), "x1": ("x0", False), "x2": ("x2", True), "x3": ("x0", False), "x4": ("x4", True)}
+    assert {r["doc_id"] for r in near_dup.keep_one(docs, 1, 80).collect()} == {"x0", "x2", "x4"}

@@ -4,7 +4,7 @@ Targets: sources share a budget by weight, but none takes more than a multiple o
 take is reshared by weight until none is above its cap.  That is a water level: sources ordered by cap per weight, prefix
 sums decide where the level stands.
 
-Documents: a source's documents lie in hash order on a line of words.  Whole passes over the source come first, then the
+Documents: a source's documents lie in hash order (of the id, or of the text where that is null) on a line of words.  Whole passes over the source come first, then the
 part of the line that is still needed, so whole documents are taken but for one per source, which is cut, and each source's
 words sum to its target rounded.  Every source has a weight schedule over training time; its integral is the demand for
 words up to each time, and inverting it gives the training position at which a document is read.  Rows are range-sorted by
@@ -77,8 +77,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first read, null if never; ``last_position`` that of its last reading.
     """
     rows = (
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-        .withColumn("order", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))))
+        docs.select(
+            F.col(id_col).alias("id"),
+            F.col(source_col).alias("source"),
+            n_words(F.col(text_col)).alias("size"),
+            F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit(""))).alias("order"),
+        )
         .withColumn("slice", F.substring("order", 1, SLICE_DIGITS))
     )
     rows = materialize(rows.withColumn("source", F.col("source").cast("string")), "mixing")

@@ -19,7 +19,7 @@ escapes all bands with a chance of 7e-10 (0.8: 6e-7).
 
 Defined results: null text, and text without words, has an empty set and is linked with nothing; a document of fewer words than a shingle has one
 shingle, its whole sequence; rows with the same id are the same document; a row with a null id is in no
-component (null) and kept; other columns are ignored; an empty table gives an empty result.
+component (null) and kept; ids may be of any type that has an order; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import arrow_batches, materialize
+from .scratch import arrow_batches, fresh, materialize
 from .wordstream import BLANK, distinct_per_doc, hash_words, mix, slices, windows
 
 COORDINATES, ROWS = 180, 5
@@ -76,6 +76,10 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct_per_doc(*windows(w.hashes, w.first, width))
 
 
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """``id, n, f1, f2, bands`` of rows ``id, text``: size, 128-bit fingerprint and bucket keys of each set."""
 
@@ -98,7 +102,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     [part.column("id"), pa.array(n), pa.array(f[0].view(np.int64)), pa.array(f[1].view(np.int64)), lists], names=["id", "n", "f1", "f2", "bands"]
                 )
 
-    return docs.mapInArrow(sketch, "id long, n long, f1 long, f2 long, bands array<long>")
+    return docs.mapInArrow(sketch, f"id {_kind(docs, 'id')}, n long, f1 long, f2 long, bands array<long>")
 
 
 def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -179,22 +183,45 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, keep: str) -> DataFram
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(sets.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("rep"), lists, part.column(keep)], names=["rep", "set", keep])
 
-    return rows.mapInArrow(build, f"rep long, set array<long>, {keep} long").filter(F.size("set") > 0)
+    return rows.mapInArrow(build, f"rep {_kind(wanted, 'rep')}, set array<long>, {keep} {_kind(wanted, keep)}").filter(F.size("set") > 0)
 
 
-def _join_parts(sets: DataFrame, keys: tuple[str, ...], percent: int, parts: int) -> DataFrame:
-    """Links ``u, v`` within the groups of ``keys`` of rows ``rep, set``."""
+def _to_lead(sets: list[np.ndarray], percent: int, lead: int) -> list[tuple[int, int]]:
+    """Links of all sets with one of them."""
+    own, out = sets[lead], []
+    for i, x in enumerate(sets):
+        if i != lead and 100 * min(len(x), len(own)) >= percent * max(len(x), len(own)):
+            both = len(np.intersect1d(x, own, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(own) - both):
+                out.append((i, lead))
+    return out
+
+
+def _join_parts(sets: DataFrame, keys: tuple[str, ...], percent: int, parts: int, to_lead: bool = False) -> DataFrame:
+    """Links ``u, v`` within the groups of ``keys`` of rows ``rep, set``; ``to_lead``: only those with the set that the first key names."""
+    schema = f"u {_kind(sets, 'rep')}, v {_kind(sets, 'rep')}"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        u, v = [], []
-        for _, rows in _groups(batches, keys):
-            for i, j in _linked([s for _, s in rows], percent) if len(rows) > 1 else ():
+        u, v, kind = [], [], None
+
+        def seen() -> Iterator[pa.RecordBatch]:
+            nonlocal kind
+            for b in batches:
+                kind = b.schema.field("rep").type
+                yield b
+
+        for key, rows in _groups(seen(), keys):
+            found = [s for _, s in rows]
+            lead = next((i for i, (r, _) in enumerate(rows) if r == key[0]), None) if to_lead else None
+            links = [] if len(rows) < 2 or to_lead and lead is None else _to_lead(found, percent, lead) if to_lead else _linked(found, percent)
+            for i, j in links:
                 u.append(rows[i][0])
                 v.append(rows[j][0])
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], names=["u", "v"])
 
     dealt = sets.repartition(parts, *keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(compare, "u long, v long")
+    return dealt.mapInArrow(compare, schema)
 
 
 def _large_parts(docs: DataFrame, entries: DataFrame, members: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
@@ -202,20 +229,12 @@ def _large_parts(docs: DataFrame, entries: DataFrame, members: DataFrame, width:
     inside = materialize(entries.join(members.select("rep"), "rep", "left_semi"), "entries")
     sets = materialize(_sets(docs, members.select("rep", "part"), width, "part").select("rep", "set"), "sets")
     lead = inside.groupBy("key").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size"))
-    near = inside.join(lead.filter("size > 1"), "key").filter("rep <> lead").select("rep", "lead").distinct()
-    pairs = near.join(sets, "rep").withColumnRenamed("set", "a").join(sets.select(F.col("rep").alias("lead"), F.col("set").alias("b")), "lead")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = a.values.to_numpy(), b.values.to_numpy()
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    short = F.least(F.size("a"), F.size("b")) * 100 >= F.greatest(F.size("a"), F.size("b")) * percent
-    links = materialize(pairs.filter(short).select(F.col("rep").alias("u"), F.col("lead").alias("v"), "a", "b").mapInArrow(verify, "u long, v long"), "links")
+    near = inside.join(lead.filter("size > 1"), "key").filter("rep <> lead").select("rep", "lead", "n").distinct()
+    # The members of a leader are dealt to tiles, and the leader's set goes once to each.
+    size = near.groupBy("lead").agg(F.ceil(F.sum("n") / F.lit(TILE)).alias("g"))
+    mine = near.join(size, "lead").select("lead", F.pmod(F.xxhash64("rep"), F.col("g")).alias("t"), "rep")
+    own = size.select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("t"), F.col("lead").alias("rep"))
+    links = materialize(_join_parts(mine.unionByName(own).join(sets, "rep"), ("lead", "t"), percent, parts, to_lead=True), "links")
     # What a bucket's smallest member doesn't join is compared in tiles.
     label = connected_components(links)
     open_ = inside.join(label, inside["rep"] == label["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
@@ -235,7 +254,7 @@ def components_of(docs: DataFrame, width: int, percent: int, id_col: str = "doc_
     spark = docs.sparkSession
     arrow_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketch = materialize(sketches(rows, width), "sketch")
     classes = sketch.filter("n > 0 and id is not null").groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"))
     classes = materialize(classes, "classes")
@@ -260,6 +279,7 @@ def components_of(docs: DataFrame, width: int, percent: int, id_col: str = "doc_
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay if one document of each component does: the one with the smallest id."""
-    gone = components_of(docs, width, percent, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
+    name = fresh(docs, "gone")
+    gone = components_of(docs, width, percent, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias(name)).distinct()
     few = (gone := materialize(gone, "gone")).limit(SMALL + 1).count() <= SMALL
-    return docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col(name), "left_anti")

@@ -61,7 +61,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 _weights = ", ".join(f"{w}.0" for w in mixing.WEIGHTS)
 _ramps = ", ".join(map(str, mixing.RAMPS))
 _use = "CASE WHEN ramp = 0 THEN u ELSE 2 * u / (1 - ramp + sqrt(greatest((1 - ramp) * (1 - ramp) + 4 * ramp * u, 0))) END"
-MIXING = rf"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS ord FROM documents),
+MIXING = rf"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS ord FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
 s1 AS (SELECT *, CAST([{_weights}][place % {len(mixing.WEIGHTS)} + 1] AS DOUBLE) AS weight, source_size * CAST({mixing.MOST} AS DOUBLE) AS cap, CAST([{_ramps}][place % {len(mixing.RAMPS)} + 1] AS DOUBLE) AS ramp FROM s0),
 s2 AS (SELECT *, cap / weight AS level, (sum(source_size) OVER () * CAST({mixing.SHARE} AS DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))

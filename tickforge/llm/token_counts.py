@@ -6,7 +6,7 @@ pieces, of a fixed number of entries and so of a proven size, broadcast to all t
 worker: pieces missing from the table are encoded once per worker by the tokenizer itself.
 
 The frequent pieces come from one pass over all texts: each task keeps a bounded summary of its commonest
-pieces, and only the summaries meet.  The table decides speed, never results.
+short pieces, and only the summaries are shuffled and meet, a fixed number of entries for each task.  The table decides speed, never results.
 
 Defined results: null and empty text have 0 bytes and 0 tokens; a null id stays null; rows that repeat are counted
 each; other columns are ignored; an empty table gives an empty result.
@@ -26,6 +26,8 @@ from .wordstream import BLANK, KEEP, Words, hash_words, slices, text_bytes
 
 #: Entries of the broadcast table; pieces in each task's summary; entries of each worker's cache.
 TABLE, SUMMARY, CACHE = 1 << 16, 1 << 12, 400_000
+#: Bytes of a piece that may be in the table; so what the driver gets is bounded too.
+LONGEST = 64
 
 _tokenizers: dict = {}
 _cache: dict[str, dict[int, int]] = {}
@@ -91,6 +93,8 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             w = hash_words(part.column("text"), BLANK, KEEP)
             h, at, n = np.unique(w.hashes, return_index=True, return_counts=True)
+            short = w.end[at] - w.start[at] <= LONGEST
+            h, at, n = h[short], at[short], n[short]
             top = np.argsort(-n, kind="stable")[: 4 * SUMMARY]
             for x, i, k in zip(h[top].tolist(), at[top].tolist(), n[top].tolist(), strict=True):
                 if x in counts:
