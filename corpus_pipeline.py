@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm import decontaminate, language_id, mixing, near_dup, pii
-from tickforge.llm.scratch import materialize
+from tickforge.llm.scratch import fresh, materialize
 
 #: The stages have no SQL form: hyperdimensional profiles and MinHash aren't expressible.
 ORACLE_SQL = None
@@ -26,9 +26,10 @@ BROADCAST_ROWS = 500_000
 
 def stage_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learned = language_id.prototypes(docs.filter(~language_id.held_out()).select("text", "lang"))
-    said = language_id.predict_language(docs, learned, "text", "_lang_pred", "_lang_score")
-    kept = said.filter(F.col("_lang_pred") != language_id.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "_lang_pred")).select(*docs.columns)
+    pred, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
+    said = language_id.predict_language(docs, learned, "text", pred, score)
+    kept = said.filter(F.col(pred) != language_id.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", pred)).select(*docs.columns)
 
 
 def stage_near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +38,11 @@ def stage_near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    name = fresh(docs, "hit")
     found = decontaminate.search(decontaminate.build_index(docs), items)
-    hit = materialize(found.filter("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
+    hit = materialize(found.filter("n_hit > 0").select(F.col("doc_id").alias(name)).distinct(), "contaminated")
     few = hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(hit) if few else hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    return docs.join(F.broadcast(hit) if few else hit, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
