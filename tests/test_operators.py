@@ -152,18 +152,23 @@ def test_detectors(spark):
     assert sorted(r["severity"] for r in crossed) == [0.5, pytest.approx(952.38 / 1000, abs=1e-4)]
 
 
-def test_ewm_against_pandas(spark):
+@pytest.mark.parametrize(("span", "n"), [(20, 1500), (500, 6000), (2, 80)])
+def test_ewm_against_pandas(spark, span, n):
+    """Over many blocks, with nulls, far from zero, and for spans in which old rows still weigh."""
+    import numpy as np
     import pandas as pd
 
-    rng = random.Random(9)
-    values = [rng.random() * 100 for _ in range(60)]
-    df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "k string, i int, v double")
-    got = anomaly.ewm_prior(df, ["k"], ["i"], "v").orderBy("i").collect()
-    e = pd.Series(values).ewm(span=20, min_periods=10)
-    for r, m, s in zip(got, e.mean().shift(1), e.std().shift(1), strict=True):
-        assert (r["ewm_mean"] is None) == pd.isna(m)
-        if not pd.isna(m):
-            assert r["ewm_mean"] == pytest.approx(m) and r["ewm_std"] == pytest.approx(s)
+    rng = random.Random(span)
+    values = [None if rng.random() < 0.05 else 5000 + rng.random() * 100 for _ in range(n)]
+    df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)] + [("other", i, 1.0) for i in range(12)], "k string, i int, v double")
+    got = [r for r in anomaly.ewm_prior(df, ["k"], ["i"], "v", span=span).filter("k = 'k'").orderBy("i").collect()]
+    e = pd.Series(values, dtype=float).ewm(span=span, min_periods=10, ignore_na=True)
+    for r, m, d in zip(got, e.mean().shift(1), e.std().shift(1), strict=True):
+        assert (r["ewm_mean"] is None) == bool(np.isnan(m))
+        if not np.isnan(m):
+            assert r["ewm_mean"] == pytest.approx(m) and r["ewm_std"] == pytest.approx(d, rel=1e-6)
+    flat = anomaly.ewm_prior(df, ["k"], ["i"], "v", span=span).filter("k = 'other' and ewm_mean is not null").collect()
+    assert len(flat) == 2 and all(r["ewm_std"] == 0 for r in flat)
 
 
 def test_gates_fail_on_bad_data(spark):
@@ -219,16 +224,25 @@ def test_lake_and_pipeline(spark, tmp_path, sf_dir):
     df = inputs.observations(spark, sf_dir).filter("lowest_sell > 0")
     e = F.from_json("value", "source string, endpoint string, app_id int, currency int, observed_at string, request_params string, raw_payload string")
     raw = inputs.envelopes(df).select("key", e.alias("e")).select("e.*", F.sha2("key", 256).alias("ingest_id"), normalize.item_of_key(F.col("key")).alias("item"))
-    raw = raw.withColumn("request_params", F.to_json(F.struct("item"))).drop("item")
+    bucket = F.get_json_object("request_params", "$.market_bucket_id").alias("market_bucket_id")
+    raw = raw.withColumn("request_params", F.to_json(F.struct("item", bucket))).drop("item")
     lake.write_bronze(raw, f"{tmp_path}/bronze")
     assert lake.read_bronze(spark, f"{tmp_path}/bronze").count() == df.count()
     newest = raw.agg(F.max("observed_at")).first()[0].replace("T", " ")
     run = pipeline.run(spark, f"{tmp_path}/bronze", f"{tmp_path}/marts", newest, inputs.currencies(spark), inputs.rates(spark, sf_dir))
-    assert {"observations", "changes", "item_daily", "dislocation", "anomalies"} <= set(run.tables)
+    assert {"observations", "changes", "item_daily", "dislocation", "anomalies", "orderbook_snapshot", "dim_item", "item_bucket_map"} <= set(run.tables)
+    books = run.tables["orderbook_snapshot"]
+    assert books.filter("resolved and buy_depth_10 > 0 and sell_depth_10 > 0").count() > 0 and books.filter("not resolved").count() > 0
+    assert run.tables["anomalies"].filter("computed_at is null or explanation is null").count() == 0
+    first = run.tables["dim_item"].count()
+    again = pipeline._versions(spark, f"{tmp_path}/marts/versions/dim_item", run.tables["item_attributes"].withColumn("item_type", F.lit("new")), "2030-01-01 00:00:00")
+    assert again.count() == 2 * first and again.filter("is_current").count() == first
     assert run.tables["changes"].count() > 0
     assert "synced_at" in spark.read.parquet(f"{tmp_path}/marts/serving/changes").columns
     with pytest.raises(quality.GateFailed):
         pipeline.run(spark, f"{tmp_path}/bronze", f"{tmp_path}/again", "2030-01-01 00:00:00", inputs.currencies(spark), inputs.rates(spark, sf_dir))
+    assert lake.published(spark, f"{tmp_path}/published") is None
+    lake.publish_version(run.tables["changes"].limit(1), f"{tmp_path}/published")
     version = lake.publish_version(run.tables["changes"], f"{tmp_path}/published")
     assert version and lake.read_current(spark, f"{tmp_path}/published").count() == run.tables["changes"].count()
     assert json.loads(lake.to_messages(run.tables["changes"].withColumn("pct_change", F.lit(None).cast("double"))).first()["value"])["pct_change"] is None
@@ -259,3 +273,37 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_seeds_silver_and_missing_tables(spark, tmp_path, sf_dir):
+    (tmp_path / "seed.csv").write_text("currency_code,iso_code,thousands_sep\n1,USD,\",\"\n18,UAH,\n")
+    rows = lake.read_seed(spark, f"{tmp_path}/seed.csv", "currency_code int, iso_code string, thousands_sep string").orderBy("currency_code").collect()
+    assert [tuple(r) for r in rows] == [(1, "USD", ","), (18, "UAH", None)]
+    events = cdc.detect_changes(inputs.observations(spark, sf_dir))
+    events.write.parquet(f"{tmp_path}/events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{tmp_path}/events")
+    lake.land(stream, f"{tmp_path}/silver", f"{tmp_path}/state", lake.SILVER_PARTITIONS, every=None).awaitTermination()
+    silver = lake.read_silver(spark, f"{tmp_path}/silver")
+    assert silver.count() == events.count() > 0 and silver.filter("dt is null or hour is null").count() == 0
+    spark.range(3).createOrReplaceTempView("mart_here")
+    assert set(lake.existing_tables(spark, ["mart_here", "mart_gone"])) == {"mart_here"}
+    spark.catalog.dropTempView("mart_here")
+
+
+def test_streaming_bars(spark, tmp_path):
+    """A day's bar is final once the watermark is past it; the day that is still open isn't written."""
+    days = [obs(spark, [("a", 1440 * d + m, 100 + m, None, None, None, 1, "priceoverview") for m in (1, 500, 900)]) for d in range(3)]
+    for k, part in enumerate(days):
+        part.coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stream = spark.readStream.schema(days[0].schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    bars_of = change_stream.streaming_bars(stream)
+    q = bars_of.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r["observation_date"].day, r["open_price"], r["high_price"], r["low_price"], r["close_price"], r["observation_count"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(1, 101, 1000, 101, 1000, 3), (2, 101, 1000, 101, 1000, 3)]
+
+
+def test_paths_that_disagree(spark):
+    a = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "app_id int, market_hash_name string")
+    got = quality.differences(a, spark.createDataFrame([(1, "a"), (3, "c")], a.schema)).collect()
+    assert sorted((r["app_id"], r["side"]) for r in got) == [(1, "left"), (2, "left"), (3, "right")]

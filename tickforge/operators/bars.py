@@ -68,8 +68,8 @@ def rolling_average(daily: DataFrame, days: int = 7, closed: bool = True) -> Dat
 
 def latest(rows: DataFrame, keys: Sequence[str], ts: str, *ties: str) -> DataFrame:
     """The latest row of each key; null keys are a group of their own; ``ties`` decide between rows of equal time."""
-    order = Window.partitionBy(*keys).orderBy(F.desc(ts), *(F.desc(t) for t in ties))
-    return rows.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    newest = F.max_by(F.struct(*rows.columns), F.struct(ts, *ties))  # combines before the shuffle; nothing is sorted
+    return rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(newest.alias("_row")).select("_row.*")
 
 
 def latest_by_self_join(rows: DataFrame, keys: Sequence[str], ts: str, null_safe: bool = False) -> DataFrame:

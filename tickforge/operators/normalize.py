@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import depth
 from ..functions.money import CURRENCIES, money_domain, parse_price, parse_volume
 from ..schemas import ORDER_BOOK, PRICE_OVERVIEW, SEARCH_RENDER
 
@@ -86,3 +87,43 @@ def item_attributes(decoded: DataFrame) -> DataFrame:
         F.col("i.asset_description.commodity").alias("commodity"),
         F.col("i.asset_description.market_bucket_group_id").alias("group_id"),
     )
+
+
+def orderbook_snapshots(decoded: DataFrame, mapping: DataFrame, bands: tuple[int, ...] = (1, 5, 10)) -> DataFrame:
+    """Order books with their measures: spread, its basis points and the depth of either side within some percent of the mid.
+
+    The item is that of the requested bucket (``mapping``: ``app_id, market_hash_name, market_bucket_id``), else the key's.
+    """
+    book = F.col("_book.data")
+    rows = decoded.filter("endpoint = 'orderbook'").withColumn("_book", F.from_json("raw_payload_json", ORDER_BOOK)["data"]).filter("_book.success")
+    rows = rows.select(
+        "app_id",
+        "observed_at",
+        item_of_key(F.col("kafka_key")).alias("_item"),
+        F.get_json_object("request_params", "$.market_bucket_id").alias("market_bucket_id"),
+        book["amtMinSellOrder"].alias("lowest_sell"),
+        book["amtMaxBuyOrder"].alias("highest_buy"),
+        book["cBuyOrders"].alias("buy_orders"),
+        book["cSellOrders"].alias("sell_orders"),
+        book["eCurrency"].alias("currency"),
+        book["rgCompactBuyOrders"].alias("_buy"),
+        book["rgCompactSellOrders"].alias("_sell"),
+    )
+    mid = (F.col("lowest_sell") + F.col("highest_buy")) / F.lit(2.0)
+    known = mapping.select(F.col("app_id").alias("_app"), F.col("market_bucket_id").alias("_bucket"), F.col("market_hash_name").alias("_known")).dropDuplicates(["_app", "_bucket"])
+    rows = rows.join(known, (F.col("app_id") == F.col("_app")) & (F.col("market_bucket_id") == F.col("_bucket")), "left")
+    return rows.select(
+        "app_id",
+        F.coalesce("_known", "_item").alias("market_hash_name"),
+        "market_bucket_id",
+        "observed_at",
+        "lowest_sell",
+        "highest_buy",
+        "buy_orders",
+        "sell_orders",
+        "currency",
+        depth.spread(F.col("lowest_sell"), F.col("highest_buy")).alias("spread"),
+        depth.spread_bps(F.col("lowest_sell"), F.col("highest_buy")).alias("spread_bps"),
+        *(depth.depth_within_pct(F.col(f"_{side}"), mid, pct / 100, side).alias(f"{side}_depth_{pct}") for side in ("buy", "sell") for pct in bands),
+        F.col("_known").isNotNull().alias("resolved"),
+    )

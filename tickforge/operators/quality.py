@@ -105,10 +105,16 @@ def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
 
 
+def empty(df: DataFrame) -> DataFrame:
+    """One row if the frame has none."""
+    return df.limit(1).agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
+
+
 def bronze_checks(bronze: DataFrame, now: str) -> list[Check]:
     columns = ("source", "endpoint", "app_id", "observed_at", "request_params", "raw_payload", "ingest_id", "currency")
     required = [c for c in columns if c not in ("currency", "request_params") and c in bronze.columns]
     checks = [Check("columns_exist", "block", missing_columns(bronze, columns))]
+    checks.append(Check("not_empty", "block", empty(bronze)))
     checks.append(Check("not_null", "block", not_null(bronze, required)))
     if "observed_at" in bronze.columns:
         checks.append(Check("fresh", "block", stale(bronze.withColumn("observed_at", F.col("observed_at").try_cast("timestamp_ntz")), "observed_at", now)))

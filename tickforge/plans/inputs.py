@@ -76,17 +76,21 @@ def envelopes(obs: DataFrame) -> DataFrame:
     text = price_texts(obs.filter("source_endpoint = 'priceoverview'"))
     rest = obs.filter("source_endpoint <> 'priceoverview' or lowest_sell is null or lowest_sell < 0 or currency is null").withColumn("price_text", F.lit(None).cast("string"))
     rows = text.select(*obs.columns, "price_text").unionByName(rest)
+    # Three levels of a side, each a little further from the mid, as price and quantity.
+    levels = lambda best, way: F.concat_ws(",", *(x for i in range(3) for x in ((F.col(best) + way * i * 37).cast("string"), (F.col("sell_listings") + i).cast("string"))))
     name = F.col("market_hash_name")
     group = F.concat(F.lit("G"), F.regexp_replace(name, "item-", ""))
     search = F.concat(
         F.lit('{"success":true,"results":[{"hash_name":'), q(name), F.lit(',"sell_price":'), num(F.col("lowest_sell")), F.lit(',"sell_listings":'), num(F.col("sell_listings")),
         F.lit(',"asset_description":{"name":'), q(name), F.lit(',"type":"t'), num(F.col("lowest_sell") % 3), F.lit('","name_color":"c'), num(F.col("lowest_sell") % 2),
-        F.lit('","commodity":1,"market_bucket_group_id":'), q(group), F.lit("}}]}"),
+        F.lit('","commodity":'), F.when(F.regexp_replace(name, "item-", "").cast("bigint") % 3 == 0, "0").otherwise("1"),
+        F.lit(',"market_bucket_group_id":'), q(group), F.lit("}}]}"),
     )
     price = F.concat(F.lit('{"success":true,"lowest_price":'), F.coalesce(q(F.col("price_text")), F.lit("null")), F.lit(',"volume":"'), num(F.col("volume")), F.lit('"}'))
     book = F.concat(
         F.lit('{"data":{"success":'), F.when(F.col("lowest_sell") % 10 == 0, "false").otherwise("true"), F.lit(',"data":{"amtMaxBuyOrder":'), num(F.col("highest_buy")), F.lit(',"amtMinSellOrder":'),
-        num(F.col("lowest_sell")), F.lit(',"eCurrency":8,"cSellOrders":'), num(F.col("sell_listings")), F.lit("}}}"),
+        num(F.col("lowest_sell")), F.lit(',"eCurrency":8,"cBuyOrders":'), num(F.col("sell_listings") + 1), F.lit(',"cSellOrders":'), num(F.col("sell_listings")),
+        F.lit(',"rgCompactBuyOrders":['), levels("highest_buy", -1), F.lit('],"rgCompactSellOrders":['), levels("lowest_sell", 1), F.lit("]}}}"),
     )
     payload = F.when(F.col("source_endpoint") == "search_render", search).when(F.col("source_endpoint") == "priceoverview", price).otherwise(book)
     request = F.when(F.col("source_endpoint") == "priceoverview", F.col("currency"))

@@ -115,7 +115,7 @@ WIDENING = f"""bk AS (
 nb AS (SELECT *, row_number() OVER (PARTITION BY app_id, market_hash_name ORDER BY observed_at, bps) AS i FROM bk WHERE bps IS NOT NULL),
 pairs AS (
   SELECT a.app_id, a.market_hash_name, a.i, a.observed_at, a.bps, b.bps AS x, pow(19.0 / 21.0, a.i - 1 - b.i) AS w
-  FROM nb a JOIN nb b ON a.app_id = b.app_id AND a.market_hash_name = b.market_hash_name AND b.i < a.i AND b.i >= a.i - 400),
+  FROM nb a JOIN nb b ON a.app_id = b.app_id AND a.market_hash_name = b.market_hash_name AND b.i < a.i),
 mu AS (
   SELECT app_id, market_hash_name, i, any_value(observed_at) AS observed_at, any_value(bps) AS bps, count(*) AS n, sum(w * x) / sum(w) AS m, sum(w) AS sw, sum(w * w) AS sq
   FROM pairs GROUP BY app_id, market_hash_name, i HAVING count(*) >= 10),
@@ -131,8 +131,14 @@ CROSSED = f"""crossed AS (
   SELECT app_id, market_hash_name, 'crossed_book' AS anomaly_type, CASE WHEN {BPS} IS NULL THEN 0.5 ELSE least(abs({BPS}) / 1000, 1.0) END AS severity, {BPS} AS score, observed_at
   FROM obs WHERE source_endpoint = 'orderbook' AND highest_buy > lowest_sell)"""
 COMMON = "app_id, market_hash_name, anomaly_type, severity, score, observed_at"
+SAID = {
+    "zscore": "printf('%s moved %s %.1f%% (%s), z %.1f', market_hash_name, CASE WHEN pct_move < 0 THEN 'down' ELSE 'up' END, round(abs(pct_move), 1), money_domain, round(score, 1))",
+    "spike": "printf('%s volume %d is unusual for a %s (%s), z %.1f', market_hash_name, total_volume, dayname(observed_at), money_domain, round(score, 1))",
+    "widening": "printf('%s spread widened to %.0f bps from about %.0f, z %.1f', market_hash_name, round(spread_bps, 0), round(ewm_mean, 0) + 0.0, round(score, 1))",
+    "crossed": "printf('%s book is crossed by %.0f bps', market_hash_name, round(abs(score), 0))",
+}
 MART = f"""{OBS}, {_bars()}, {_zscore()}, {_spike('bars')}, {WIDENING}, {CROSSED},
-mart AS (SELECT {COMMON} FROM zscore UNION ALL SELECT {COMMON} FROM spike UNION ALL SELECT {COMMON} FROM widening UNION ALL SELECT {COMMON} FROM crossed)"""
+mart AS ({' UNION ALL '.join(f'SELECT {COMMON}, {text} AS explanation FROM {name}' for name, text in SAID.items())})"""
 
 
 def _books() -> str:
@@ -163,7 +169,7 @@ MAPPING = f"""{OBS},
 com AS (
   SELECT DISTINCT app_id, market_hash_name, replace(market_hash_name, 'item-', '') AS market_bucket_id FROM obs
   WHERE source_endpoint = 'search_render' AND CAST(replace(market_hash_name, 'item-', '') AS INTEGER) % 3 <> 0),
-seen AS (SELECT DISTINCT CAST({_apps}[user_id % 5 + 1] AS INTEGER) AS app_id, 'item-' || user_id AS market_hash_name, 'p' || user_id AS market_bucket_id FROM events WHERE user_id % 2 = 0),
+seen AS (SELECT DISTINCT CAST({_apps}[user_id % 5 + 1] AS INTEGER) AS app_id, 'item-' || user_id AS market_hash_name, 'p' || user_id AS market_bucket_id FROM events WHERE event_id IS NOT NULL AND user_id IS NOT NULL),
 mapping AS (SELECT * FROM com UNION ALL SELECT * FROM seen ANTI JOIN com USING (app_id, market_hash_name))"""
 BUCKET_BOOKS = "SELECT app_id, replace(market_hash_name, 'item-', '') AS market_bucket_id, observed_at FROM obs WHERE source_endpoint = 'orderbook'"
 
@@ -186,8 +192,23 @@ def _rolling(days: int) -> str:
   round(avg(close_price) OVER (PARTITION BY app_id, market_hash_name, money_domain ORDER BY observation_date RANGE BETWEEN INTERVAL {days} DAY PRECEDING AND CURRENT ROW), 6) AS rolling_avg_close FROM bars"""
 
 
+_SIDES = ", ".join(
+    f"CAST(CASE WHEN mid > 0 THEN coalesce(list_sum([x.q FOR x IN {s} IF x.p {'>=' if s == 'buy' else '<='} mid * (1 {'-' if s == 'buy' else '+'} {p / 100})]), 0) END AS BIGINT) AS {s}_depth_{p}"
+    for s in ("buy", "sell") for p in (1, 5, 10)
+)
+
 ORACLES: dict[str, str] = {
-    "unified_observations": f"WITH {OBS} SELECT {COLUMNS} FROM obs",
+    "unified_observations": f"""WITH {OBS} SELECT {COLUMNS} FROM obs WHERE source_endpoint = 'search_render' UNION ALL SELECT {COLUMNS} FROM obs WHERE source_endpoint = 'orderbook' AND lowest_sell % 10 <> 0
+        UNION ALL SELECT {COLUMNS.replace('lowest_sell', "CASE WHEN lowest_sell < 0 THEN NULL WHEN currency = 10 THEN lowest_sell // 100 * 100 ELSE lowest_sell END AS lowest_sell")} FROM obs WHERE source_endpoint = 'priceoverview'""",
+    "bucket_pairs_of_items": f"""WITH {OBS} SELECT app_id, observed_at, CAST(place AS INTEGER) AS place, market_hash_name, replace(market_hash_name, 'item-', 'b') AS market_bucket_id
+        FROM obs, range(2) t(place)""",
+    "orderbook_snapshot": f"""WITH {MAPPING}, k AS (SELECT *, sell_listings AS n, (lowest_sell + highest_buy) / CAST(2.0 AS DOUBLE) AS mid, replace(market_hash_name, 'item-', '') AS market_bucket_id
+          FROM obs WHERE source_endpoint = 'orderbook' AND lowest_sell % 10 <> 0),
+        v AS (SELECT *, [{{'p': highest_buy, 'q': n}}, {{'p': highest_buy - 37, 'q': n + 1}}, {{'p': highest_buy - 74, 'q': n + 2}}] AS buy,
+          [{{'p': lowest_sell, 'q': n}}, {{'p': lowest_sell + 37, 'q': n + 1}}, {{'p': lowest_sell + 74, 'q': n + 2}}] AS sell FROM k)
+        SELECT v.app_id, v.market_hash_name, v.market_bucket_id, observed_at, lowest_sell, highest_buy, n + 1 AS buy_orders, n AS sell_orders, currency, lowest_sell - highest_buy AS spread,
+          round((lowest_sell - highest_buy) / nullif(mid, 0) * 10000, 6) AS spread_bps, {_SIDES}, m.market_hash_name IS NOT NULL AS resolved
+        FROM v LEFT JOIN mapping m ON m.app_id = v.app_id AND m.market_bucket_id = v.market_bucket_id""",
     "decode_envelopes": f"""WITH {OBS} SELECT app_id || ':' || market_hash_name AS kafka_key, market_hash_name AS item, source_endpoint AS endpoint, app_id,
         CASE WHEN source_endpoint = 'priceoverview' THEN currency END AS request_currency, observed_at FROM obs""",
     "normalize_search_render": f"WITH {OBS} SELECT {COLUMNS} FROM obs WHERE source_endpoint = 'search_render'",
@@ -198,7 +219,7 @@ ORACLES: dict[str, str] = {
         FROM obs JOIN cur ON currency = currency_code WHERE lowest_sell >= 0""",
     "parse_volume": "SELECT event_id, TRY_CAST(regexp_replace(props, '[^0-9]', '', 'g') AS BIGINT) AS volume FROM events",
     "item_attributes": f"""WITH {OBS} SELECT app_id, market_hash_name, observed_at, market_hash_name AS item_name, 't' || (lowest_sell % 3) AS item_type, 'c' || (lowest_sell % 2) AS rarity_color,
-        CAST(1 AS BIGINT) AS commodity FROM obs WHERE source_endpoint = 'search_render'""",
+        CAST(CASE WHEN CAST(replace(market_hash_name, 'item-', '') AS BIGINT) % 3 = 0 THEN 0 ELSE 1 END AS BIGINT) AS commodity FROM obs WHERE source_endpoint = 'search_render'""",
     "bucket_pairs_from_pages": """WITH p AS (SELECT page_id, regexp_extract_all(html, '(?s)<a href="([^"]*)">([^<]*)</a>', 1) AS a, regexp_extract_all(html, '(?s)<a href="([^"]*)">([^<]*)</a>', 2) AS b FROM pages)
         SELECT page_id, CAST(i - 1 AS INTEGER) AS place, a[i] AS href, b[i] AS label FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM p)""",
     "item_bucket_map": f"WITH {MAPPING} SELECT * FROM mapping",
@@ -244,7 +265,7 @@ ORACLES: dict[str, str] = {
     "check_plausibility": f"WITH {OBS}, {_changes()} SELECT * FROM changes WHERE field IN ('lowest_sell', 'highest_buy') AND abs(pct_change) > 50",
     "check_volume_monotonic": f"""WITH {OBS}, v AS (SELECT *, lag(volume) OVER (PARTITION BY app_id, market_hash_name, money_domain ORDER BY observed_at, volume) AS previous_volume FROM obs WHERE volume IS NOT NULL)
         SELECT app_id, market_hash_name, money_domain, observed_at, previous_volume, volume FROM v WHERE volume < previous_volume""",
-    "check_zero_decimal": f"""WITH {OBS} SELECT currency, count(*) AS n FROM obs WHERE false GROUP BY currency""",
+    "check_zero_decimal": f"WITH {OBS} SELECT currency, count(*) AS n FROM obs WHERE currency IN (8, 10, 18) AND lowest_sell >= 0 AND lowest_sell % 7 = 0 GROUP BY currency",
     "check_paths_agree": "SELECT 0 AS app_id, '' AS market_hash_name, '' AS side WHERE false",
     "gap_by_currency": f"""WITH {DISLOCATION} SELECT iso_code, count(*) AS n, round(avg(pct_gap), 4) AS mean_gap, round(stddev_samp(pct_gap), 4) AS std_gap, round(median(pct_gap), 4) AS median_gap,
         round(min(pct_gap), 4) AS min_gap, round(max(pct_gap), 4) AS max_gap FROM dislocation WHERE pct_gap IS NOT NULL GROUP BY iso_code""",
@@ -255,7 +276,7 @@ ORACLES: dict[str, str] = {
     "top_moves": f"""WITH {OBS}, {_changes()} SELECT app_id, market_hash_name, field, previous, current, delta, pct_change, observed_at FROM changes WHERE field = 'lowest_sell' AND pct_change IS NOT NULL
         ORDER BY abs((current - previous) / previous * 100) DESC, app_id, market_hash_name, observed_at LIMIT 50""",
     "anomaly_summary": f"WITH {MART} SELECT anomaly_type, count(*) AS n, round(coalesce(max(severity), 0), 4) AS max_severity FROM mart GROUP BY ROLLUP (anomaly_type)",
-    "recent_anomalies": f"""WITH {MART} SELECT * REPLACE ({_r('severity', 'score', places=4)}) FROM mart WHERE app_id = 570 AND observed_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'
+    "recent_anomalies": f"""WITH {MART} SELECT * EXCLUDE (explanation) REPLACE ({_r('severity', 'score', places=4)}) FROM mart WHERE app_id = 570 AND observed_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'
         ORDER BY observed_at DESC, market_hash_name, anomaly_type, mart.severity LIMIT 200""",
     "recent_dislocations": f"""WITH {DISLOCATION} SELECT app_id, market_hash_name, observed_at, iso_code, round(usd_gap, 6) AS usd_gap, round(pct_gap, 6) AS pct_gap FROM dislocation
         ORDER BY observed_at DESC, app_id, market_hash_name, iso_code LIMIT 200""",

@@ -45,7 +45,8 @@ def _converted(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFram
 
 @query
 def unified_observations(spark, sf_dir):
-    return inputs.observations(spark, sf_dir)
+    """The payloads of all endpoints as observations, from one scan."""
+    return normalize.normalize(_decoded(spark, sf_dir))
 
 
 @query
@@ -90,9 +91,25 @@ def bucket_pairs_from_pages(spark, sf_dir):
     return identity.pairs_from_pages(inputs.table(spark, sf_dir, "pages"), "html", ["page_id"], identity.LINK_PATTERN, ("href", "label"))
 
 
+@query
+def bucket_pairs_of_items(spark, sf_dir):
+    """Names and buckets of items in pages with escaped JSON, a page for each observation."""
+    part = lambda key, value: F.concat(F.lit(key + r'\":\"'), value, F.lit(r'\"'))
+    name = F.col("market_hash_name")
+    html = F.concat(F.lit("<script> "), part("market_hash_name", name), F.lit(", "), part("market_bucket_id", F.regexp_replace(name, "item-", "b")), F.lit(" </script>"))
+    pages = inputs.observations(spark, sf_dir).select("app_id", "observed_at", F.concat(html, F.lit(" "), html).alias("html"))
+    return identity.pairs_from_pages(pages, "html", ["app_id", "observed_at"])
+
+
+@query
+def orderbook_snapshot(spark, sf_dir):
+    return _rounded(normalize.orderbook_snapshots(_decoded(spark, sf_dir), _mapping(spark, sf_dir)), "spread_bps")
+
+
 def _mapping(spark, sf_dir):
-    commodities = identity.buckets_from_commodities(normalize.item_attributes(_decoded(spark, sf_dir))).filter(F.col("market_bucket_id").cast("int") % 3 != 0)
-    seen = inputs.table(spark, sf_dir, "events").filter("user_id % 2 = 0").select(
+    """Buckets that commodities name, and buckets seen on pages, of all items; the latter aren't the ones that books are asked by."""
+    commodities = identity.buckets_from_commodities(normalize.item_attributes(_decoded(spark, sf_dir)))
+    seen = inputs.table(spark, sf_dir, "events").filter("event_id is not null and user_id is not null").select(
         F.element_at(F.array(*map(F.lit, inputs.APPS)), (F.col("user_id") % 5 + 1).cast("int")).alias("app_id"),
         F.concat(F.lit("item-"), F.col("user_id").cast("string")).alias("market_hash_name"),
         F.concat(F.lit("p"), F.col("user_id").cast("string")).alias("market_bucket_id"),
@@ -190,11 +207,11 @@ def rolling_7d_window(spark, sf_dir):
 def rolling_7d_subquery(spark, sf_dir):
     """The correlated form (7 days, not 8), kept as a baseline: the optimizer makes a nested loop of it."""
     daily = bars.daily_bars(inputs.observations(spark, sf_dir))
-    daily.select(*bars.BAR, "close_price").createOrReplaceTempView("tickforge_daily")
     out = spark.sql(
-        """SELECT d.*, (SELECT avg(p.close_price) FROM tickforge_daily p WHERE p.app_id = d.app_id AND p.market_hash_name = d.market_hash_name
+        """SELECT d.*, (SELECT avg(p.close_price) FROM {daily} p WHERE p.app_id = d.app_id AND p.market_hash_name = d.market_hash_name
              AND p.money_domain = d.money_domain AND p.observation_date <= d.observation_date AND p.observation_date > date_sub(d.observation_date, 7)) AS rolling_avg_close
-           FROM tickforge_daily d"""
+           FROM {daily} d""",
+        daily=daily.select(*bars.BAR, "close_price"),
     )
     return _rounded(out, "rolling_avg_close")
 
@@ -239,11 +256,18 @@ def cdc_compression(spark, sf_dir):
 
 @query
 def change_events_stream(spark, sf_dir):
-    """The stream over the same observations, landed as files and read one time each."""
+    """The stream over the same observations, which land in time order, some files for each stretch of time, and are read in as many micro-batches; state
+    carries an item from one to the next."""
     folder = lake.work_folder(spark, "stream")
     obs = inputs.observations(spark, sf_dir)
-    obs.write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(obs.schema).parquet(f"{folder}/in")
+    stretches, files = 4, 2
+    at = F.unix_micros(F.col("observed_at").cast("timestamp"))
+    cuts = obs.select(F.percentile_approx(at, [i / stretches for i in range(1, stretches)])).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        # Files of one stretch hold different items, so their order doesn't matter.
+        part = obs.filter((at > low if low is not None else F.lit(True)) & (at <= high if high is not None else F.lit(True)))
+        part.repartition(files, "app_id", "market_hash_name").write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/in")
     events = change_stream.detect_changes_stream(stream)
     done = events.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     done.awaitTermination()
@@ -298,7 +322,7 @@ def _anomalies(spark, sf_dir):
 
 @query
 def anomaly_mart(spark, sf_dir):
-    return _rounded(_anomalies(spark, sf_dir).drop("explanation"), "severity", "score", places=4)
+    return _rounded(_anomalies(spark, sf_dir), "severity", "score", places=4)
 
 
 @query
@@ -345,10 +369,10 @@ def check_volume_monotonic(spark, sf_dir):
 
 @query
 def check_zero_decimal(spark, sf_dir):
-    """Prices without decimals that don't parse if the currency is read with the wrong separators."""
+    """Prices in currencies without decimals that don't parse: every price divisible by 7 is printed as sold out."""
     rows = inputs.price_texts(inputs.observations(spark, sf_dir))
-    wrong = rows.withColumn("lowest_sell", money.parse_price(F.col("price_text"), F.lit(";"), F.lit(" ")))
-    bad = quality.unparsed_zero_decimal(wrong)
+    text = F.when(F.col("lowest_sell") % 7 == 0, "sold out").otherwise(F.col("price_text"))
+    bad = quality.unparsed_zero_decimal(rows.withColumn("lowest_sell", money.parse_price(text, F.col("thousands_sep"), F.col("decimal_sep"))))
     return bad.groupBy("currency").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -33,7 +33,8 @@ def detect_changes_stream(obs: DataFrame, late: str = "keep", strict_domain: boo
         for r in rows.itertuples(index=False):
             if late == "drop" and newest is not None and r.observed_at < newest:
                 continue
-            same = domain is None or domain == r.money_domain
+            own = None if pd.isna(r.money_domain) else r.money_domain
+            same = newest is None or domain == own
             for f in fields:
                 value = getattr(r, f)
                 if pd.isna(value):
@@ -44,7 +45,7 @@ def detect_changes_stream(obs: DataFrame, late: str = "keep", strict_domain: boo
                     pct = delta / before * 100 if before else None
                     out.append((r.app_id, r.market_hash_name, f, float(before), float(value), delta, pct, r.observed_at))
                 known[f] = value
-            domain = r.money_domain
+            domain = own
             newest = r.observed_at if newest is None else max(newest, r.observed_at)
         state.update((*(known[f] for f in WATCHED), newest, domain))
         if out:
