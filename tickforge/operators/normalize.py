@@ -16,7 +16,8 @@ def decode_envelopes(messages: DataFrame) -> DataFrame:
     """``key, value`` (string or binary) to the fields of the envelope.  The value is parsed once; broken JSON gives nulls."""
     fields = "endpoint string, app_id int, currency int, observed_at string, request_params string, raw_payload string"
     e = F.from_json(F.col("value").cast("string"), fields, {"mode": "PERMISSIVE"})
-    return messages.select(F.col("key").cast("string").alias("kafka_key"), e.alias("e")).select(
+    # What explode gives isn't computed again by filters on its fields.
+    return messages.select(F.col("key").cast("string").alias("kafka_key"), F.explode(F.array(e)).alias("e")).select(
         "kafka_key",
         F.col("e.endpoint").alias("endpoint"),
         F.col("e.app_id").alias("app_id"),
@@ -95,7 +96,9 @@ def orderbook_snapshots(decoded: DataFrame, mapping: DataFrame, bands: tuple[int
     The item is that of the requested bucket (``mapping``: ``app_id, market_hash_name, market_bucket_id``), else the key's.
     """
     book = F.col("_book.data")
-    rows = decoded.filter("endpoint = 'orderbook'").withColumn("_book", F.from_json("raw_payload_json", ORDER_BOOK)["data"]).filter("_book.success")
+    # A payload is parsed once: what explode gives isn't computed again for each of its fields.
+    parsed = F.explode(F.array(F.from_json("raw_payload_json", ORDER_BOOK)["data"])).alias("_book")
+    rows = decoded.filter("endpoint = 'orderbook'").select("*", parsed).filter("_book.success")
     rows = rows.select(
         "app_id",
         "observed_at",
