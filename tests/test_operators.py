@@ -1,12 +1,13 @@
 import datetime
 import json
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickforge.operators import anomaly, asof, bars, cdc, identity, normalize, quality, scd2
-from tickforge.plans import inputs, pipeline
+from tickforge.plans import inputs, pipeline, serving
 from tickforge.schemas import OBSERVATION, WATCHED
 from tickforge.sources import lake
 from tickforge.streaming import change_stream
@@ -307,3 +308,12 @@ def test_paths_that_disagree(spark):
     a = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "app_id int, market_hash_name string")
     got = quality.differences(a, spark.createDataFrame([(1, "a"), (3, "c")], a.schema)).collect()
     assert sorted((r["app_id"], r["side"]) for r in got) == [(1, "left"), (2, "left"), (3, "right")]
+
+
+def test_exact_median(spark):
+    rng = random.Random(4)
+    rows = [(k, round(rng.gauss(0, s), 6)) for k, s, n in (("a", 3, 501), ("b", 1e-6, 400), (None, 900, 7), ("d", 1, 1)) for _ in range(n)]
+    rows += [("a", None), ("e", None), ("f", -0.0), ("f", 0.0), ("f", 5.0), ("g", -2.0), ("g", 7.0)] + [("h", 1.5)] * 300 + [("h", -80.0)] * 300
+    want = {k: statistics.median(v for q, v in rows if q == k and v is not None) for k in {q for q, v in rows if v is not None}}
+    got = {r["k"]: r["m"] for r in serving.exact_median(spark.createDataFrame(rows, "k string, v double"), "k", "v", "m").collect()}
+    assert got == pytest.approx(want, abs=1e-12)

@@ -25,31 +25,37 @@ def detect_changes_stream(obs: DataFrame, late: str = "keep", strict_domain: boo
     keys = ["app_id", "market_hash_name", *(["money_domain"] if strict_domain else [])]
 
     def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        frames = list(parts)  # of one item in one micro-batch
-        rows = pd.concat(frames).sort_values(["observed_at", "source_endpoint", "money_domain"])
         *known, newest, domain = state.get if state.exists else (None,) * 6
         known = dict(zip(WATCHED, known, strict=True))
-        out = []
-        for r in rows.itertuples(index=False):
-            if late == "drop" and newest is not None and r.observed_at < newest:
+        rows = pd.concat(list(parts))  # of one item in one micro-batch
+        if late == "drop" and newest is not None:
+            rows = rows[rows["observed_at"] >= newest]
+        if rows.empty:
+            return
+        rows = rows.sort_values(["observed_at", "source_endpoint", "money_domain"], ignore_index=True)
+        own = rows["money_domain"].astype(object).where(rows["money_domain"].notna(), None)
+        last = own.shift(1).astype(object)
+        last.iloc[0] = domain
+        same = (own == last) | (own.isna() & last.isna())
+        found = []
+        for f in fields:
+            value = rows[f].dropna().astype("float64")
+            if value.empty:
                 continue
-            own = None if pd.isna(r.money_domain) else r.money_domain
-            same = newest is None or domain == own
-            for f in fields:
-                value = getattr(r, f)
-                if pd.isna(value):
-                    continue
-                value, before = int(value), known[f]
-                if same and before is not None and before != value:
-                    delta = float(value - before)
-                    pct = delta / before * 100 if before else None
-                    out.append((r.app_id, r.market_hash_name, f, float(before), float(value), delta, pct, r.observed_at))
-                known[f] = value
-            domain = own
-            newest = r.observed_at if newest is None else max(newest, r.observed_at)
-        state.update((*(known[f] for f in WATCHED), newest, domain))
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in CHANGE.split(", ")])
+            before = value.shift(1)
+            before.iloc[0] = float("nan") if known[f] is None else known[f]
+            hit = value.index[same[value.index] & before.notna() & (before != value)]
+            delta = value[hit] - before[hit]
+            pct = (delta / before[hit].where(before[hit] != 0)) * 100
+            found.append(rows.loc[hit, ["app_id", "market_hash_name"]].assign(
+                field=f, previous=before[hit], current=value[hit], delta=delta, pct_change=pct.astype(object).where(pct.notna(), None), observed_at=rows.loc[hit, "observed_at"]
+            ))
+            known[f] = int(value.iloc[-1])
+        latest = rows["observed_at"].max()
+        state.update((*(known[f] for f in WATCHED), latest if newest is None else max(newest, latest), own.iloc[-1]))
+        out = pd.concat(found) if found else pd.DataFrame()
+        if len(out):
+            yield out.sort_values("observed_at", kind="stable")
 
     columns = ["app_id", "market_hash_name", "observed_at", *WATCHED, "source_endpoint", "money_domain"]
     nullable = obs.select(*columns)
