@@ -273,6 +273,13 @@ ORACLES: dict[str, str] = {
         count(*) AS n, round(avg(abs(pct_gap)), 4) AS mean_abs_gap FROM dislocation WHERE pct_gap IS NOT NULL GROUP BY ALL""",
     "gap_headline": f"WITH {DISLOCATION} SELECT count(*) AS n, count(DISTINCT iso_code) AS currencies, round(avg(abs(pct_gap)), 4) AS avg_abs_gap, round(coalesce(max(abs(pct_gap)), 0), 4) AS max_abs_gap FROM dislocation",
     "gap_series": f"WITH {DISLOCATION} SELECT observed_at, market_hash_name || ' (' || iso_code || ')' AS series, round(pct_gap, 6) AS pct_gap FROM dislocation",
+    "severity_series": f"WITH {MART} SELECT observed_at, anomaly_type AS series, round(severity, 4) AS severity FROM mart",
+    "anomaly_headline": f"""WITH {MART}, copy AS (SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS synced_at FROM mart WHERE app_id IN (440, 570))
+        SELECT count(*) AS n, count(*) FILTER (anomaly_type = 'price_zscore') AS n_price_zscore, count(*) FILTER (anomaly_type = 'spread_widening') AS n_spread_widening,
+        count(*) FILTER (anomaly_type = 'volume_spike') AS n_volume_spike, count(*) FILTER (anomaly_type = 'crossed_book') AS n_crossed_book,
+        round(coalesce(max(severity), 0), 4) AS max_severity, max(synced_at) AS last_synced FROM copy""",
+    "silver_roundtrip": f"""WITH {OBS}, {_changes()} SELECT strftime(observed_at, '%Y-%m-%d') AS dt, strftime(observed_at, '%H') AS hour, app_id, field, count(*) AS n, count(DISTINCT market_hash_name) AS items
+        FROM changes GROUP BY 1, 2, 3, 4""",
     "top_moves": f"""WITH {OBS}, {_changes()} SELECT app_id, market_hash_name, field, previous, current, delta, pct_change, observed_at FROM changes WHERE field = 'lowest_sell' AND pct_change IS NOT NULL
         ORDER BY abs((current - previous) / previous * 100) DESC, app_id, market_hash_name, observed_at LIMIT 50""",
     "anomaly_summary": f"WITH {MART} SELECT anomaly_type, count(*) AS n, round(coalesce(max(severity), 0), 4) AS max_severity FROM mart GROUP BY ROLLUP (anomaly_type)",

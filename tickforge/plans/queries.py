@@ -403,6 +403,19 @@ def gap_series(spark, sf_dir):
     return _rounded(serving.gap_series(fx.dislocation(_converted(spark, sf_dir))), "pct_gap")
 
 
+@query
+def severity_series(spark, sf_dir):
+    return _rounded(serving.severity_series(_anomalies(spark, sf_dir)), "severity", places=4)
+
+
+@query
+def anomaly_headline(spark, sf_dir):
+    """Headline figures from the serving copy of two apps."""
+    path = lake.work_folder(spark, "serving")
+    lake.mirror(_anomalies(spark, sf_dir), path, "2024-02-01 00:00:00", app_ids=(440, 570))
+    return _rounded(serving.anomaly_headline(spark.read.parquet(path), ["price_zscore", "spread_widening", "volume_spike", "crossed_book"]), "max_severity", places=4)
+
+
 @query
 def top_moves(spark, sf_dir):
     return _rounded(serving.top_moves(cdc.detect_changes(inputs.observations(spark, sf_dir))), "pct_change")
@@ -453,3 +466,17 @@ def bronze_roundtrip(spark, sf_dir):
     lake.write_bronze(rows, path)
     back = lake.endpoint_of(lake.read_bronze(spark, path), "priceoverview")
     return back.groupBy("dt", "hour", "app_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ingest_id").alias("ids"))
+
+
+@query
+def silver_roundtrip(spark, sf_dir):
+    """Change events landed by a stream that takes what is there, and read back by their partitions."""
+    path = lake.work_folder(spark, "silver")
+    # Files that each hold a stretch of time, as they come in, so that a partition is written by few tasks.
+    changes = lake.replace_table(cdc.detect_changes(inputs.observations(spark, sf_dir)).repartitionByRange("observed_at"), f"{path}/in")
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/in")
+    landing = lake.land(stream, f"{path}/out", f"{path}/state", lake.SILVER_PARTITIONS, every=None)
+    landing.awaitTermination()
+    if landing.exception():
+        raise landing.exception()
+    return lake.read_silver(spark, f"{path}/out").groupBy("dt", "hour", "app_id", "field").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("market_hash_name").alias("items"))

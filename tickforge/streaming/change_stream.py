@@ -48,7 +48,7 @@ def detect_changes_stream(obs: DataFrame, late: str = "keep", strict_domain: boo
             delta = value[hit] - before[hit]
             pct = (delta / before[hit].where(before[hit] != 0)) * 100
             found.append(rows.loc[hit, ["app_id", "market_hash_name"]].assign(
-                field=f, previous=before[hit], current=value[hit], delta=delta, pct_change=pct.astype(object).where(pct.notna(), None), observed_at=rows.loc[hit, "observed_at"]
+                field=f, previous=before[hit], current=value[hit], delta=delta, pct_change=pct, observed_at=rows.loc[hit, "observed_at"]
             ))
             known[f] = int(value.iloc[-1])
         latest = rows["observed_at"].max()
