@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, licenses, lm_score, mixing, near_dup, pii, quality_rules, token_counts, url_filter
+from . import decontaminate, language_id, licenses, lm_score, mixing, near_dup, periodic_runs, pii, quality_rules, token_counts, url_filter
 from .oracles import ORACLES
 
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
@@ -58,6 +58,10 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digest(periodic_runs.repeat_tails(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_url_filters,
         op10_license_scans,
+        op11_periodic_runs,
     )
 }
 
