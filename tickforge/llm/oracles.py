@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import mixing
 from .license_oracle import license_sql
-from .oracles_text import PERIODIC_RUNS
+from .oracles_text import PERIODIC_RUNS, SPELLING
 from .url_filter import RULES as URL_RULES
 
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -142,4 +142,5 @@ ORACLES: dict[str, str] = {
     "op9_url_filters": URLS,
     "op10_license_scans": license_sql(),
     "op11_periodic_runs": PERIODIC_RUNS,
+    "op13_spelling_variants": SPELLING,
 }
