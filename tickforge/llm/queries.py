@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, licenses, lm_score, mixing, near_dup, periodic_runs, pii, quality_rules, spelling, token_counts, url_filter
+from . import decontaminate, language_id, licenses, lm_score, mixing, near_dup, periodic_runs, pii, quality_rules, simhash, spelling, token_counts, url_filter
 from .oracles import ORACLES
 
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
@@ -62,6 +62,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digest(periodic_runs.repeat_tails(table(spark, sf_dir, "documents")))
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.drop_letters(spelling.words_of(table(spark, sf_dir, "documents")))
     return spelling.group_variants(spelling.vocabulary(words))
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_url_filters,
         op10_license_scans,
         op11_periodic_runs,
+        op12_document_fingerprints,
         op13_spelling_variants,
     )
 }
