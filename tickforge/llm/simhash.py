@@ -35,11 +35,13 @@ RADIUS, BLOCKS = 6, 8
 _LANES = 0x0000000100000001
 
 
-def term_hashes(text: Column, width: int = WIDTH) -> Column:
-    """64-bit hashes of all runs of ``width`` words; of all words if there are fewer."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-    runs = F.transform(words, lambda w, i: F.xxhash64(w, *(F.get(words, i + d) for d in range(1, width))))
-    return F.slice(runs, F.lit(1), F.greatest(F.size(words) - (width - 1), F.least(F.size(words), F.lit(1))))
+def term_hashes(texts: DataFrame, text_col: str, width: int = WIDTH) -> DataFrame:
+    """``texts`` with ``terms``, 64-bit hashes of all runs of ``width`` words (of all words if there are fewer), instead of the text."""
+    words = F.filter(F.split(text_col, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    # A column of its own: each run looks up its words there.
+    rows = texts.withColumn("words", words).drop(text_col)
+    runs = F.transform("words", lambda w, i: F.xxhash64(w, *(F.get("words", i + d) for d in range(1, width))))
+    return rows.withColumn("terms", F.slice(runs, F.lit(1), F.greatest(F.size("words") - (width - 1), F.least(F.size("words"), F.lit(1))))).drop("words")
 
 
 def _sums() -> list[Column]:
@@ -59,7 +61,7 @@ def _signs(name: str, votes: Column) -> Column:
 
 def fingerprints(texts: DataFrame, keys: tuple[str, ...], text_col: str = "text") -> DataFrame:
     """``keys, a, b`` (the halves of the fingerprint) of each text; the columns ``keys`` name a text and hold no nulls."""
-    terms = texts.select(*keys, F.explode_outer(term_hashes(F.col(text_col))).alias("term"))
+    terms = term_hashes(texts.select(*keys, text_col), text_col).select(*keys, F.explode_outer("terms").alias("term"))
     votes = terms.groupBy(*keys).agg(F.count("term").alias("votes"), *_sums())
     return votes.select(*keys, _signs("a", F.col("votes")).alias("a"), _signs("b", F.col("votes")).alias("b"))
 
@@ -77,7 +79,7 @@ def _block(a: Column, b: Column, i: int, blocks: int) -> Column:
     """The bits of block ``i``; blocks are whole parts of one half."""
     per = blocks // 2
     half, at, size = (a if i < per else b), (i % per) * (64 // per), 64 // per
-    return F.shiftrightunsigned(half, at).bitwiseAND(F.lit((1 << size) - 1))
+    return F.shiftrightunsigned(half, at).bitwiseAND(F.lit((1 << size) - 1 if size < 64 else -1))
 
 
 def within_radius(queries: DataFrame, classes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
