@@ -100,7 +100,8 @@ def within_radius(queries: DataFrame, classes: DataFrame, radius: int = RADIUS,
     equal = [_block(q[0], q[1], i, blocks) == _block(r[0], r[1], i, blocks) for i in range(blocks)]
     first = reduce(lambda rest, t: F.when(reduce(lambda x, y: x & y, (equal[i] for i in choices[t])), t).otherwise(rest), range(len(choices) - 1, -1, -1), F.lit(-1))
     meets = (F.col("t") == F.col("table")) & (F.col("k") == F.col("key")) & (distance(*q, *r) <= radius) & (F.col("table") == first)
-    return left.join(right, meets).select("qa", "qb", "a", "b", "n")
+    # Explosion makes the entries of queries many times what the planner takes them for, so they are never broadcast.
+    return left.hint("merge").join(right, meets).select("qa", "qb", "a", "b", "n")
 
 
 def successors(keys: DataFrame) -> DataFrame:
