@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..schemas import WATCHED
 
 ITEM = ("app_id", "market_hash_name")
-ORDER = ("observed_at", "source_endpoint", "money_domain")
+#: Rows of one time go by endpoint, domain and values, so that reruns agree.
+ORDER = ("observed_at", "source_endpoint", "money_domain", *WATCHED)
 
 
 def detect_changes(obs: DataFrame, fields: Sequence[str] = WATCHED, strict_domain: bool = False) -> DataFrame:
@@ -20,7 +21,7 @@ def detect_changes(obs: DataFrame, fields: Sequence[str] = WATCHED, strict_domai
     none of them; a field that it hasn't keeps its value.  With ``strict_domain`` each domain of an item is followed apart.
     """
     keys = [*ITEM, "money_domain"] if strict_domain else list(ITEM)
-    order = Window.partitionBy(*keys).orderBy(*ORDER)
+    order = Window.partitionBy(*keys).orderBy(*(F.col(c).asc_nulls_last() for c in ORDER))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     marked = obs.withColumn("_domain", F.lag("money_domain").over(order))
     for f in fields:

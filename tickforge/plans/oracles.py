@@ -74,12 +74,13 @@ twap AS (
 def _changes(strict: bool = False) -> str:
     keys = "app_id, market_hash_name" + (", money_domain" if strict else "")
     fields = ("lowest_sell", "highest_buy", "sell_listings", "volume")
-    window = f"(PARTITION BY {keys} ORDER BY observed_at, source_endpoint, money_domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    order = "observed_at, source_endpoint, money_domain, " + ", ".join(fields)
+    window = f"(PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     before = ", ".join(f"last_value({f} IGNORE NULLS) OVER {window} AS p_{f}" for f in fields)
     tall = " UNION ALL ".join(
         f"SELECT app_id, market_hash_name, '{f}' AS field, CAST(p_{f} AS DOUBLE) AS previous, CAST({f} AS DOUBLE) AS current, observed_at FROM marked WHERE p_domain = money_domain AND {f} <> p_{f}" for f in fields
     )
-    return f"""marked AS (SELECT *, lag(money_domain) OVER (PARTITION BY {keys} ORDER BY observed_at, source_endpoint, money_domain) AS p_domain, {before} FROM obs),
+    return f"""marked AS (SELECT *, lag(money_domain) OVER (PARTITION BY {keys} ORDER BY {order}) AS p_domain, {before} FROM obs),
 tall AS ({tall}),
 changes AS (SELECT app_id, market_hash_name, field, previous, current, current - previous AS delta, round((current - previous) / nullif(previous, 0) * 100, 6) AS pct_change, observed_at FROM tall)"""
 

@@ -1,65 +1,190 @@
-"""Keyed change detection over a stream, with the rules of the batch form."""
+"""Keyed change detection over a stream, with the rules of the batch form.
+
+State lives in RocksDB: for each item one value, what is known of it, and a list that holds rows only while a micro-batch with many rows of the item is worked
+on.  Idle items leave the store, by wall-clock time to live or by timers on the watermark.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..schemas import CHANGE, WATCHED
 
-STATE = "lowest_sell bigint, highest_buy bigint, sell_listings bigint, volume bigint, last_observed_at timestamp_ntz, last_money_domain string"
+KNOWN = "lowest_sell bigint, highest_buy bigint, sell_listings bigint, volume bigint, newest bigint, money_domain string, timer boolean"
+HELD = "at bigint, lowest_sell bigint, highest_buy bigint, sell_listings bigint, volume bigint, source_endpoint string, money_domain string"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows of one item that are sorted in memory at once, and parts into which a stretch of time with more is cut.
+CHUNK, PARTS = 50_000, 64
+ORDER = ["at", "source_endpoint", "money_domain", *WATCHED]
+
+
+def compare(rows: pd.DataFrame, known: dict, domain: str | None, fields: Sequence[str]) -> tuple[pd.DataFrame, str | None]:
+    """Change events ``at, field, previous, current, delta, pct_change`` of an item's sorted rows; updates ``known``."""
+    own = rows["money_domain"].astype(object).where(rows["money_domain"].notna(), None)
+    last = own.shift(1).astype(object)
+    last.iloc[0] = domain
+    same = (own == last) | (own.isna() & last.isna())
+    found = []
+    for f in fields:
+        value = rows[f].dropna().astype("float64")
+        if value.empty:
+            continue
+        before = value.shift(1)
+        before.iloc[0] = float("nan") if known[f] is None else known[f]
+        hit = value.index[same[value.index] & before.notna() & (before != value)]
+        delta = value[hit] - before[hit]
+        pct = (delta / before[hit].where(before[hit] != 0)) * 100
+        found.append(pd.DataFrame({"at": rows.loc[hit, "at"], "field": f, "previous": before[hit], "current": value[hit], "delta": delta, "pct_change": pct}))
+        known[f] = int(value.iloc[-1])
+    found = [x for x in found if len(x)]
+    return (pd.concat(found).sort_values("at", kind="stable") if found else pd.DataFrame()), own.iloc[-1]
+
+
+class ChangeDetector(StatefulProcessor):
+    """Follows one item.  Its rows of a micro-batch come in frames of bounded size.  If one frame holds them all they are sorted there; else they are put into
+    the store's list and read back by stretches of time of ``chunk`` rows, so memory doesn't grow with an item's rows (those of one microsecond stay together)."""
+
+    def __init__(self, fields: Sequence[str], late: str, idle_ms: int | None, ttl_ms: int | None, chunk: int = CHUNK) -> None:
+        self.fields, self.late, self.idle_ms, self.ttl_ms, self.chunk = tuple(fields), late, idle_ms, ttl_ms, chunk
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("known", KNOWN, self.ttl_ms)
+        self.held = handle.getListState("held", HELD, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - names of the interface
+        *known, newest, domain, timer = self.state.get() if self.state.exists() else (None,) * 7
+        known = dict(zip(WATCHED, known, strict=True))
+        before = newest
+        for part in self._in_order(self._frames(rows, newest if self.late == "drop" else None)):
+            found, domain = compare(part, known, domain, self.fields)
+            newest = max(int(part["at"].iloc[-1]), newest if newest is not None else int(part["at"].iloc[-1]))
+            if len(found):
+                yield self._events(key, found)
+        if newest is None:
+            return
+        if self.idle_ms is not None and not timer:
+            self.handle.registerTimer(newest // 1000 + self.idle_ms)
+            timer = True
+        if newest != before or any(v is not None for v in known.values()):
+            self.state.update((*(known[f] for f in WATCHED), newest, domain, bool(timer)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """The watermark has passed an item's newest row by the idle time, unless newer ones came: then the timer moves on."""
+        if self.state.exists():
+            *rest, newest, domain, _ = self.state.get()
+            if newest // 1000 + self.idle_ms > expiredTimerInfo.getExpiryTimeInMs():
+                self.handle.registerTimer(newest // 1000 + self.idle_ms)
+                self.state.update((*rest, newest, domain, True))
+            else:
+                self.state.clear()
+        yield from ()
 
+    def close(self) -> None:
+        pass
 
-def detect_changes_stream(obs: DataFrame, late: str = "keep", strict_domain: bool = False, fields: Sequence[str] = WATCHED) -> DataFrame:
-    """Change events of a stream of observations; state is one row for each item.
+    def _frames(self, rows: Iterable[pd.DataFrame], since: int | None) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            frame = frame.assign(at=frame["observed_at"].astype("datetime64[us]").astype("int64"))
+            if since is not None:
+                frame = frame[frame["at"] >= since]
+            if len(frame):
+                yield frame[ORDER]
 
-    The rows of an item in one micro-batch are taken in the order of their times.  ``late``: rows older than the item's
-    newest are compared as they come (``keep``) or left out (``drop``).
+    def _in_order(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The rows of all frames by time, in frames of bounded size."""
+        first = list(islice(frames, 2))
+        if len(first) == 1 and len(first[0]) <= self.chunk:
+            yield first[0].sort_values(ORDER, ignore_index=True)
+        elif first:
+            low, high = None, None
+            names = HELD.replace(" bigint", "").replace(" string", "").split(", ")
+            for frame in chain(first, frames):
+                low = int(frame["at"].min()) if low is None else min(low, int(frame["at"].min()))
+                high = int(frame["at"].max()) if high is None else max(high, int(frame["at"].max()))
+                plain = frame[names].astype(dict.fromkeys(WATCHED, "Int64")).astype(object)  # the store takes no floats for whole numbers
+                self.held.appendList(list(plain.where(plain.notna(), None).itertuples(index=False, name=None)))
+            for a, b in self._stretches(low, high + 1):
+                part = pd.DataFrame([r for r in self.held.get() if a <= r[0] < b], columns=names)
+                yield part.sort_values(ORDER, ignore_index=True)
+            self.held.clear()
+
+    def _stretches(self, low: int, high: int) -> Iterator[tuple[int, int]]:
+        """Stretches of time, one after the other, of ``chunk`` held rows at most (or of one microsecond)."""
+        width = -(-(high - low) // PARTS)
+        counts = [0] * PARTS
+        for row in self.held.get():
+            if low <= row[0] < high:
+                counts[(row[0] - low) // width] += 1
+        start, total = low, 0
+        for i, n in enumerate(counts):
+            at = low + i * width
+            if total and total + n > self.chunk:
+                yield start, at
+                start, total = at, 0
+            if n > self.chunk and width > 1:
+                yield from self._stretches(at, min(at + width, high))
+                start = at + width
+            else:
+                start, total = (at, n) if not total else (start, total + n)
+        if total:
+            yield start, high
+
+    def _events(self, key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({
+            "app_id": key[0], "market_hash_name": key[1], "field": found["field"], "previous": found["previous"], "current": found["current"], "delta": found["delta"],
+            "pct_change": found["pct_change"], "observed_at": found["at"].astype("datetime64[us]"),
+        })
+
+
+def detect_changes_stream(
+    obs: DataFrame,
+    late: str = "keep",
+    strict_domain: bool = False,
+    fields: Sequence[str] = WATCHED,
+    idle: str | None = None,
+    watermark: str = "10 minutes",
+    ttl: str | None = None,
+    chunk: int = CHUNK,
+) -> DataFrame:
+    """Change events of a stream of observations.
+
+    The rows of an item in one micro-batch are taken in the order of their times.  ``late``: rows older than the item's newest are compared as they come
+    (``keep``) or left out (``drop``).  ``idle``: an item is forgotten when the watermark (``watermark`` behind the newest row of all) has passed its newest row by so much;
+    rows older than the watermark are then left out by Spark.  ``ttl``: an item is forgotten when it wasn't updated for so long by the clock; with a trigger
+    that ends (``availableNow``) that needs ``spark.sql.streaming.noDataMicroBatches.enabled`` off, or Spark keeps waiting for the clock.  Rows without a time are left out.
     """
     if late not in ("keep", "drop"):
         raise ValueError(f"late must be keep or drop, not {late!r}")
+    if idle and ttl:
+        raise ValueError("state leaves by the watermark (idle) or by the clock (ttl), not by both")
+    spark = obs.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    millis = lambda span: None if span is None else pd.Timedelta(span) // pd.Timedelta(milliseconds=1)
     keys = ["app_id", "market_hash_name", *(["money_domain"] if strict_domain else [])]
+    rows = obs.filter("observed_at is not null").select("app_id", "market_hash_name", "observed_at", *WATCHED, "source_endpoint", "money_domain")
+    if idle:
+        rows = rows.withColumn("_t", F.col("observed_at").cast("timestamp")).withWatermark("_t", watermark)
+    processor = ChangeDetector(fields, late, millis(idle), millis(ttl), chunk)
+    mode = "EventTime" if idle else "ProcessingTime" if ttl else "None"
+    return rows.groupBy(*keys).transformWithStateInPandas(processor, CHANGE, "Append", mode)
 
-    def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        *known, newest, domain = state.get if state.exists else (None,) * 6
-        known = dict(zip(WATCHED, known, strict=True))
-        rows = pd.concat(list(parts))  # of one item in one micro-batch
-        if late == "drop" and newest is not None:
-            rows = rows[rows["observed_at"] >= newest]
-        if rows.empty:
-            return
-        rows = rows.sort_values(["observed_at", "source_endpoint", "money_domain"], ignore_index=True)
-        own = rows["money_domain"].astype(object).where(rows["money_domain"].notna(), None)
-        last = own.shift(1).astype(object)
-        last.iloc[0] = domain
-        same = (own == last) | (own.isna() & last.isna())
-        found = []
-        for f in fields:
-            value = rows[f].dropna().astype("float64")
-            if value.empty:
-                continue
-            before = value.shift(1)
-            before.iloc[0] = float("nan") if known[f] is None else known[f]
-            hit = value.index[same[value.index] & before.notna() & (before != value)]
-            delta = value[hit] - before[hit]
-            pct = (delta / before[hit].where(before[hit] != 0)) * 100
-            found.append(rows.loc[hit, ["app_id", "market_hash_name"]].assign(
-                field=f, previous=before[hit], current=value[hit], delta=delta, pct_change=pct, observed_at=rows.loc[hit, "observed_at"]
-            ))
-            known[f] = int(value.iloc[-1])
-        latest = rows["observed_at"].max()
-        state.update((*(known[f] for f in WATCHED), latest if newest is None else max(newest, latest), own.iloc[-1]))
-        out = pd.concat(found) if found else pd.DataFrame()
-        if len(out):
-            yield out.sort_values("observed_at", kind="stable")
-
-    columns = ["app_id", "market_hash_name", "observed_at", *WATCHED, "source_endpoint", "money_domain"]
-    nullable = obs.select(*columns)
-    return nullable.groupBy(*keys).applyInPandasWithState(follow, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
+
+def drop_redelivered(stream: DataFrame, ts: str = "observed_at", within: str = "1 hour", id_col: str = "ingest_id") -> DataFrame:
+    """A stream in which a message that is delivered again (same ``id_col``) comes once; ids are remembered for ``within`` of event time.
+
+    Messages without an id or a time can't be told from others and are kept.
+    """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = stream.withColumn("_at", F.coalesce(F.col(ts).cast("timestamp"), F.timestamp_micros(F.lit(0)))).withWatermark("_at", within)
+    once = timed.withColumn("_id", F.coalesce(id_col, F.uuid())).dropDuplicatesWithinWatermark(["_id"])
+    return once.drop("_id", "_at")
 
 
 def streaming_bars(obs: DataFrame, ts: str = "observed_at", watermark: str = "10 minutes") -> DataFrame:
