@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,5 +36,33 @@ def scd2_first(incoming: DataFrame, as_of: Column) -> DataFrame:
     return incoming.withColumn("valid_from", as_of).withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
 
 
+def scd2_replay(history: DataFrame, keys: Sequence[str], checked: Sequence[str], at: str) -> DataFrame:
+    """All versions ``keys, attributes, valid_from, valid_to`` from the whole history of attributes at once: the state that merging every date in turn would leave.
+
+    ``history`` has a row for each key and time ``at`` at which the key was seen.  A row opens a version if it is the key's first or differs in a checked attribute
+    from the row before; the version lasts until the next one opens, and has the attributes of the row that opened it.  Of several rows of a key and time the last by attributes
+    counts.  Rows without a time are left out.
+
+    One exchange by key, whatever the number of dates.  A key's rows are sorted, never gathered, and only rows that open a version reach the second window, which
+    runs over the same partitioning.
+    """
+    attributes = [c for c in history.columns if c not in (*keys, at)]
+    rows = history.filter(F.col(at).isNotNull()).select(*keys, F.col(at).alias("valid_from"), *attributes)
+    along = Window.partitionBy(*keys).orderBy("valid_from", *(F.col(c).asc_nulls_first() for c in attributes))
+    rows = rows.withColumn("_last", ~F.lead("valid_from").over(along).eqNullSafe(F.col("valid_from"))).filter("_last").drop("_last")
+    by_time = Window.partitionBy(*keys).orderBy("valid_from")
+    same = reduce(lambda a, b: a & b, [F.lag(c).over(by_time).eqNullSafe(F.col(c)) for c in checked])
+    opens = rows.withColumn("_opens", (F.row_number().over(by_time) == 1) | ~same).filter("_opens").drop("_opens")
+    return opens.select(*keys, *attributes, "valid_from", F.lead("valid_from").over(by_time).alias("valid_to"))
+
+
+def scd2_continue(current: DataFrame, history: DataFrame, keys: Sequence[str], checked: Sequence[str], at: str) -> DataFrame:
+    """``current`` (as ``scd2_replay`` or ``scd2_merge`` left it) with later dates: only the open versions take part, as the first rows of their keys."""
+    attributes = [c for c in current.columns if c not in (*keys, "valid_from", "valid_to")]
+    open_ = current.filter(F.col("valid_to").isNull()).select(*keys, *attributes, F.col("valid_from").alias(at))
+    later = scd2_replay(open_.unionByName(history.select(*keys, *attributes, at)), keys, checked, at)
+    return current.filter(F.col("valid_to").isNotNull()).unionByName(later.select(*current.columns))
+
+
 def with_current_flag(versions: DataFrame) -> DataFrame:
     return versions.withColumn("is_current", F.col("valid_to").isNull())

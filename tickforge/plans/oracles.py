@@ -166,6 +166,14 @@ versions AS (
   UNION ALL
   SELECT b.*, TIMESTAMP '2024-01-21 00:00:00', NULL FROM b LEFT JOIN a USING (item_key) WHERE a.item_key IS NULL OR a.item_type <> b.item_type OR a.rarity_color <> b.rarity_color)"""
 
+HISTORY = """WITH days AS (
+  SELECT 'item-' || user_id AS item_key, date_trunc('day', ts) AS seen_at, arg_max(event_type, (ts, event_id)) AS item_type, arg_max(value, (ts, event_id)) AS v
+  FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY user_id, date_trunc('day', ts)),
+h AS (SELECT item_key, CAST(seen_at AS TIMESTAMP) AS seen_at, item_type, CASE WHEN v < 20 THEN 'low' ELSE 'high' END AS rarity_color FROM days),
+m AS (SELECT *, lag(item_type || '/' || rarity_color) OVER (PARTITION BY item_key ORDER BY seen_at) AS before FROM h),
+o AS (SELECT item_key, item_type, rarity_color, seen_at AS valid_from, lead(seen_at) OVER (PARTITION BY item_key ORDER BY seen_at) AS valid_to FROM m WHERE before IS DISTINCT FROM item_type || '/' || rarity_color)
+SELECT *, valid_to IS NULL AS is_current FROM o"""
+
 MAPPING = f"""{OBS},
 com AS (
   SELECT DISTINCT app_id, market_hash_name, replace(market_hash_name, 'item-', '') AS market_bucket_id FROM obs
@@ -248,6 +256,8 @@ ORACLES: dict[str, str] = {
     "change_events": f"WITH {OBS}, {_changes()} SELECT * FROM changes",
     "change_events_strict": f"WITH {OBS}, {_changes(True)} SELECT * FROM changes",
     "change_events_stream": f"WITH {OBS}, {_changes()} SELECT * FROM changes",
+    "change_events_bus": f"WITH {OBS}, {_changes()} SELECT * FROM changes",
+    "scd2_history": HISTORY,
     "cdc_compression": f"""WITH {OBS}, {_changes()}, t AS (SELECT count(*) AS observations, count(DISTINCT (app_id, market_hash_name)) AS keys FROM obs),
         c AS (SELECT field, count(*) AS events FROM changes GROUP BY ROLLUP (field)) SELECT field, events, observations, keys, round(events / CAST(observations AS DOUBLE), 6) AS ratio FROM c, t""",
     "scd2_items": f"WITH {VERSIONS} SELECT *, valid_to IS NULL AS is_current FROM versions",

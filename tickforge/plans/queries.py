@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import depth, money
 from ..operators import anomaly, asof, bars, cdc, fx, identity, normalize, quality, scd2
-from ..sources import lake
+from ..schemas import CHANGE, OBSERVATION
+from ..sources import bus, lake
 from ..streaming import change_stream
 from . import inputs, serving
 
@@ -276,6 +277,39 @@ def change_events_stream(spark, sf_dir):
     return _rounded(spark.read.schema(events.schema).parquet(f"{folder}/out"), "pct_change")
 
 
+@query
+def change_events_bus(spark, sf_dir):
+    """Observations published to a topic in three goes, followed as a stream, their change events sent to a second topic, which is read back."""
+    folder = lake.work_folder(spark, "bus")
+    obs = inputs.observations(spark, sf_dir)
+    key = F.concat_ws(":", F.col("app_id").cast("string"), "market_hash_name")
+    messages = obs.select(key.alias("key"), F.to_json(F.struct(*obs.columns), lake.JSON_TIMES).alias("value"), "observed_at")
+    at = F.unix_micros(F.col("observed_at").cast("timestamp"))
+    cuts = obs.select(F.percentile_approx(at, [1 / 3, 2 / 3])).first()[0] or []
+    done = None
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        bus.publish(messages.filter((at > low if low is not None else F.lit(True)) & (at <= high if high is not None else F.lit(True))), f"{folder}/observations")
+        heard = bus.subscribe(spark, f"{folder}/observations").select(F.from_json("value", OBSERVATION, lake.JSON_TIMES).alias("o")).select("o.*")
+        done = bus.send(lake.to_messages(change_stream.detect_changes_stream(heard)), f"{folder}/changes", f"{folder}/state", "changes", every=None)
+        done.awaitTermination()
+        if done.exception():
+            raise done.exception()
+    return _rounded(bus.replay(spark, f"{folder}/changes").select(F.from_json("value", CHANGE, lake.JSON_TIMES).alias("c")).select("c.*"), "pct_change")
+
+
+def _days(spark, sf_dir):
+    """The attributes of each user as of the end of every day with events."""
+    e = inputs.table(spark, sf_dir, "events").filter("ts is not null and user_id is not null")
+    order = F.struct("ts", "event_id")
+    daily = e.groupBy("user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("seen_at")).agg(F.max_by("event_type", order).alias("item_type"), F.max_by("value", order).alias("v"))
+    return daily.select(F.concat(F.lit("item-"), F.col("user_id").cast("string")).alias("item_key"), "seen_at", "item_type", F.when(F.col("v") < 20, "low").otherwise("high").alias("rarity_color"))
+
+
+@query
+def scd2_history(spark, sf_dir):
+    return scd2.with_current_flag(scd2.scd2_replay(_days(spark, sf_dir), ["item_key"], ["item_type", "rarity_color"], "seen_at"))
+
+
 def _versions(spark, sf_dir):
     day = lambda d: F.lit(f"2024-01-{d:02d} 00:00:00").cast("timestamp_ntz")
     first = scd2.scd2_first(inputs.item_snapshot(spark, sf_dir, CUTS[0]), day(CUTS[0]))
