@@ -1,6 +1,8 @@
 import re
 import zlib
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_mixing import brute_targets
@@ -55,6 +57,21 @@ def test_odd_rows(spark, odd, empty, sf_dir):
         assert (at.count() > 0) == (table.count() > 0)
 
 
+def test_clean_rows_stay_beside_contaminated_ones(spark, sf_dir):
+    """Rows without an id, or with the id of a contaminated row, go or stay by their own text."""
+    item = next(r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len((r["text"] or "").split()) >= 10)
+    clean = ["nothing of the kind is said here", "nor in this one", None, "", "  "]
+    rows = [(i, t, "en", "s", None) for i in (None, 7) for t in [*clean, f"before {item} after"]] + [(8, f"x {item}", "en", "s", None), (9, clean[0], None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, sf_dir)
+    assert sorted(map(str, got.select("doc_id", "text").collect())) == sorted(map(str, docs.filter(~F.coalesce(F.contains("text", F.lit(item)), F.lit(False))).select("doc_id", "text").collect()))
+    assert got.columns == docs.columns and got.count() == 11
+
+
+def test_stages_say_what_they_do():
+    assert all(stage.__doc__ for _, stage in corpus_pipeline.STAGES)
+
+
 def test_held_out_rule(spark):
     ids = list(range(50))
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long")

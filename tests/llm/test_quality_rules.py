@@ -44,18 +44,34 @@ def test_thresholds_adapt(spark):
 
 
 def test_fences_come_from_the_sketches(spark):
-    """In most groups of documents a fence whose quartiles lie apart refuses something, and groups of one language have fences of their own."""
+    """Every measure's fences differ from group to group, and refuse documents in groups of their own."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     groups = ("lang", "source")
-    rows = quality_rules._shares(quality_rules.measures(docs)).cache()
-    found = [r.asDict() for r in quality_rules.fences(quality_rules.sketches(rows, groups), groups).collect()]
-    free = {(r["lang"], r["source"]): r for r in found if r["measure"] == "word_length" and r["size"] >= quality_rules.MIN_GROUP}
-    width = {k: (r["high"] - r["low"]) / (1 + 2 * quality_rules.FENCE) for k, r in free.items()}
-    free = {k: r for k, r in free.items() if width[k] > quality_rules.MEASURES["word_length"]}
-    assert len(free) > 40 and len({round(r["high"], 9) for r in free.values()}) > 10
-    out = {(r["lang"], r["source"]) for r in rows.filter("n_words >= 20").collect() if (r["lang"], r["source"]) in free and not free[r["lang"], r["source"]]["low"] <= r["word_length"] <= free[r["lang"], r["source"]]["high"]}
-    assert len(out) > len(free) / 2
+    rows = quality_rules.with_buckets(quality_rules.measures(docs)).cache()
+    found = quality_rules.fences(quality_rules.leaning(quality_rules.sketches(rows, groups), "source", "lang"), groups).collect()
+    fence = {(r["measure"], r["lang"], r["source"]): r for r in found}
+    kept_out = {m: set() for m in quality_rules.MEASURES}
+    for r in rows.collect():
+        for m in quality_rules.MEASURES:
+            f = fence[m, r["lang"], r["source"]]
+            if r[m] is not None and (r[m] > f["high"] or m == "word_length" and r[m] < f["low"]):
+                kept_out[m].add((r["lang"], r["source"]))
     rows.unpersist()
+    for m in quality_rules.MEASURES:
+        assert len({r["high"] for r in found if r["measure"] == m}) > 10, m
+        assert kept_out[m], m
+    assert len(kept_out["symbol_share"]) > 60 and len(kept_out["word_length"]) > 60
     judged = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
     wrong = sum(r["quality"] == 1 and not judged[r["doc_id"]]["kept"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect())
     assert wrong < 0.08 * len(judged)
+
+
+def test_small_groups_lean_on_their_language(spark):
+    """Without a size at which that changes: the weights are a document's own and the language's, whatever the size of the group."""
+    rows = [("en", "big", "word_length", 10, 300), ("en", "small", "word_length", 90, 1), (None, None, "word_length", 5, 2)]
+    sketch = spark.createDataFrame(rows, "l string, s string, measure string, bucket int, n long")
+    got = {(r["l"], r["s"], r["bucket"]): int(r["weight"]) for r in quality_rules.leaning(sketch, "s", "l").collect()}
+    p = quality_rules.PRIOR
+    assert got == {("en", "big", 10): 300 * 301 + p * 300, ("en", "big", 90): p, ("en", "small", 10): p * 300, ("en", "small", 90): 301 + p, (None, None, 5): 2 * 2 + p * 2}
+    fence = {r["s"]: (r["low"], r["high"]) for r in quality_rules.fences(quality_rules.leaning(sketch, "s", "l"), ("l", "s")).collect()}
+    assert fence == {"big": (10, 10), "small": (10, 10), None: (5, 5)}

@@ -27,21 +27,18 @@ m AS (SELECT id, min(other) AS component_id FROM r GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, coalesce(m.component_id, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.id = d.doc_id"""
 
+#: The method's parameters: width of buckets, reach of fences, weight of a language.
+_gamma, _reach, _prior = 1.01, 3, 20
 _shares = {
-    "symbol_share": "n_symbols / greatest(word_chars, 1)",
-    "dup_line_share": "n_dup_lines / greatest(n_words / 8.0, n_dup_lines, 1)",
-    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
-    "word_length": "word_chars / greatest(n_words, 1)",
+    "symbol_share": ("n_symbols", "greatest(word_chars, 1)"),
+    "dup_line_share": ("n_dup_lines", "greatest(n_words / 8.0, n_dup_lines, 1)"),
+    "repeat_share": ("n_repeat_words", "greatest(n_words, 1)"),
+    "word_length": ("word_chars", "greatest(n_words, 1)"),
 }
-#: Fixed values of the contract: width of buckets, reach of fences, least distances of quartiles, least group.
-_gamma, _reach, _least, _group = 1.01, 3.0, {"symbol_share": 0.01, "dup_line_share": 0.05, "repeat_share": 0.05, "word_length": 0.1}, 20
-_tall = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS measure, CAST({x} AS DOUBLE) AS v, CAST({_least[m]} AS DOUBLE) AS least FROM x" for m, x in _shares.items())
-
-
-def _fence(groups: str) -> str:
-    return f"""SELECT {groups}, measure, size, q25 - {_reach} * greatest(q75 - q25, least) AS low, q75 + {_reach} * greatest(q75 - q25, least) AS high FROM (
-    SELECT {groups}, measure, any_value(least) AS least, count(*) AS size, pow({_gamma}, list_sort(list(bucket))[CAST(ceil(count(*) * 0.25) AS INTEGER)]) AS q25,
-      pow({_gamma}, list_sort(list(bucket))[CAST(ceil(count(*) * 0.75) AS INTEGER)]) AS q75 FROM k GROUP BY {groups}, measure)"""
+_half = lambda m: 0 if m == "word_length" else 0.5
+_tall = " UNION ALL ".join(
+    f"SELECT doc_id, lang, source, '{m}' AS measure, CAST({c} AS DOUBLE) / {n} AS v, (CAST({c} AS DOUBLE) + {_half(m)}) / ({n} + {_half(m)}) AS seen FROM x" for m, (c, n) in _shares.items()
+)
 
 
 QUALITY = rf"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
@@ -52,10 +49,16 @@ r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM a, range(8) t(j) GROUP BY d
 x AS (SELECT d.doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda s: length(s))), 0) AS BIGINT) AS word_chars,
     length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r USING (doc_id)),
 t AS ({_tall}),
-k AS (SELECT *, CAST(ceil(ln(greatest(v, 1e-4)) / ln({_gamma})) AS INTEGER) AS bucket FROM t),
-fs AS ({_fence('lang, source')}), fl AS ({_fence('lang')}),
-bad AS (SELECT DISTINCT k.doc_id FROM k LEFT JOIN fs ON k.lang IS NOT DISTINCT FROM fs.lang AND k.source IS NOT DISTINCT FROM fs.source AND k.measure = fs.measure AND fs.size >= {_group}
-    LEFT JOIN fl ON k.lang IS NOT DISTINCT FROM fl.lang AND k.measure = fl.measure WHERE NOT k.v BETWEEN coalesce(fs.low, fl.low) AND coalesce(fs.high, fl.high))
+k AS (SELECT *, CAST(ceil(ln(seen) / ln({_gamma})) AS INTEGER) AS bucket FROM t WHERE seen > 0),
+lw AS (SELECT lang, measure, bucket, count(*) AS n FROM k GROUP BY ALL),
+lt AS (SELECT lang, measure, sum(n) AS total FROM lw GROUP BY ALL),
+s AS (SELECT lang, source, measure, bucket, count(*) AS n FROM k GROUP BY ALL),
+w AS (SELECT s.lang, source, s.measure, bucket, n * total AS weight FROM s JOIN lt ON s.lang IS NOT DISTINCT FROM lt.lang AND s.measure = lt.measure
+  UNION ALL SELECT s.lang, source, s.measure, lw.bucket, {_prior} * lw.n FROM (SELECT DISTINCT lang, source, measure FROM s) s JOIN lw ON s.lang IS NOT DISTINCT FROM lw.lang AND s.measure = lw.measure),
+u AS (SELECT lang, source, measure, bucket, sum(sum(weight)) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto, sum(sum(weight)) OVER (PARTITION BY lang, source, measure) AS whole FROM w GROUP BY lang, source, measure, bucket),
+q AS (SELECT lang, source, measure, min(bucket) FILTER (4 * upto >= whole) AS q25, min(bucket) FILTER (4 * upto >= 3 * whole) AS q75 FROM u GROUP BY lang, source, measure),
+bad AS (SELECT DISTINCT doc_id FROM (SELECT *, CAST(ceil(ln(v) / ln({_gamma})) AS INTEGER) AS b FROM t WHERE v > 0) t JOIN q ON t.lang IS NOT DISTINCT FROM q.lang AND t.source IS NOT DISTINCT FROM q.source AND t.measure = q.measure
+  WHERE b > q75 + {_reach} * (q75 - q25) OR t.measure = 'word_length' AND b < q25 - {_reach} * (q75 - q25))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM x"""
 
