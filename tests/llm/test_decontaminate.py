@@ -60,6 +60,38 @@ def test_short_items_overlaps_and_borders(spark, odd, empty):
     assert not any(r["contaminated"] for r in decontaminate.contamination(docs, bench.limit(0)).collect())
 
 
+def test_repetitive_items_take_bounded_work(spark):
+    """2000 equal words against 40 000 of them, and many windows of two words: equal windows once, places in pieces."""
+    import time
+
+    import numpy as np
+
+    same = decontaminate.item_windows([{"words": [7] * 2000}], 10)
+    assert [len(g[0]) for g in same] == [1]
+    terms, ends = np.array([7], np.uint64), np.array([40_000])
+    began = time.perf_counter()
+    window, start = decontaminate._find(terms, ends, np.arange(40_000), same[0][0])
+    assert len(start) == 39_991 and time.perf_counter() - began < 2
+    rng = np.random.default_rng(1)
+    two = decontaminate.item_windows([{"words": rng.integers(1, 3, 3000).tolist()}], 10)[0][0]
+    parts = list(decontaminate._pieces(np.array([1, 2], np.uint64), np.array([20_000, 40_000]), two, 2))
+    assert sum(map(len, parts)) == len(two) == len(np.unique(np.concatenate(parts))) and len(parts) > 10
+
+
+def test_repetitive_texts_by_brute_force(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    letters = lambda n: " ".join(rng.choice("ab") for _ in range(n))
+    items = [(i, letters(n)) for i, n in enumerate((4, 9, 10, 30, 60))] + [(7, "a " * 50), (8, "a " * 9)]
+    texts = [(i, letters(rng.randrange(150))) for i in range(25)] + [(90, "a " * 300), (91, "b a " * 100)]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for cut, piece in ((1 << 16, 1 << 20), (7, 50)):
+        monkeypatch.setattr(decontaminate, "CUT", cut)
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        assert got(decontaminate.contamination(docs, bench)) == brute(texts, items)
+
+
 def test_proximity(spark):
     text = " ".join(f"w{i}" for i in range(12))
     broken = text.replace("w5", "w5 extra words here")

@@ -8,7 +8,8 @@ phrase.  A window of which at least ``NEAR`` percent of the terms stand within `
 altered copy.  As so many terms must be there, one of the rarest few is, and their lists give the places to try.
 
 A pass over the index shuffles nothing; only when the test items need several passes are a document's matches grouped.  Items of equal words are
-searched once; a block of whole items, ``BLOCK`` words in all on average, goes to the tasks at once.  Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z; a
+searched once, and so are equal windows of a block; an item of more than ``CUT`` windows is cut into overlapping pieces; a block of items and pieces, ``BLOCK`` words in all on
+average, goes to the tasks at once.  A task tries about ``PIECE`` places at a time, whatever repeats in items and documents.  Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z; a
 window is ``WINDOW`` words, or all words of a shorter item.
 
 Defined results: null or empty texts have no words; an item without words has no window; items with the same id count once; rows with
@@ -30,6 +31,8 @@ from .wordstream import ALNUM, hash_words, slices
 WINDOW, SHARD, SLOP, NEAR = 10, 1 << 19, 10, 80
 #: Words of test items that go to the tasks at once, about; more items are searched in more passes.
 BLOCK = 1 << 18
+#: Windows of a long item that stand in one block; candidate places that a task tries at once.
+CUT, PIECE = 1 << 16, 1 << 20
 _U = np.uint64
 
 INDEX = "ids array<{id}>, first array<int>, terms array<long>, ends array<int>, positions array<int>"
@@ -84,8 +87,8 @@ def item_words(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(words, "item string, words array<long>, n long").filter(F.col("n") > 0)
 
 
-def item_windows(rows: list, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """``(windows, item)`` for each length of window: windows as a matrix of term hashes."""
+def item_windows(rows: list, width: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(windows, first, items)`` for each length of window: distinct windows as a matrix of term hashes; ``items[first[w]:first[w + 1]]`` are the items that have window ``w``."""
     by: dict[int, tuple[list, list]] = {}
     for i, r in enumerate(rows):
         w = np.array(r["words"], np.int64).view(_U)
@@ -93,7 +96,34 @@ def item_windows(rows: list, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
         m, at = by.setdefault(k, ([], []))
         m.append(np.lib.stride_tricks.sliding_window_view(w, k))
         at.append(np.full(len(w) - k + 1, i))
-    return [(np.concatenate(m), np.concatenate(at)) for m, at in by.values()]
+    out = []
+    for m, at in by.values():
+        windows, which = np.unique(np.concatenate(m), axis=0, return_inverse=True)
+        pairs = np.unique(which.reshape(-1).astype(np.int64) * len(rows) + np.concatenate(at))
+        out.append((windows, np.searchsorted(pairs // len(rows), np.arange(len(windows) + 1)), pairs % len(rows)))
+    return out
+
+
+def _pieces(terms: np.ndarray, ends: np.ndarray, wins: np.ndarray, misses: int) -> Iterator[np.ndarray]:
+    """Windows in parts whose candidate places, the lists of the rarest ``misses + 1`` terms, number about ``PIECE``; a window with more stands alone."""
+    if len(terms):
+        rarest = np.sort(_places(terms, ends, wins)[3], axis=1)
+        tried = np.where((rarest == 0).sum(axis=1) <= misses, rarest[:, : misses + 1].sum(axis=1), 0)
+        live = np.flatnonzero(tried)
+        part = np.cumsum(tried[live]) // PIECE
+        for x in np.split(live, np.flatnonzero(part[1:] != part[:-1]) + 1):
+            if len(x):
+                yield x
+
+
+def _items_at(docs: np.ndarray, wins: np.ndarray, first: np.ndarray, items: np.ndarray, n_items: int) -> np.ndarray:
+    """Distinct ``doc * n_items + item`` for the windows found in documents."""
+    width = len(first)
+    pairs = np.unique(docs.astype(np.int64) * width + wins)
+    d, w = pairs // width, pairs % width
+    many = first[w + 1] - first[w]
+    at = np.repeat(first[w] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+    return np.unique(np.repeat(d, many) * n_items + items[at])
 
 
 def _places(terms: np.ndarray, ends: np.ndarray, wins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -166,7 +196,7 @@ def _find_near(terms: np.ndarray, ends: np.ndarray, key: np.ndarray, first: np.n
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], slop: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[list[str]], slop: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in range(batch.num_rows):
             ids, first, terms, ends, positions = (batch.column(c)[r].values for c in range(5))
@@ -175,18 +205,21 @@ def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], s
             lengths = np.diff(np.concatenate([[0], ends]))
             key = (np.repeat(np.arange(len(terms), dtype=np.int64), lengths) << 32) + positions.to_numpy()
             hit = np.zeros(int(first[-1]) + 1, np.int64)
-            found, near = set(), set()
-            for wins, items in groups:
+            found, near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for wins, first_item, items in groups:
                 k = wins.shape[1]
-                w, s = _find(terms, ends, key, wins)
-                d = np.searchsorted(first, s, "right") - 1
-                inside = (s >= 0) & (s + k <= first[np.minimum(d + 1, len(first) - 1)])  # a phrase never spans two documents
-                w, s, d = w[inside], s[inside], d[inside]
-                np.add.at(hit, s, 1)
-                np.add.at(hit, s + k, -1)
-                found.update(zip(d.tolist(), items[w].tolist(), strict=True))
-                w, d = _find_near(terms, ends, key, first, wins, slop, percent)
-                near.update(zip(d.tolist(), items[w].tolist(), strict=True))
+                for part in _pieces(terms, ends, wins, k - -(-k * percent // 100)):
+                    w, s = _find(terms, ends, key, wins[part])
+                    d = np.searchsorted(first, s, "right") - 1
+                    inside = (s >= 0) & (s + k <= first[np.minimum(d + 1, len(first) - 1)])  # a phrase never spans two documents
+                    w, s, d = w[inside], s[inside], d[inside]
+                    np.add.at(hit, s, 1)
+                    np.add.at(hit, s + k, -1)
+                    found.append(_items_at(d, part[w], first_item, items, len(names)))
+                    w, d = _find_near(terms, ends, key, first, wins[part], slop, percent)
+                    near.append(_items_at(d, part[w], first_item, items, len(names)))
+            found = np.unique(np.concatenate(found))
+            near = np.setdiff1d(np.concatenate(near), found)
             covered = np.concatenate([[False], np.cumsum(hit[:-1]) > 0, [False]])
             # A run that reaches the end of a document stops there.
             begins = np.flatnonzero(covered[1:-1] & (~covered[:-2] | np.isin(np.arange(len(covered) - 2), first)))
@@ -196,9 +229,9 @@ def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[str], s
             for d, a, b in zip(of.tolist(), (begins - first[of]).tolist(), (stops - first[of]).tolist(), strict=True):
                 runs[d].append({"a": a, "b": b})
             lists: tuple[list, list] = ([set() for _ in runs], [set() for _ in runs])
-            for to, pairs in zip(lists, (found, near - found), strict=True):
-                for d, i in pairs:
-                    to[d].update(names[i])
+            for to, pairs in zip(lists, (found, near), strict=True):
+                for x in pairs.tolist():
+                    to[x // len(names)].update(names[x % len(names)])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.repeat(batch.column("shard")[r], len(runs)),
@@ -219,7 +252,9 @@ def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_c
     """
     spark = index.sparkSession
     kind = index.schema["ids"].dataType.elementType.simpleString()
-    sized = item_words(items, item_col, text_col).groupBy("words", "n").agg(F.array_sort(F.collect_set(F.coalesce("item", F.lit("")))).alias("names"))
+    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n") - width, F.lit(0)), F.lit(CUT).cast("long"))).alias("a")
+    cut = item_words(items, item_col, text_col).select("item", "words", pieces).select("item", F.slice("words", F.col("a").cast("int") + 1, F.lit(CUT + width - 1)).alias("words"))
+    sized = cut.withColumn("n", F.size("words")).groupBy("words", "n").agg(F.array_sort(F.collect_set(F.coalesce("item", F.lit("")))).alias("names"))
     sized = materialize(sized, "items")
     # Items of different words are dealt to blocks by hash; names count as words.
     total = sized.agg(F.coalesce(F.sum(F.col("n") + F.size("names")), F.lit(0))).first()[0]
