@@ -70,7 +70,7 @@ def test_planted_links_over_a_whole_table(spark, tmp_path):
         rows.append((p["page_id"], None if i % 50 == 0 else p["url"] + "#frag" * (i % 2), None if i % 40 == 0 else (p["html"] or "") + (tag if i % 4 else "")))
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     planted = spark.read.parquet(f"{tmp_path}/pages.parquet")
-    assert url_filter.link_edges(planted).count() > 80
+    assert url_filter.links(planted).count() > 80
     db = duckdb.connect()
     db.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     got = url_filter.filter_urls(planted)
@@ -83,3 +83,24 @@ def test_spellings_of_a_blocked_url(spark):
     rows += [(10, "http://p4.com/in", None), (11, "HTTP://P0.COM", None)]
     got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [k for k, v in got.items() if v == "allow"] == [4, 5, 10]
+
+
+def test_rules_fit_urls_as_they_are_written(spark):
+    """A url that no rule fits as it is written is treated alike with a link and without one."""
+    rows = [(1, "http://x.net", None), (2, "http://y.net", '<link rel="canonical" href="http://a.de/1">'), (3, "http://a.de/1", None), (4, "http://z.net/", None), (5, "http://z.net:80", '<link rel="canonical" href="/in">')]
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # The last is another spelling of a page that a rule blocks.
+    assert got == {1: (None, "allow"), 2: (None, "allow"), 3: (None, "allow"), 4: ("net/", "block"), 5: (None, "block")}
+
+
+def test_generated_code_compiles(spark):
+    """With links, redirects and rules, every stage stays under the limit of generated code."""
+    pages = spark.createDataFrame([(1, "http://y.io", '<link rel="canonical" href="http://a.net/1">')], "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        assert [r["verdict"] for r in url_filter.filter_urls(pages, spark.createDataFrame([("http://a.net/1", "x://y")], "u string, v string")).collect()] == ["block"]
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", before)
+        spark.conf.unset("spark.sql.codegen.factoryMode")

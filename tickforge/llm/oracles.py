@@ -131,7 +131,8 @@ l AS (SELECT u, CASE WHEN regexp_matches(v, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN
 n AS (SELECT {_node('u')} AS u, {_node('v')} AS v FROM l WHERE v IS NOT NULL),
 e AS (SELECT u AS x, v AS y FROM n WHERE u <> v UNION SELECT v, u FROM n WHERE u <> v),
 r(id, other) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.id, e.y FROM r JOIN e ON r.other = e.x),
-o AS (SELECT *, {_said} AS said FROM (SELECT *, {_rule} AS rule FROM (SELECT id, other AS url, {_parts.replace("coalesce(url, '')", 'other')} FROM r))),
+w AS (SELECT {_node('url')} AS node, url FROM (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT v FROM l WHERE v IS NOT NULL) a(url)),
+o AS (SELECT id, {_said} AS said FROM (SELECT *, {_rule} AS rule FROM (SELECT id, {_parts} FROM r JOIN w ON r.other = w.node))),
 alias AS (SELECT id FROM o GROUP BY id HAVING count(*) FILTER (said = 'block') > 0 AND count(*) FILTER (said = 'allow') = 0),
 p AS (SELECT *, {_rule} AS rule FROM (SELECT page_id, {_node('url')} AS node, {_parts} FROM pages))
 SELECT page_id, host, path, rule, coalesce({_said}, CASE WHEN node IN (SELECT id FROM alias) THEN 'block' ELSE 'allow' END) AS verdict FROM p"""

@@ -2,7 +2,8 @@ r"""URL allow and block rules that reach aliases over redirects and canonical li
 
 A rule is a host and the beginning of a path; it fits its host and all subdomains, and the longest fitting rule decides.  A url without
 a rule takes the method's verdict: pages and their redirect or canonical targets form connected components, and an
-alias of a blocked url is blocked, unless its component also holds an explicitly allowed url.  Whatever nothing blocks is allowed.
+alias of a blocked url is blocked, unless its component also holds an explicitly allowed url.  Whatever nothing blocks is allowed.  Rules are held against urls as they are
+written, in links as in pages: the form in which equivalent urls are equal only says which belong together.
 
 Edges come from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` of each page, and from a table of redirects
 if there is one.  Targets are unescaped and resolved against their page; a node is a url without fragment and default port, with scheme and host in small
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .scratch import materialize
 
 #: Fixed rules: (host, beginning of the path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -45,60 +47,79 @@ def rule_for(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return out
 
 
-def node_of(url: Column) -> Column:
-    """The form in which equivalent urls are equal; others without ``://`` stay as they are."""
-    part = lambda i: F.regexp_extract(url, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^#]*)", i)
-    scheme, host = F.translate(part(1), UPPER, SMALL), F.translate(part(2), UPPER, SMALL)
+def with_node(rows: DataFrame, url: str, out: str) -> DataFrame:
+    """``rows`` with ``out``, the form of a url in which equivalent ones are equal; others without ``://`` stay as they are.
+
+    The parts are columns of their own, so the url is taken apart once, whatever is made of them.
+    """
+    parts = {f"_{out}{i}": F.regexp_extract(url, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^#]*)", i) for i in (1, 2, 3)}
+    rows = rows.withColumns(parts)
+    one, two, rest = map(F.col, parts)
+    scheme, host = F.translate(one, UPPER, SMALL), F.translate(two, UPPER, SMALL)
     host = F.when(scheme == "http", F.regexp_replace(host, ":(?:80)?$", "")).when(scheme == "https", F.regexp_replace(host, ":(?:443)?$", "")).otherwise(host)
-    rest = F.when(part(3).startswith("/"), part(3)).otherwise(F.concat(F.lit("/"), part(3)))
-    return F.when(part(1) == "", F.regexp_replace(url, r"(?s)#.*$", "")).otherwise(F.concat(scheme, F.lit("://"), host, rest))
+    whole = F.concat(scheme, F.lit("://"), host, F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest)))
+    return rows.withColumn(out, F.when(one == "", F.regexp_replace(url, r"(?s)#.*$", "")).otherwise(whole)).drop(*parts)
 
 
-def resolve(base: Column, target: Column) -> Column:
-    """A target as an absolute url; null if it names no page."""
+def with_target(rows: DataFrame, base: str, target: str, out: str) -> DataFrame:
+    """``rows`` with ``out``, the absolute url that a target on the page ``base`` names; null if it names none."""
+    plain = F.col(target)
     for entity, char in (("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")):
-        target = F.replace(target, F.lit(entity), F.lit(char))
-    scheme = F.regexp_extract(base, r"(?s)^([^:/?#]+:)//", 1)
-    site = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^/?#]*)", 1)
-    page = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^?#]*)", 1)
-    folder = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^?#]*/)[^/?#]*", 1)
-    folder = F.when(F.length(folder) > F.length(site), folder).otherwise(F.concat(site, F.lit("/")))
-    return (
-        F.when((target == "") | (site == ""), None)
-        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
-        .when(target.startswith("//"), F.concat(scheme, target))
-        .when(target.startswith("/"), F.concat(site, target))
-        .when(target.startswith("?"), F.concat(page, target))
-        .when(target.startswith("#"), base)
-        .otherwise(F.concat(folder, F.regexp_replace(target, r"^(?:\./)+", "")))
+        plain = F.replace(plain, F.lit(entity), F.lit(char))
+    rows = rows.withColumns({
+        "_to": plain,
+        "_scheme": F.regexp_extract(base, r"(?s)^([^:/?#]+:)//", 1),
+        "_site": F.regexp_extract(base, r"(?s)^([^:/?#]+://[^/?#]*)", 1),
+        "_page": F.regexp_extract(base, r"(?s)^([^:/?#]+://[^?#]*)", 1),
+        "_folder": F.regexp_extract(base, r"(?s)^([^:/?#]+://[^?#]*/)[^/?#]*", 1),
+    })
+    to, site, folder = F.col("_to"), F.col("_site"), F.col("_folder")
+    url = (
+        F.when((to == "") | (site == ""), None)
+        .when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+        .when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(to.startswith("//"), F.concat("_scheme", to))
+        .when(to.startswith("/"), F.concat(site, to))
+        .when(to.startswith("?"), F.concat("_page", to))
+        .when(to.startswith("#"), F.col(base))
+        .otherwise(F.concat(F.when(F.length(folder) > F.length(site), folder).otherwise(F.concat(site, F.lit("/"))), F.regexp_replace(to, r"^(?:\./)+", "")))
     )
+    return rows.withColumn(out, url).drop("_to", "_scheme", "_site", "_page", "_folder")
 
 
-def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``u, v`` for each page that names another url as its canonical form or redirects to it."""
+def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``from, to``: each page that names another url as its canonical form or redirects to it, and that url, as they are written."""
     html = F.col(html_col)
     tag = F.regexp_extract(html, r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*>", 0)
     canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     meta = F.regexp_extract(html, r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>", 0)
     refresh = F.regexp_extract(meta, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
     rows = pages.filter(F.col(url_col).isNotNull() & html.rlike("(?i)canonical|http-equiv"))
-    rows = rows.select(F.col(url_col).alias("u"), F.explode(F.array(canonical, refresh)).alias("to"))
-    return rows.select(node_of(F.col("u")).alias("u"), node_of(resolve(F.col("u"), F.col("to"))).alias("v")).filter("v is not null")
+    rows = rows.select(F.col(url_col).alias("from"), F.explode(F.array(canonical, refresh)).alias("said")).filter("said <> ''")
+    return with_target(rows, "from", "said", "to").filter("to is not null").select("from", "to")
+
+
+def _verdicts(urls: DataFrame, rules: tuple) -> DataFrame:
+    """``node, said`` of the urls ``url, node`` that a rule fits as they are written."""
+    return urls.select("node", rule_for(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"].alias("said")).filter("said is not null")
 
 
 def filter_urls(pages: DataFrame, redirects: DataFrame | None = None, rules: tuple = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col, host, path, rule, verdict`` of each page.  ``redirects``: columns ``u, v`` of urls."""
-    edges = link_edges(pages, url_col, html_col)
+    written = links(pages, url_col, html_col)
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(node_of(F.col("u")).alias("u"), node_of(F.col("v")).alias("v")))
-    groups = connected_components(edges)
-    ruled = rule_for(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"]
-    judged = groups.groupBy("component").agg(F.max(ruled == "block").alias("_block"), F.max(ruled == "allow").alias("_allow"))
-    blocked = groups.join(judged.filter(F.coalesce("_block", F.lit(False)) & ~F.coalesce("_allow", F.lit(False))), "component").select("node")
-    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
-    rows = rows.withColumn("host", host_of(F.col("_url"))).withColumn("path", path_of(F.col("_url"))).withColumn("_node", node_of(F.col("_url")))
-    rows = rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules)).join(blocked.withColumn("_alias", F.lit(True)), F.col("_node") == F.col("node"), "left")
+        written = written.unionByName(redirects.select(F.col("u").alias("from"), F.col("v").alias("to")).filter("u is not null and v is not null"))
+    written = materialize(with_node(with_node(written, "from", "u"), "to", "v"), "links")
+    groups = connected_components(written.select("u", "v"))
+    rows = with_node(pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url")), "_url", "_node")
+    rows = rows.withColumn("host", host_of(F.col("_url"))).withColumn("path", path_of(F.col("_url")))
+    rows = rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules))
+    # What rules say of the urls of a group as they are written: those of links, and those of pages without links.
+    ends = written.select(F.col("from").alias("url"), F.col("u").alias("node")).unionByName(written.select(F.col("to").alias("url"), F.col("v").alias("node")))
+    said = _verdicts(ends, rules).unionByName(rows.select(F.col("_node").alias("node"), F.col("_rule.verdict").alias("said")).filter("said is not null"))
+    judged = groups.join(said, "node").groupBy("component").agg(F.max(F.col("said") == "block").alias("_block"), F.max(F.col("said") == "allow").alias("_allow"))
+    blocked = groups.join(judged.filter(F.col("_block") & ~F.col("_allow")), "component").select("node")
+    rows = rows.join(blocked.withColumn("_alias", F.lit(True)), F.col("_node") == F.col("node"), "left")
     return rows.select(
         F.col("_id").alias(id_col),
         "host",
