@@ -104,6 +104,24 @@ def test_asof(spark, slice_days):
         assert r["r_v"] == (max(before, key=lambda x: x[1])[2] if before else None)
 
 
+@pytest.mark.parametrize("slice_days", [None, 1])
+def test_asof_within_a_table_equals_the_join_of_its_parts(spark, slice_days):
+    rng = random.Random(8)
+    rows = spark.createDataFrame([(rng.choice(["a", "b", None]), at(rng.randrange(9000)), rng.choice(["USD", "EUR", None]), float(i)) for i in range(250)], "k string, t timestamp_ntz, iso string, v double")
+    one = asof.asof_within(rows, ["k"], "t", F.col("iso") == "USD", {"t": "at", "v": "usd"}, slice_days)
+    usd = rows.filter("iso = 'USD'").select("k", F.col("t").alias("at"), F.col("v").alias("usd"))
+    two = asof.asof_join(rows.filter("iso <> 'USD'"), usd, ["k"], "t", "at", prefix="")
+    assert one.count() > 50 and sorted(map(str, one.collect())) == sorted(map(str, two.select(*one.columns).collect()))
+
+
+def test_buckets_that_items_share(spark):
+    schema = "app_id int, market_hash_name string, market_bucket_id string, observed_at timestamp_ntz"
+    rows = [(1, "b", "x", at(0)), (1, "a", "x", at(1)), (1, "c", "y", at(2)), (1, "c", "z", at(3))]
+    mapping = identity.item_bucket_map(spark.createDataFrame(rows, schema), spark.createDataFrame([], schema))
+    assert sorted(tuple(r) for r in mapping.select("app_id", "market_hash_name", "market_bucket_id").collect()) == [(1, "a", "x"), (1, "b", "x"), (1, "c", "z")]
+    assert [tuple(r) for r in identity.shared_buckets(mapping).collect()] == [(1, "x", 2, "a")]
+
+
 def test_twap_and_bars_keep_domains_apart(spark):
     rows = [("a", 0, 110, 100, None, 1, 8, "orderbook"), ("a", 10, 130, 100, None, None, 8, "orderbook"), ("a", 40, 999, 100, None, 2, 8, "orderbook"), ("a", 20, 50, None, None, 7, 1, "priceoverview")]
     got = {r["money_domain"]: r for r in bars.item_daily(obs(spark, rows)).collect()}
@@ -239,13 +257,14 @@ def test_lake_and_pipeline(spark, tmp_path, sf_dir):
     again = pipeline._versions(spark, f"{tmp_path}/marts/versions/dim_item", run.tables["item_attributes"].withColumn("item_type", F.lit("new")), "2030-01-01 00:00:00")
     assert again.count() == 2 * first and again.filter("is_current").count() == first
     assert run.tables["changes"].count() > 0
-    assert "synced_at" in spark.read.parquet(f"{tmp_path}/marts/serving/changes").columns
+    assert "synced_at" in lake.read_current(spark, f"{tmp_path}/marts/serving/changes").columns
     with pytest.raises(quality.GateFailed):
         pipeline.run(spark, f"{tmp_path}/bronze", f"{tmp_path}/again", "2030-01-01 00:00:00", inputs.currencies(spark), inputs.rates(spark, sf_dir))
     assert lake.published(spark, f"{tmp_path}/published") is None
     lake.publish_version(run.tables["changes"].limit(1), f"{tmp_path}/published")
     version = lake.publish_version(run.tables["changes"], f"{tmp_path}/published")
     assert version and lake.read_current(spark, f"{tmp_path}/published").count() == run.tables["changes"].count()
+    assert lake.keep_versions(spark, f"{tmp_path}/published", keep=1) == 1 and lake.read_current(spark, f"{tmp_path}/published").count() == run.tables["changes"].count()
     assert json.loads(lake.to_messages(run.tables["changes"].withColumn("pct_change", F.lit(None).cast("double"))).first()["value"])["pct_change"] is None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,13 @@ def asof_join(
     kind = rights.schema["_r"].dataType
     lefts = left.select(*on, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), whole.alias("_l"), F.lit(None).cast(kind).alias("_r"))
     both = lefts.unionByName(rights)
+    got = _with_last(both, on, slice_days)
+    got = got.filter("_side = 1").withColumn("_m", F.when(some, F.col("_m")))
+    return got.select("_l.*", *(F.col(f"_m.{prefix}{c}").alias(f"{prefix}{c}") for c in carried))
+
+
+def _with_last(both: DataFrame, on: Sequence[str], slice_days: int | None) -> DataFrame:
+    """Rows ``on, _ts, _side, _r`` with ``_m``, the last ``_r`` at or before each."""
     parts = [*on]
     if slice_days:
         both = both.withColumn("_slice", F.floor(F.datediff(F.col("_ts").cast("date"), F.lit("1970-01-01").cast("date")) / slice_days))
@@ -48,8 +55,21 @@ def asof_join(
         ends = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier)).select(*(F.col(p).alias(f"_k{i}") for i, p in enumerate(parts)), "_before")
         same = reduce(lambda a, b: a & b, [F.col(p) == F.col(f"_k{i}") for i, p in enumerate(parts)])
         got = got.join(ends, same, "left").withColumn("_m", F.coalesce("_m", "_before"))
-    got = got.filter("_side = 1").withColumn("_m", F.when(some, F.col("_m")))
-    return got.select("_l.*", *(F.col(f"_m.{prefix}{c}").alias(f"{prefix}{c}") for c in carried))
+    return got
+
+
+def asof_within(rows: DataFrame, on: Sequence[str], ts: str, is_right: Column, carried: dict[str, str], slice_days: int | None = None) -> DataFrame:
+    """The rows of a table for which ``is_right`` is false, each with columns of the latest row of equal keys at or before it for which it is true.
+
+    As ``asof_join`` of two filters of ``rows``, but the table is evaluated once for both sides (and once more for the ends of slices).  ``carried``: right column to the name
+    that it gets.  Rows for which ``is_right`` is null are left out; null keys match nothing.
+    """
+    whole, right = F.struct(*(F.col(c) for c in rows.columns)), F.struct(F.col(ts).alias("_at"), *(F.col(c).alias(name) for c, name in carried.items()))
+    some = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    flagged = rows.withColumn("_right", is_right).filter(F.col("_right").isNotNull() & (some | ~F.col("_right")))
+    both = flagged.select(*on, F.col(ts).alias("_ts"), F.when(F.col("_right"), 0).otherwise(1).alias("_side"), F.when(~F.col("_right"), whole).alias("_l"), F.when(F.col("_right"), right).alias("_r"))
+    got = _with_last(both, on, slice_days).filter("_side = 1").withColumn("_m", F.when(some, F.col("_m")))
+    return got.select("_l.*", *(F.col(f"_m.{name}").alias(name) for name in carried.values()))
 
 
 def fill_forward(spine: DataFrame, values: DataFrame, on: Sequence[str], day: str, value: str) -> DataFrame:

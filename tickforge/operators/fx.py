@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import gap, to_usd
-from .asof import asof_join, fill_forward
+from .asof import asof_within, fill_forward
 
 ITEM = ("app_id", "market_hash_name")
 
@@ -39,9 +39,8 @@ def converted_prices(obs: DataFrame, currencies: DataFrame, rates: DataFrame, pr
 
 def dislocation(converted: DataFrame, slice_days: int | None = 7) -> DataFrame:
     """Each price in another currency beside the latest dollar price of the same item at or before it."""
-    usd = converted.filter("iso_code = 'USD'").select(*ITEM, F.col("observed_at").alias("at"), F.col("usd_equivalent").alias("usd_price"))
-    other = converted.filter("iso_code <> 'USD'")
-    joined = asof_join(other, usd, ITEM, "observed_at", "at", prefix="baseline_", slice_days=slice_days)
+    carried = {"observed_at": "baseline_at", "usd_equivalent": "baseline_usd_price"}
+    joined = asof_within(converted, ITEM, "observed_at", F.col("iso_code") == "USD", carried, slice_days)
     absolute, percent = gap(F.col("usd_equivalent"), F.col("baseline_usd_price"))
     return joined.withColumn("usd_gap", absolute).withColumn("pct_gap", percent)
 

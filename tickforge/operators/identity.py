@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A name and a bucket id in JSON that stands escaped inside a page.
@@ -32,8 +32,14 @@ def item_bucket_map(commodities: DataFrame, pages: DataFrame) -> DataFrame:
     """
     both = commodities.withColumn("_p", F.lit(0)).unionByName(pages.select(*commodities.columns).withColumn("_p", F.lit(1)))
     time = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', observed_at)")
-    order = Window.partitionBy("app_id", "market_hash_name").orderBy("_p", F.when(F.col("_p") == 0, -time).otherwise(time), "market_bucket_id")
-    return both.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("app_id", "market_hash_name", "market_bucket_id")
+    # The least of (path, time, bucket) is found on the map side; no item's rows are sorted.
+    order = F.struct("_p", F.when(F.col("_p") == 0, -time).otherwise(time), "market_bucket_id")
+    return both.groupBy("app_id", "market_hash_name").agg(F.min_by("market_bucket_id", order).alias("market_bucket_id"))
+
+
+def shared_buckets(mapping: DataFrame) -> DataFrame:
+    """Buckets that several items claim, with how many and the first by name, the one that order books are given to."""
+    return mapping.groupBy("app_id", "market_bucket_id").agg(F.countDistinct("market_hash_name").alias("items"), F.min("market_hash_name").alias("first_item")).filter("items > 1")
 
 
 def resolve(books: DataFrame, mapping: DataFrame) -> DataFrame:

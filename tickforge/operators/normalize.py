@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import depth
 from ..functions.money import CURRENCIES, money_domain, parse_price, parse_volume
+from ..functions.times import utc
 from ..schemas import ORDER_BOOK, PRICE_OVERVIEW, SEARCH_RENDER
 
 ROW = "struct<market_hash_name:string,lowest_sell:bigint,highest_buy:bigint,sell_listings:bigint,volume:bigint,currency:int>"
@@ -22,7 +23,7 @@ def decode_envelopes(messages: DataFrame) -> DataFrame:
         F.col("e.endpoint").alias("endpoint"),
         F.col("e.app_id").alias("app_id"),
         F.col("e.currency").alias("request_currency"),
-        F.col("e.observed_at").try_cast("timestamp_ntz").alias("observed_at"),
+        utc(F.col("e.observed_at")).alias("observed_at"),
         F.col("e.request_params").alias("request_params"),
         F.col("e.raw_payload").alias("raw_payload_json"),
     )
@@ -113,7 +114,9 @@ def orderbook_snapshots(decoded: DataFrame, mapping: DataFrame, bands: tuple[int
         book["rgCompactSellOrders"].alias("_sell"),
     )
     mid = (F.col("lowest_sell") + F.col("highest_buy")) / F.lit(2.0)
-    known = mapping.select(F.col("app_id").alias("_app"), F.col("market_bucket_id").alias("_bucket"), F.col("market_hash_name").alias("_known")).dropDuplicates(["_app", "_bucket"])
+    known = mapping.select(F.col("app_id").alias("_app"), F.col("market_bucket_id").alias("_bucket"), F.col("market_hash_name").alias("_known"))
+    # Of a bucket that several items share (see ``identity.shared_buckets``) the first by name.
+    known = known.groupBy("_app", "_bucket").agg(F.min("_known").alias("_known"))
     rows = rows.join(known, (F.col("app_id") == F.col("_app")) & (F.col("market_bucket_id") == F.col("_bucket")), "left")
     return rows.select(
         "app_id",

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.times import utc
+
 
 @dataclass
 class Check:
@@ -117,5 +119,5 @@ def bronze_checks(bronze: DataFrame, now: str) -> list[Check]:
     checks.append(Check("not_empty", "block", empty(bronze)))
     checks.append(Check("not_null", "block", not_null(bronze, required)))
     if "observed_at" in bronze.columns:
-        checks.append(Check("fresh", "block", stale(bronze.withColumn("observed_at", F.col("observed_at").try_cast("timestamp_ntz")), "observed_at", now)))
+        checks.append(Check("fresh", "block", stale(bronze.withColumn("observed_at", utc(F.col("observed_at").cast("string"))), "observed_at", now)))
     return checks

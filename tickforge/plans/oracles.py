@@ -304,3 +304,7 @@ ORACLES: dict[str, str] = {
         SELECT i.*, c.currency FROM i, c WHERE NOT EXISTS (SELECT 1 FROM obs o WHERE o.app_id = i.app_id AND o.market_hash_name = i.market_hash_name AND o.currency = c.currency AND source_endpoint = 'priceoverview')""",
     "bronze_roundtrip": f"""WITH {OBS} SELECT strftime(observed_at, '%Y-%m-%d') AS dt, strftime(observed_at, '%H') AS hour, app_id, count(*) AS n, count(*) AS ids FROM obs WHERE source_endpoint = 'priceoverview' GROUP BY ALL""",
 }
+ORACLES["anomaly_headline_jdbc"] = ORACLES["anomaly_headline"]
+ORACLES["prices_by_sql"] = f"""WITH {OBS}, {CUR} SELECT app_id, market_hash_name, observed_at, 'currency:' || currency AS money_domain, CASE WHEN decimal_sep = '' THEN lowest_sell // 100 * 100 ELSE lowest_sell END AS minor_units
+    FROM obs JOIN cur ON currency = currency_code WHERE lowest_sell >= 0 AND app_id IN (440, 570) AND observed_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'"""
+ORACLES["books_by_sql"] = ORACLES["orderbook_measures"]

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import depth, money
+from ..functions import sql as sql_functions
 from ..operators import anomaly, asof, bars, cdc, fx, identity, normalize, quality, scd2
 from ..schemas import CHANGE, OBSERVATION
-from ..sources import bus, lake
+from ..sources import bus, database, lake
 from ..streaming import change_stream
 from . import inputs, serving
 
@@ -77,6 +78,23 @@ def parse_price(spark, sf_dir):
     return named.select("app_id", "market_hash_name", "observed_at", "currency", money.parse_price(F.col("price_text"), F.col("thousands_sep"), F.col("decimal_sep")).alias("minor_units"))
 
 
+@query
+def prices_by_sql(spark, sf_dir):
+    """The prices of two apps in a range of time, parsed and placed in their money domain by SQL functions, with named parameters."""
+    tables = {"price_texts": inputs.price_texts(inputs.observations(spark, sf_dir)).drop("thousands_sep", "decimal_sep", "lowest_sell", "money_domain"), "currencies": inputs.currencies(spark)}
+    text = """SELECT app_id, market_hash_name, observed_at, money_domain(currency, source_endpoint) AS money_domain, parse_price(price_text, thousands_sep, decimal_sep) AS minor_units
+        FROM price_texts LEFT JOIN currencies ON currency = currency_code WHERE array_contains(:apps, app_id) AND observed_at BETWEEN CAST(:since AS TIMESTAMP_NTZ) AND CAST(:until AS TIMESTAMP_NTZ)"""
+    return sql_functions.run(spark, text, tables, apps=F.array(F.lit(440), F.lit(570)), since="2024-01-05 00:00:00", until="2024-01-25 00:00:00")
+
+
+@query
+def books_by_sql(spark, sf_dir):
+    """Order-book measures by SQL functions; the same figures as those of the column expressions."""
+    bands = ", ".join(f"depth_within_pct(levels, mid, {pct / 100}D, '{side}') AS {side}_depth_{pct}" for side in ("buy", "sell") for pct in (1, 5, 10))
+    text = f"SELECT l_orderkey, CAST(size(levels) div 2 AS INT) AS n_levels, hi - lo AS spread, spread_bps(hi, lo) AS spread_bps, {bands} FROM books"
+    return _rounded(sql_functions.run(spark, text, {"books": inputs.compact_books(spark, sf_dir)}), "spread_bps")
+
+
 @query
 def parse_volume(spark, sf_dir):
     return inputs.table(spark, sf_dir, "events").select("event_id", money.parse_volume(F.col("props")).alias("volume"))
@@ -419,7 +437,9 @@ def check_paths_agree(spark, sf_dir):
 
 @query
 def gap_by_currency(spark, sf_dir):
-    return _rounded(serving.gap_by_currency(fx.dislocation(_converted(spark, sf_dir))), "mean_gap", "std_gap", "median_gap", "min_gap", "max_gap", places=4)
+    # Figures and medians are made from one evaluation.
+    gaps = lake.replace_table(fx.dislocation(_converted(spark, sf_dir)).select("iso_code", "pct_gap"), lake.work_folder(spark, "gaps"))
+    return _rounded(serving.gap_by_currency(gaps), "mean_gap", "std_gap", "median_gap", "min_gap", "max_gap", places=4)
 
 
 @query
@@ -447,7 +467,20 @@ def anomaly_headline(spark, sf_dir):
     """Headline figures from the serving copy of two apps."""
     path = lake.work_folder(spark, "serving")
     lake.mirror(_anomalies(spark, sf_dir), path, "2024-02-01 00:00:00", app_ids=(440, 570))
-    return _rounded(serving.anomaly_headline(spark.read.parquet(path), ["price_zscore", "spread_widening", "volume_spike", "crossed_book"]), "max_severity", places=4)
+    return _rounded(serving.anomaly_headline(lake.read_current(spark, path), ["price_zscore", "spread_widening", "volume_spike", "crossed_book"]), "max_severity", places=4)
+
+
+@query
+def anomaly_headline_jdbc(spark, sf_dir):
+    """The same figures from a serving database: the one that ``tickforge.serving.url`` names, or, in local mode, Spark's own."""
+    url = spark.conf.get("tickforge.serving.url", None)
+    if not url:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("tickforge.serving.url must name a database that driver and executors reach")
+        url = f"jdbc:derby:{lake.work_folder(spark, 'serving-db').removeprefix('file://')};create=true"
+    database.mirror(_anomalies(spark, sf_dir), url, "mart_anomaly", "2024-02-01 00:00:00", app_ids=(440, 570))
+    mart = database.read(spark, url, "mart_anomaly")
+    return _rounded(serving.anomaly_headline(mart, ["price_zscore", "spread_widening", "volume_spike", "crossed_book"]), "max_severity", places=4)
 
 
 @query
@@ -507,7 +540,8 @@ def silver_roundtrip(spark, sf_dir):
     """Change events landed by a stream that takes what is there, and read back by their partitions."""
     path = lake.work_folder(spark, "silver")
     # Files that each hold a stretch of time, as they come in, so that a partition is written by few tasks.
-    changes = lake.replace_table(cdc.detect_changes(inputs.observations(spark, sf_dir)).repartitionByRange("observed_at"), f"{path}/in")
+    changes = cdc.detect_changes(inputs.observations(spark, sf_dir))
+    changes.repartitionByRange("observed_at").write.parquet(f"{path}/in")
     stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/in")
     landing = lake.land(stream, f"{path}/out", f"{path}/state", lake.SILVER_PARTITIONS, every=None)
     landing.awaitTermination()
