@@ -8,8 +8,8 @@ all prototypes, which carries no information, is taken from both.
 Learning is one pass: each task bundles its texts per language into integer vectors and Spark adds them up, so the
 result doesn't depend on the order of rows.  What reaches the driver are the prototypes: ``DIMENSIONS`` numbers for each language.
 
-Texts are lower-cased, everything but letters becomes one space, and texts begin and end with one.  Defined results: null text or text
-without a letter is ``und`` with score 0; without any learned language every text is ``und``; null labels teach nothing; ties
+Texts are lower-cased, everything but letters and combining marks becomes one space, and texts begin and end with one.  Defined results: null text or text
+without a letter (marks alone aren't one) is ``und`` with score 0; without any learned language every text is ``und``; null labels teach nothing; ties
 go to the first language by name; other columns are ignored; an empty table gives an empty result.
 """
 
@@ -35,13 +35,14 @@ _letters: list[np.ndarray] = []
 _vectors: dict[int, np.ndarray] = {}
 
 
-def _letter_map() -> np.ndarray:
-    """For each code point itself if it is a letter, else a space."""
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point itself if n-grams take it (letters, and the marks that stand with them), else a space; and whether it is a letter."""
     if not _letters:
-        every = np.arange(0x110000, dtype=np.int32)
-        letter = np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)), bool, 0x110000)
-        _letters.append(np.where(letter, every, 32).astype(np.int32))
-    return _letters[0]
+        kind = [unicodedata.category(chr(c))[0] for c in range(0x110000)]
+        taken = np.fromiter((k in "LM" for k in kind), bool, 0x110000)
+        _letters.append(np.where(taken, np.arange(0x110000, dtype=np.int32), 32).astype(np.int32))
+        _letters.append(np.fromiter((k == "L" for k in kind), bool, 0x110000))
+    return _letters[0], _letters[1]
 
 
 def letter_vector(code: int) -> np.ndarray:
@@ -60,7 +61,7 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
         lines.append(t)
         lengths.append(len(t))
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = _letter_map()[codes]
+    codes = _kinds()[0][codes]
     doc = np.repeat(np.arange(len(lines)), lengths)
     # One space for each run of others; a run never joins two texts.
     blank = codes == 32
@@ -148,7 +149,7 @@ def predict_language(docs: DataFrame, learned: dict[str, np.ndarray], text_col:
     fields = docs.schema.fields
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_letter = _letter_map() != 32
+        is_letter = _kinds()[1]
         for batch in batches:
             for part in slices(batch, text_col, size=1 << 20, rows=ROWS):
                 texts = part.column(text_col).to_pylist()
