@@ -308,3 +308,6 @@ ORACLES["anomaly_headline_jdbc"] = ORACLES["anomaly_headline"]
 ORACLES["prices_by_sql"] = f"""WITH {OBS}, {CUR} SELECT app_id, market_hash_name, observed_at, 'currency:' || currency AS money_domain, CASE WHEN decimal_sep = '' THEN lowest_sell // 100 * 100 ELSE lowest_sell END AS minor_units
     FROM obs JOIN cur ON currency = currency_code WHERE lowest_sell >= 0 AND app_id IN (440, 570) AND observed_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'"""
 ORACLES["books_by_sql"] = ORACLES["orderbook_measures"]
+ORACLES["rolling_7d_range_join"] = ORACLES["rolling_7d_half_open"]
+ORACLES["gap_sketches"] = f"""WITH {DISLOCATION} SELECT iso_code, count(*) AS n, round(avg(pct_gap), 4) AS mean_gap, round(min(pct_gap), 4) AS min_gap, round(max(pct_gap), 4) AS max_gap, true AS distinct_close, true AS median_close
+    FROM dislocation WHERE pct_gap IS NOT NULL AND CAST(observed_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-18' GROUP BY iso_code"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import depth, money
 from ..functions import sql as sql_functions
-from ..operators import anomaly, asof, bars, cdc, fx, identity, normalize, quality, scd2
+from ..operators import anomaly, asof, bars, cdc, day_sketches, fx, identity, normalize, quality, range_join, scd2
 from ..schemas import CHANGE, OBSERVATION
 from ..sources import bus, database, lake
 from ..streaming import change_stream
@@ -235,6 +235,15 @@ def rolling_7d_subquery(spark, sf_dir):
     return _rounded(out, "rolling_avg_close")
 
 
+@query
+def rolling_7d_range_join(spark, sf_dir):
+    """The correlated form as a range join by bins of time: what it takes for ranges that no window frame expresses."""
+    daily = bars.daily_bars(inputs.observations(spark, sf_dir)).select(*bars.BAR, "close_price")
+    daily = daily.withColumn("_day", F.unix_date(F.col("observation_date").cast("date")))
+    out = range_join.trailing_mean(daily, ["app_id", "market_hash_name", "money_domain"], "_day", "close_price", 7, "rolling_avg_close")
+    return _rounded(out.drop("_day"), "rolling_avg_close")
+
+
 @query
 def rolling_7d_half_open(spark, sf_dir):
     """The window form of the correlated baseline."""
@@ -442,6 +451,21 @@ def gap_by_currency(spark, sf_dir):
     return _rounded(serving.gap_by_currency(gaps), "mean_gap", "std_gap", "median_gap", "min_gap", "max_gap", places=4)
 
 
+@query
+def gap_sketches(spark, sf_dir):
+    """Gaps of two weeks by currency, from the stored sketches of their days.  Estimates differ from run to run, so they are held against the exact figures: the distinct count within
+    5 %, the median within 2 % of the ranks."""
+    gaps = lake.replace_table(fx.dislocation(_converted(spark, sf_dir)), lake.work_folder(spark, "gaps"))
+    stored = lake.replace_table(day_sketches.sketch_days(gaps, ["iso_code"], "observed_at", "pct_gap", ["app_id", "market_hash_name"]), lake.work_folder(spark, "sketches"))
+    found = day_sketches.over_days(stored, ["iso_code"], "2024-01-05", "2024-01-18")
+    inside = gaps.filter("pct_gap is not null and to_date(observed_at) between '2024-01-05' and '2024-01-18'").join(F.broadcast(found.select("iso_code", "q50")), "iso_code")
+    exact = inside.groupBy("iso_code").agg(F.countDistinct("app_id", "market_hash_name").alias("items"), F.avg((F.col("pct_gap") < F.col("q50")).cast("double")).alias("under"), F.avg((F.col("pct_gap") <= F.col("q50")).cast("double")).alias("upto"))
+    out = found.join(exact, "iso_code")
+    close = (F.abs(F.col("distinct") - F.col("items")) <= 0.05 * F.col("items") + 1).alias("distinct_close")
+    middle = ((F.col("under") <= 0.52) & (F.col("upto") >= 0.48)).alias("median_close")
+    return _rounded(out.select("iso_code", "n", F.col("mean").alias("mean_gap"), F.col("low").alias("min_gap"), F.col("high").alias("max_gap"), close, middle), "mean_gap", "min_gap", "max_gap", places=4)
+
+
 @query
 def gap_by_price_bucket(spark, sf_dir):
     return _rounded(serving.gap_by_price(fx.dislocation(_converted(spark, sf_dir))), "mean_abs_gap", places=4)
