@@ -311,3 +311,4 @@ ORACLES["books_by_sql"] = ORACLES["orderbook_measures"]
 ORACLES["rolling_7d_range_join"] = ORACLES["rolling_7d_half_open"]
 ORACLES["gap_sketches"] = f"""WITH {DISLOCATION} SELECT iso_code, count(*) AS n, round(avg(pct_gap), 4) AS mean_gap, round(min(pct_gap), 4) AS min_gap, round(max(pct_gap), 4) AS max_gap, true AS distinct_close, true AS median_close
     FROM dislocation WHERE pct_gap IS NOT NULL AND CAST(observed_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-18' GROUP BY iso_code"""
+ORACLES["observations_from_variants"] = ORACLES["unified_observations"]

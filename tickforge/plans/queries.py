@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import depth, money
 from ..functions import sql as sql_functions
-from ..operators import anomaly, asof, bars, cdc, day_sketches, fx, identity, normalize, quality, range_join, scd2
+from ..operators import anomaly, asof, bars, cdc, day_sketches, fx, identity, normalize, quality, range_join, scd2, variants
 from ..schemas import CHANGE, OBSERVATION
 from ..sources import bus, database, lake
 from ..streaming import change_stream
@@ -37,6 +37,14 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.decode_envelopes(inputs.envelopes(inputs.observations(spark, sf_dir)))
 
 
+@query
+def observations_from_variants(spark, sf_dir):
+    """The payloads landed as variants, read back and taken apart by paths."""
+    path = lake.work_folder(spark, "variants")
+    variants.land(variants.with_variants(_decoded(spark, sf_dir)), path)
+    return variants.normalize_variants(variants.read(spark, path))
+
+
 def _normalized(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
     return normalize.normalize(_decoded(spark, sf_dir).filter(F.col("endpoint") == endpoint))
 
