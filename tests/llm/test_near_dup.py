@@ -117,3 +117,46 @@ def test_ids_of_other_types(spark):
     got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_dup.components_of(docs, 1, 80).collect()}
     assert got == {"x0": ("x0", True), "x1": ("x0", False), "x2": ("x2", True), "x3": ("x0", False), "x4": ("x4", True)}
     assert {r["doc_id"] for r in near_dup.keep_one(docs, 1, 80).collect()} == {"x0", "x2", "x4"}
+
+
+def test_comparisons_are_linear_in_small_sets():
+    """Chains of short texts: twice as many sets take about twice as long, not four times."""
+    import time
+
+    import numpy as np
+
+    from tickforge.llm.near_dup import _linked
+
+    took = []
+    for m in (5000, 20_000):
+        chain = [np.array([i // 2, i // 2 + 10**6, (i + 1) // 2 + 2 * 10**6], np.uint64) for i in range(m)]
+        began = time.perf_counter()
+        assert len(_linked(chain, 50)) == m // 2
+        took.append(time.perf_counter() - began)
+    assert took[1] < 9 * took[0]
+
+
+def test_links_join_what_all_pairs_join():
+    import numpy as np
+
+    from tickforge.llm.near_dup import _linked
+
+    def joined(m, links):
+        root = list(range(m))
+        for a, b in links:
+            ra, rb = root[a], root[b]
+            root = [min(ra, rb) if r in (ra, rb) else r for r in root]
+        return root
+
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        base = [np.unique(rng.integers(0, rng.integers(5, 80), rng.integers(1, 30))).astype(np.uint64) for _ in range(int(rng.integers(1, 8)))]
+        sets = []
+        for _ in range(int(rng.integers(1, 50))):
+            x, k = base[rng.integers(len(base))], int(rng.integers(0, 4))
+            sets.append(np.unique(np.concatenate([x[k:] if len(x) > k else x, rng.integers(0, 90, k).astype(np.uint64)])))
+        similar = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+        every = [(i, j) for i in range(len(sets)) for j in range(i) if similar(sets[i], sets[j])]
+        links = _linked(sets, 80)
+        assert all(similar(sets[i], sets[j]) for i, j in links)
+        assert joined(len(sets), links) == joined(len(sets), every) and len(links) == len(sets) - len(set(joined(len(sets), every)))

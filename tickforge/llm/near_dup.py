@@ -112,7 +112,8 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     A set is compared with all others at once, by counting over the lists of the sets that hold its shingles.  A set that is in
     the largest component so far is passed over, so a group of near copies costs little more than its exceptions.  As another
     component may become the largest later, sets passed over are compared in the end until all that never were lie in one
-    component: a link between two of those joins nothing.  Memory is in proportion to the sets.
+    component: a link between two of those joins nothing.  Memory is in proportion to the sets, and so is the work beside the shared shingles: a comparison touches only sets
+    that share one, and of two components that join the smaller one gets the other's label.
     """
     n = np.array([len(x) for x in sets], np.int64)
     m = len(n)
@@ -124,27 +125,41 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     listed = owner[by_code]
     begin = np.concatenate([[0], np.cumsum(np.where(df >= 2, df, 0))])
     first = np.searchsorted(owner, np.arange(m + 1))
-    label, size, compared = np.arange(m), np.ones(m, np.int64), np.zeros(m, bool)
+    label, compared = np.arange(m), np.zeros(m, bool)
+    members: dict[int, list[int]] = {}  # of components of several sets
+    top, top_size = -1, 1
     links: list[tuple[int, int]] = []
 
     def compare(i: int) -> None:
+        nonlocal top, top_size
         compared[i] = True
         own = code[first[i] : first[i + 1]]
         many = begin[own + 1] - begin[own]
         at = np.repeat(begin[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-        both = np.bincount(listed[at], minlength=m)
-        hit = np.flatnonzero(100 * both >= percent * (n + n[i] - both))
-        found, where = np.unique(label[hit], return_index=True)
-        for other, j in zip(found.tolist(), hit[where].tolist(), strict=True):
-            if other != label[i]:
+        if len(at) < m:
+            near, both = np.unique(listed[at], return_counts=True)
+        else:
+            both = np.bincount(listed[at], minlength=m)
+            near = np.flatnonzero(both)
+            both = both[near]
+        hit = near[100 * both >= percent * (n[near] + n[i] - both)]
+        one_each = hit[np.unique(label[hit], return_index=True)[1]]
+        for j in one_each.tolist():
+            mine, other = int(label[i]), int(label[j])
+            if other != mine:
                 links.append((i, j))
-                size[label[i]] += size[other]
-                size[other] = 0
-                label[label == other] = label[i]
+                a, b = members.pop(mine, [mine]), members.pop(other, [other])
+                if len(a) < len(b):
+                    a, b, mine = b, a, other
+                label[b] = mine
+                a.extend(b)
+                members[mine] = a
+                if len(a) > top_size:
+                    top, top_size = mine, len(a)
 
     compare(int(np.argmax(np.bincount(owner, weights=df[code], minlength=m))))
     for i in range(m):
-        if label[i] != np.argmax(size) or size.max() == 1:
+        if label[i] != top:
             compare(i)
     rest = np.flatnonzero(~compared)
     if len(rest):
