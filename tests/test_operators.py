@@ -3,6 +3,7 @@ import json
 import random
 import statistics
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,6 +172,18 @@ def test_detectors(spark):
     assert sorted(r["severity"] for r in crossed) == [0.5, pytest.approx(952.38 / 1000, abs=1e-4)]
 
 
+def test_sentences_round_as_the_sql(spark):
+    """Moves that end in a 5, where the last bit of the logarithm decides, and a spread that rounds to a zero with a sign."""
+    says = lambda text, *values: duckdb.execute(f"SELECT printf({text})", values).fetchone()[0]
+    books = obs(spark, [("a", m, 100 + (m % 3), 110, None, None, 8, "orderbook") for m in range(30)] + [("a", 31, 30000, 30001, None, None, 8, "orderbook")])
+    for before, after in ((16, 101), (16, 107), (16, 145), (16, 347), (2000, 2521), (2000, 2557)):
+        days = daily(spark, [before, before + 1] * 5 + [before, after]).withColumn("total_volume", F.lit(1).cast("bigint"))
+        got = {r["anomaly_type"]: r["explanation"] for r in anomaly.anomaly_mart(days, books).filter("severity > 0").collect() if r["anomaly_type"] != "crossed_book"}
+        want = says("'a moved up %.1f%%', round((exp(ln(? / CAST(? AS DOUBLE))) - 1) * 100, 1)", after, before)
+        assert got["price_zscore"].partition(" (")[0] == want
+        assert got["spread_widening"].partition(" bps")[0] == says("'a spread widened to %.0f', round(-1 / CAST(30000.5 AS DOUBLE) * 10000, 0)")
+
+
 @pytest.mark.parametrize(("span", "n"), [(20, 1500), (500, 6000), (2, 80)])
 def test_ewm_against_pandas(spark, span, n):
     """Over many blocks, with nulls, far from zero, and for spans in which old rows still weigh."""
