@@ -4,6 +4,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.test_operators import at, events, follow, obs, random_rows
@@ -79,6 +80,30 @@ def test_a_hot_item_is_followed_in_bounded_frames(monkeypatch):
     assert handle.lists.rows == []
 
 
+@pytest.mark.parametrize(("chunk", "framed"), [(50_000, False), (20, True)])
+def test_few_rows_of_an_item_are_followed_without_frames(monkeypatch, chunk, framed):
+    """Frames of pandas took 40 ms for an item, whatever its rows; only hot items need them."""
+    made, plain = [], change_stream.compare
+    rows = [("a", m, *r[2:]) for m, r in zip(random.Random(8).sample(range(5000), 300), random_rows(300, 8), strict=True)]
+    sent = [[Row(**r) for r in f.astype(object).where(f.notna(), None).to_dict("records")] for f in frames(sorted(rows, key=lambda r: r[1]), 100)]
+    monkeypatch.setattr(change_stream, "compare", lambda part, *rest: (made.append(len(part)), plain(part, *rest))[1])
+    handle, detector = Handle(), change_stream.ChangeFollower(change_stream.WATCHED, "keep", None, None, chunk=chunk)
+    detector.init(handle)
+    got = [e for part in sent for e in detector.handleInputRows((730, "a"), iter([Row(**r.asDict() | {"observed_at": r["observed_at"].to_pydatetime()}) for r in part]), None)]
+    assert sorted((e["market_hash_name"], e["field"], e["previous"], e["current"], e["observed_at"]) for e in got) == follow(rows)
+    assert all(e["pct_change"] == (e["current"] - e["previous"]) / e["previous"] * 100 if e["previous"] else e["pct_change"] is None for e in got)
+    assert bool(made) == framed and max(made, default=0) <= chunk and handle.lists.rows == []
+
+
+def test_frames_and_rows_give_the_same(spark, tmp_path):
+    rows = sorted(random_rows(200, 21), key=lambda r: r[1])
+    parts = [obs(spark, rows[:90]), obs(spark, rows[90:])]
+    framed = written(spark, str(tmp_path / "frames"), parts, lambda s: detect_changes_stream(s, late="drop", frames=True))
+    plain = written(spark, str(tmp_path / "rows"), parts, lambda s: detect_changes_stream(s, late="drop"))
+    assert events(framed) == events(plain) == follow(rows)
+    assert plain.exceptAll(framed).count() == 0
+
+
 def test_rows_of_one_time_stay_together():
     handle, detector = Handle(), ChangeDetector(change_stream.WATCHED, "keep", None, None, chunk=3)
     detector.init(handle)
