@@ -2,8 +2,13 @@ import os
 import threading
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
-from tickforge.sources import bus
+from tests.test_operators import events, follow, obs, random_rows
+from tickforge.schemas import OBSERVATION
+from tickforge.sources import bus, lake
+from tickforge.streaming import change_stream
 
 
 def rows(df):
@@ -82,3 +87,18 @@ def test_unpublished_segments_are_never_read(spark, tmp_path):
         bus.Topic("s3://bucket/topic")
     with pytest.raises(Exception, match="producer"):
         bus.Bus({"path": path}).streamWriter(None, False)
+
+
+def test_a_topic_is_followed_without_a_frame_for_every_item(spark, tmp_path, monkeypatch):
+    source, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    rows = sorted(random_rows(120, 31), key=lambda r: r[1])
+    monkeypatch.setattr(GroupedData, "transformWithStateInPandas", lambda *a, **k: pytest.fail("frames"))
+    for part in (rows[:70], rows[70:]):
+        df = obs(spark, part)
+        bus.publish(df.select(F.col("market_hash_name").alias("key"), F.to_json(F.struct(*df.columns), lake.JSON_TIMES).alias("value")), source)
+        heard = bus.subscribe(spark, source).select(F.from_json("value", OBSERVATION, lake.JSON_TIMES).alias("o")).select("o.*")
+        q = bus.send(lake.to_messages(change_stream.detect_changes_stream(heard)), target, state, "changes", every=None)
+        q.awaitTermination()
+        assert q.exception() is None
+    got = bus.replay(spark, target).select(F.from_json("value", change_stream.CHANGE, lake.JSON_TIMES).alias("c")).select("c.*")
+    assert events(got) == follow(rows)
