@@ -1,8 +1,11 @@
 import os
 import threading
+import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSourceArrowWriter, DataSourceStreamArrowWriter
 from pyspark.sql.group import GroupedData
 
 from tests.test_operators import events, follow, obs, random_rows
@@ -102,3 +105,21 @@ def test_a_topic_is_followed_without_a_frame_for_every_item(spark, tmp_path, mon
         assert q.exception() is None
     got = bus.replay(spark, target).select(F.from_json("value", change_stream.CHANGE, lake.JSON_TIMES).alias("c")).select("c.*")
     assert events(got) == follow(rows)
+
+
+def test_writers_take_arrow_batches(spark, tmp_path, monkeypatch):
+    """Rows one by one took most of a writer's time; batches fall to the same partitions in the same order, whatever their size."""
+    assert isinstance(bus.Bus({"path": "x"}).writer(None, False), DataSourceArrowWriter)
+    assert isinstance(bus.Bus({"path": "x", "producer": "p"}).streamWriter(None, False), DataSourceStreamArrowWriter)
+    monkeypatch.setattr(bus, "ROWS", 7)
+    pairs = [(f"k{i % 5}" if i % 11 else None, f"{i}" if i % 6 else None) for i in range(60)] + [("", "empty"), ("ключ", "é")]
+    keys, values = map(list, zip(*pairs, strict=True))
+    batch = pa.RecordBatch.from_pydict({"value": pa.array(values, pa.large_string()), "key": pa.array(keys, pa.large_string())})
+    held = []
+    for name, sent in (("rows", [{"key": k, "value": v} for k, v in pairs]), ("batches", [batch.slice(0, 40), batch.slice(40), batch.slice(0, 0)])):
+        path = str(tmp_path / name)
+        writer = bus.BusWriter({"path": path})
+        writer.commit([writer.write(iter(sent)), writer.write(iter([]))])
+        held.append(sorted(tuple(r) for r in bus.replay(spark, path).select("partition", "offset", F.coalesce("key", F.lit("-")), F.coalesce("value", F.lit("-"))).collect()))
+    assert held[0] == held[1] and len(held[0]) == 62
+    assert {(p, k) for p, _, k, _ in held[0]} == {(zlib.crc32(("" if k is None else k).encode()) % 4, "-" if k is None else k) for k, _ in pairs}

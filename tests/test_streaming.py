@@ -8,6 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.test_operators import at, events, follow, obs, random_rows
+from tickforge.plans import queries
 from tickforge.streaming import change_stream
 from tickforge.streaming.change_stream import ChangeDetector, detect_changes_stream, drop_redelivered
 
@@ -104,6 +105,56 @@ def test_frames_and_rows_give_the_same(spark, tmp_path):
     assert plain.exceptAll(framed).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [50_000, 60])
+def test_items_of_a_bucket_are_followed_together(monkeypatch, chunk):
+    """What is known of a bucket's items is one value of the store, read and written once in a micro-batch, however many items have rows."""
+    rng, asked = random.Random(9), []
+    rows = [(f"i{rng.randrange(40)}", *r[1:]) for r in random_rows(400, 9)]
+    rows = [(r[0], m, *r[2:]) for m, r in zip(sorted(rng.sample(range(9000), 400)), rows, strict=True)]
+    handle, follower = Handle(), change_stream.BucketFollower(["app_id", "market_hash_name"], change_stream.WATCHED, "keep", chunk=chunk)
+    for name in ("get", "update"):
+        monkeypatch.setattr(handle.values, name, lambda *a, plain=getattr(handle.values, name), name=name: (asked.append(name), plain(*a))[1])
+    sizes, plain = [], change_stream.compare_items
+    monkeypatch.setattr(change_stream, "compare_items", lambda part, *rest: (sizes.append(len(part)), plain(part, *rest))[1])
+    follower.init(handle)
+    out = []
+    for batch in (rows[:150], rows[150:]):
+        sent = frames(rng.sample(batch, len(batch)), 70)
+        sent[0] = pd.concat([sent[0], sent[0].assign(observed_at=pd.NaT)])
+        out += follower.handleInputRows((1,), iter([f.assign(app_id=730) for f in sent]), None)
+    got = pd.concat(out)
+    assert sorted(zip(got["market_hash_name"], got["field"], got["previous"], got["current"], got["observed_at"].dt.to_pydatetime(), strict=True)) == follow(rows)
+    assert asked == ["get", "update"] * 2 and max(sizes) <= max(chunk, 70) and sum(sizes) == 400 and handle.lists.rows == []
+
+
+@pytest.mark.parametrize("options", [{}, {"late": "drop"}, {"strict_domain": True}, {"fields": ("volume", "lowest_sell")}, {"chunk": 9}])
+def test_buckets_and_rows_give_the_same(spark, tmp_path, options):
+    rows = random_rows(200, 23)
+    rows = [(None if k % 17 == 0 else r[0], *r[1:]) for k, r in enumerate(rows)]
+    parts = [obs(spark, rows[:90]).withColumn("app_id", F.expr("nullif(cast(lowest_sell % 2 as int), 1)")), obs(spark, rows[90:]).withColumn("app_id", F.lit(0))]
+    parts[1] = parts[1].unionByName(parts[1].limit(3).withColumn("observed_at", F.lit(None).cast("timestamp_ntz")))
+    together = written(spark, str(tmp_path / "buckets"), parts, lambda s: detect_changes_stream(s, buckets=3, **options))
+    alone = written(spark, str(tmp_path / "rows"), parts, lambda s: detect_changes_stream(s, **options))
+    assert together.count() == alone.count() > 0
+    assert together.exceptAll(alone).count() == 0
+    with pytest.raises(ValueError, match="bucket"):
+        detect_changes_stream(parts[0], buckets=3, ttl="1 hour")
+
+
+@pytest.mark.parametrize("name", ["change_events_bus", "change_events_stream"])
+def test_registered_streams_follow_buckets(spark, monkeypatch, name):
+    class Seen(Exception):
+        pass
+
+    def seen(stream, buckets=None):
+        raise Seen(buckets)
+
+    monkeypatch.setattr(change_stream, "detect_changes_stream", seen)
+    with pytest.raises(Seen) as e:
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert e.value.args[0] >= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_rows_of_one_time_stay_together():
     handle, detector = Handle(), ChangeDetector(change_stream.WATCHED, "keep", None, None, chunk=3)
     detector.init(handle)

@@ -19,21 +19,23 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
+    DataSourceStreamArrowWriter,
     DataSourceStreamReader,
-    DataSourceStreamWriter,
-    DataSourceWriter,
     InputPartition,
     WriterCommitMessage,
 )
 from pyspark.sql.streaming import StreamingQuery
 
 MESSAGE = "key string, value string, partition int, offset bigint"
-_ARROW = pa.schema([("key", pa.string()), ("value", pa.string()), ("partition", pa.int32()), ("offset", pa.int64())])
+_KEYED = pa.schema([("key", pa.string()), ("value", pa.string())])
+_ARROW = pa.schema([*_KEYED, ("partition", pa.int32()), ("offset", pa.int64())])
 #: Rows of a batch in a segment.
 ROWS = 4096
 
@@ -150,33 +152,48 @@ class _Writing:
         self.topic, self.partitions, self.producer = Topic(options["path"]), int(options.get("partitions", "4")), options.get("producer")
 
     def write(self, iterator) -> Written:
-        """Segments of one task; equal keys go to one partition, in the order of their rows."""
+        """Segments of one task, from Arrow batches as Spark hands them on or from rows; equal keys go to one partition, in the order of their rows."""
         os.makedirs(self.topic.segments, exist_ok=True)
         task, files, rows = uuid.uuid4().hex, {}, {}
-        schema = pa.schema(list(_ARROW)[:2])
         try:
-            while chunk := list(islice(iterator, ROWS)):
-                dealt: dict[int, list] = {}
-                for r in chunk:
-                    dealt.setdefault(zlib.crc32((r["key"] or "").encode()) % self.partitions, []).append((r["key"], r["value"]))
-                for p, held in dealt.items():
+            for batch in self._batches(iterator):
+                held = self._partitions(batch["key"])
+                for p in np.unique(held).tolist():
                     if p not in files:
                         sink = pa.OSFile(f"{self.topic.segments}/{task}-{p}", "wb")
-                        files[p] = sink, pa.ipc.new_file(sink, schema)
-                    files[p][1].write_batch(pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], schema=schema))
-                    rows[p] = rows.get(p, 0) + len(held)
+                        files[p] = sink, pa.ipc.new_file(sink, _KEYED)
+                    some = batch.filter(pa.array(held == p))
+                    files[p][1].write_batch(some)
+                    rows[p] = rows.get(p, 0) + some.num_rows
         finally:
             for sink, f in files.values():
                 f.close()
                 sink.close()
         return Written([{"partition": p, "file": f"{task}-{p}", "rows": rows[p]} for p in files])
 
+    @staticmethod
+    def _batches(iterator) -> Iterator[pa.RecordBatch]:
+        """``key, value`` in batches of bounded size."""
+        for first in iterator:
+            if isinstance(first, pa.RecordBatch):
+                for at in range(0, first.num_rows, ROWS):
+                    yield first.slice(at, ROWS).select(["key", "value"]).cast(_KEYED)
+            else:
+                some = [first, *islice(iterator, ROWS - 1)]
+                yield pa.RecordBatch.from_pydict({c: [r[c] for r in some] for c in ("key", "value")}, schema=_KEYED)
+
+    def _partitions(self, keys: pa.Array) -> np.ndarray:
+        """The partition of each key, found once for each distinct one."""
+        found = keys.dictionary_encode(null_encoding="encode")
+        numbers = np.array([zlib.crc32((k or "").encode()) % self.partitions for k in found.dictionary.to_pylist()], dtype="int32")
+        return numbers[found.indices.to_numpy()]
+
     @staticmethod
     def all_of(messages: list[Written | None]) -> list[dict]:
         return [s for m in messages if m is not None for s in m.segments]
 
 
-class BusWriter(_Writing, DataSourceWriter):
+class BusWriter(_Writing, DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         self.topic.publish(self.all_of(messages))
 
@@ -184,7 +201,7 @@ class BusWriter(_Writing, DataSourceWriter):
         self.topic.drop(self.all_of(messages))
 
 
-class BusStreamWriter(_Writing, DataSourceStreamWriter):
+class BusStreamWriter(_Writing, DataSourceStreamArrowWriter):
     def commit(self, messages: list[Written | None], batchId: int) -> None:  # noqa: N803
         written = self.all_of(messages)
         if self.topic.publish(written, self.producer, batchId) is None:
