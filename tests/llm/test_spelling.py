@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 import zlib
@@ -79,6 +80,21 @@ def test_groups_as_by_brute_force(spark, monkeypatch):
     assert rows(group_variants(df)) == expected(counts)
 
 
+def test_a_near_word_met_under_another_half_is_not_counted_again(spark, monkeypatch):
+    asking, own, other = ("abcdef", 5, False, True), ("abcdeg", 9, True, True), ("abcdeg", 9, True, False)
+    assert spelling._answers(False, [asking, own]) == (["abcdef"], [1], ["abcdeg"], [9])
+    assert spelling._answers(False, [asking, other]) == ([], [], [], [])
+    assert spelling._answers(False, [asking, own, other]) == (["abcdef"], [1], ["abcdeg"], [9])
+    shorter = [("abcde", 9, True, asks) for asks in (True, False)]  # its own half is "ab"
+    assert spelling._answers(False, [asking, shorter[0]]) == ([], [], [], [])
+    assert spelling._answers(False, [asking, shorter[1]]) == (["abcdef"], [1], ["abcde"], [9])
+    words = ["".join(w) for size in (5, 6, 7) for w in itertools.product("ab", repeat=size)]
+    counts = {w: 3 + 7 * i % 40 for i, w in enumerate(words)}
+    monkeypatch.setattr(spelling, "BLOCK", 5)
+    monkeypatch.setattr(spelling, "SHARD", 600)
+    assert rows(group_variants(spark.createDataFrame(list(counts.items()), "word string, n long"))) == expected(counts)
+
+
 def test_roots_follow_long_chains(spark):
     chain = [(f"w{i:03}", f"w{i + 1:03}" if i < 40 else None) for i in range(41)]
     got = {r["word"]: r["root"] for r in roots(spark.createDataFrame(chain + [("alone", None)], "word string, form string")).collect()}

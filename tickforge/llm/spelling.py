@@ -242,13 +242,23 @@ def _dealt(vocab: DataFrame, shards: int) -> DataFrame:
 
 
 def _answers(ends: bool, rows: list[tuple[str, int, bool, bool]]) -> tuple[list, list, list, list]:
-    """For each word of a shard that has near words there: how many, and the most frequent one."""
-    index = {w: n for w, n, given, _ in rows if given}
+    """For each word of a shard that has near words there: how many, and the most frequent one.
+
+    A word that asks in several shards may meet a near word again where that is indexed under its other half; only a meeting under the asking word's half counts.
+    """
+    index, under = {}, {}
+    for w, n, given, asks in rows:
+        if given:
+            index[w] = n
+            under[w] = under.get(w, 0) | (1 if asks else 2)  # its own half, the other one
     ask = sorted({w for w, _, _, asks in rows if asks})
     words = sorted(index)
     if not words or not ask:
         return [], [], [], []
     query, near = near_words(words, ask, ends)
+    half, asked = (np.array([(len(w) + ends) // 2 for w in ws], np.int64) for ws in (words, ask))
+    met = np.array([under[w] for w in words], np.int64)[near] & np.where(half[near] == asked[query], 1, 2) > 0
+    query, near = query[met], near[met]
     n = np.array([index[w] for w in words], np.int64)
     order = np.lexsort((near, -n[near], query))
     query, near = query[order], near[order]
