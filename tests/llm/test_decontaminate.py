@@ -48,6 +48,27 @@ def test_many_blocks_and_shards(spark, monkeypatch):
     assert got(decontaminate.contamination(docs, items)) == want
 
 
+def test_index_is_held_by_few_shards_at_a_time(spark):
+    """Writers and readers hold a row group, and footers the least and greatest bytes of each; so neither may grow with the shards that one task writes."""
+    import pyarrow.parquet as pq
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").coalesce(1)
+    shards = 0
+    for path in decontaminate.build_index(docs).inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:")).metadata
+        for g in map(meta.row_group, range(meta.num_row_groups)):
+            assert g.num_rows == 1 or g.total_byte_size < 6 << 20
+            assert not any(g.column(c).is_stats_set for c in range(g.num_columns) if g.column(c).physical_type == "BYTE_ARRAY")
+        shards += meta.num_rows
+    assert shards > 8
+
+
+def test_documents_without_words_alone(spark):
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    texts = [(1, None), (2, ""), (3, " - ")]
+    assert got(decontaminate.contamination(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), bench)) == brute(texts, [(1, "a b c")])
+
+
 def test_short_items_overlaps_and_borders(spark, odd, empty):
     texts = [(1, "a b c d e f g h i j k l"), (2, "x a b"), (3, "b c"), (4, "A-B! c d e f g h i j k l m"), (5, "a a a a a a a a a a a a"), (6, None), (7, "é b")]
     items = [(10, "a b"), (11, "a b c d e f g h i j k"), (12, "a"), (13, ""), (14, None), (15, "É B"), (16, "a a a a a a a a a a a"), (10, "l m")]

@@ -35,7 +35,8 @@ BLOCK = 1 << 18
 CUT, PIECE = 1 << 16, 1 << 20
 _U = np.uint64
 
-INDEX = "ids array<{id}>, first array<int>, terms array<long>, ends array<int>, positions array<int>"
+#: Numbers are little-endian bytes, which pass through Spark and Parquet unopened: int32 but for the terms' 64 bits.
+INDEX = "ids array<{id}>, first binary, terms binary, ends binary, positions binary"
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -50,9 +51,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         s = h[order]
         ends = np.flatnonzero(np.concatenate([s[1:] != s[:-1], [True]])) + 1 if len(s) else np.zeros(0, int)
         first = np.concatenate([[0], np.cumsum(counts)])
-        arrays = [pa.concat_arrays(ids), pa.array(first, pa.int32()), pa.array(s[ends - 1].view(np.int64)), pa.array(ends, pa.int32()), pa.array(order, pa.int32())]
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in arrays]
-        return pa.RecordBatch.from_arrays(lists, names=["ids", "first", "terms", "ends", "positions"])
+        ids = pa.concat_arrays(ids)
+        packed = [pa.array([np.ascontiguousarray(x, dtype).tobytes()], pa.binary()) for x, dtype in ((first, "<i4"), (s[ends - 1], "<u8"), (ends, "<i4"), (order, "<i4"))]
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *packed], names=["ids", "first", "terms", "ends", "positions"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, counts, size = [], [], [], 0
@@ -70,7 +71,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield shard(ids, hashes, counts)
 
     index = rows.mapInArrow(build, INDEX.format(id=kind.simpleString()))
-    return materialize(index.withColumn("shard", F.monotonically_increasing_id()), "postings")
+    return materialize(index.withColumn("shard", F.monotonically_increasing_id()), "postings", large_rows=True)
 
 
 def item_words(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
@@ -199,11 +200,11 @@ def _find_near(terms: np.ndarray, ends: np.ndarray, key: np.ndarray, first: np.n
 def _search(batches: Iterator[pa.RecordBatch], groups: list, names: list[list[str]], slop: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in range(batch.num_rows):
-            ids, first, terms, ends, positions = (batch.column(c)[r].values for c in range(5))
-            first, ends = first.to_numpy().astype(np.int64), ends.to_numpy().astype(np.int64)
-            terms = terms.to_numpy().view(_U)
+            ids = batch.column(0)[r].values
+            first, terms, ends, positions = (np.frombuffer(batch.column(c)[r].as_buffer(), dtype) for c, dtype in enumerate(("<i4", "<u8", "<i4", "<i4"), 1))
+            first, ends = first.astype(np.int64), ends.astype(np.int64)
             lengths = np.diff(np.concatenate([[0], ends]))
-            key = (np.repeat(np.arange(len(terms), dtype=np.int64), lengths) << 32) + positions.to_numpy()
+            key = (np.repeat(np.arange(len(terms), dtype=np.int64), lengths) << 32) + positions
             hit = np.zeros(int(first[-1]) + 1, np.int64)
             found, near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for wins, first_item, items in groups:
