@@ -77,3 +77,22 @@ def test_held_out_rule(spark):
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
     got = {r[0]: r[1] for r in df.select("doc_id", language_id.held_out()).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in ids}
+
+
+def test_decontamination_holds_few_shards_at_a_time(spark, monkeypatch):
+    """One task writes every shard of the third stage's index; its row groups, which writers and readers hold, don't grow with them.  What stays is what op8 calls clean."""
+    import pyarrow.parquet as pq
+
+    from tickforge.llm import decontaminate
+
+    built, build = [], decontaminate.build_index
+    monkeypatch.setattr(decontaminate, "build_index", lambda *a, **k: built.append(build(*a, **k)) or built[-1])
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").coalesce(1)
+    kept = corpus_pipeline.stage_decontamination(spark, docs, sf_dir).select("doc_id")
+    index = built[0]
+    metas = [pq.ParquetFile(p.removeprefix("file:")).metadata for p in index.inputFiles()]
+    groups = [m.row_group(g) for m in metas for g in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > 8 and all(g.num_rows == 1 or g.total_byte_size < 6 << 20 for g in groups)
+    clean = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("not contaminated").select("doc_id")
+    assert 0 < kept.count() < docs.count() and not kept.exceptAll(clean).count() and not clean.exceptAll(kept).count()
